@@ -16,7 +16,7 @@ SALT_STEP = 40503001
 
 def draw(key: Column, salt: int) -> Column:
     """Number in [0, 2**31) for a non-negative id and a salt, one salt per generated column."""
-    low, high = key % MODULUS, F.floor(key / MODULUS).cast("bigint")
+    low, high = key % MODULUS, F.shiftright(key, 31)
     first = (low * MULTIPLIER + (salt * SALT_STEP + INCREMENT)) % MODULUS
     second = (first * SECOND_MULTIPLIER + _half(first) + high) % MODULUS
     # The lower bits of such a number repeat early, so the halves change places.

@@ -71,7 +71,8 @@ class Dataset:
         version = f"{name}__v{(old[-1] if old else 0) + 1}"
         writer = df.write.format("parquet").mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # Kept with the table, so that later overwrites touch their own partitions only.
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         writer.saveAsTable(self.table(version))
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS SELECT * FROM {self.table(version)}")
         # The version before stays for readers that have planned on it.
@@ -79,20 +80,19 @@ class Dataset:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__v{number}')}")
 
     def append(self, name: str, df: DataFrame, load_id: str | None = None) -> None:
-        """Add rows. With a load id the rows form a partition that a retry overwrites, not doubles."""
+        """Add rows. In a table begun with a load id, the rows of a load id form a partition, which
+        a retry of that load overwrites instead of doubling."""
         partition = [LOAD_ID] if load_id is not None else []
         if load_id is not None:
             df = df.withColumn(LOAD_ID, F.lit(load_id))
         if not self.exists(name):
             self.replace(name, df, partition)
             return
-        version = self.table(f"{name}__v{self._versions(name)[-1]}")
-        batch = df.select(*self.spark.table(version).columns)
-        if load_id is None:
-            batch.write.insertInto(version)
-        else:
-            writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.insertInto(version)
+        version = f"{name}__v{self._versions(name)[-1]}"
+        batch = df.select(*self.spark.table(self.table(version)).columns)
+        columns = self.spark.catalog.listColumns(f"{self.name}.{version}")
+        by_load = [column.name for column in columns if column.isPartition] == [LOAD_ID]
+        batch.write.insertInto(self.table(version), overwrite=load_id is not None and by_load)
 
     def merge(self, name: str, df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> None:
         """Upsert into the table, as a new version of it.
@@ -174,7 +174,7 @@ def load_selected(
             return Outcome(spec.target, "failed", None, time.monotonic() - begun, str(problem))
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(chosen)))) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(attempt), chosen.items()))
+        outcomes = list(pool.map(inheritable_thread_target(spark)(attempt), chosen.items()))
     results = spark.createDataFrame([vars(outcome) for outcome in outcomes], OUTCOME_SCHEMA)
     failed = [outcome.table_name for outcome in outcomes if outcome.status == "failed"]
     if failed:

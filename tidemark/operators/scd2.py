@@ -122,7 +122,7 @@ def build_versions(
             (F.col("_until") - _seconds(close_offset)).cast("timestamp_ntz"),
             F.when(first, INSERTED).otherwise(UPDATED),
             F.when(first, INITIAL_REASON).otherwise(reason),
-            F.when(first, INITIAL_AUTHOR).otherwise(UPDATE_AUTHOR),
+            F.when(first & F.col("_until").isNull(), INITIAL_AUTHOR).otherwise(UPDATE_AUTHOR),
             cols,
         )
     )
