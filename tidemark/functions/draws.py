@@ -11,24 +11,24 @@ MODULUS = 2147483648
 MULTIPLIER = 1103515245
 SECOND_MULTIPLIER = 69069
 INCREMENT = 12345
-SALT_STEP = 40503001
 
 
-def draw(key: Column, salt: int) -> Column:
-    """Number in [0, 2**31) for a non-negative id and a salt, one salt per generated column."""
-    low, high = key % MODULUS, F.shiftright(key, 31)
-    first = (low * MULTIPLIER + (salt * SALT_STEP + INCREMENT)) % MODULUS
-    second = (first * SECOND_MULTIPLIER + _half(first) + high) % MODULUS
-    # The lower bits of such a number repeat early, so the halves change places.
-    return second % 65536 * 32768 + _half(second)
+def _factor(salt: int) -> int:
+    return pow(MULTIPLIER, 2 * salt + 3, MODULUS)
+
 
+def draw(key: Column, salt: int) -> Column:
+    """Number in [0, 2**31) for a non-negative id and a salt, one salt per generated column.
 
-def _half(number: Column) -> Column:
-    return F.shiftright(number, 16)
+    The middle digits of a square unlink the columns and the neighbouring ids.
+    """
+    line = (key % MODULUS * _factor(salt) + (salt * INCREMENT + 1)) % MODULUS
+    middle = F.shiftright(line * line, 16) % MODULUS
+    return (middle * SECOND_MULTIPLIER + line + F.shiftright(key, 31)) % MODULUS
 
 
 def draw_sql(key: str, salt: int) -> str:
     """The same number as SQL text for another engine."""
-    first = f"(({key} % {MODULUS}) * {MULTIPLIER} + {salt * SALT_STEP + INCREMENT}) % {MODULUS}"
-    second = f"(({first}) * {SECOND_MULTIPLIER} + ({first}) // 65536 + {key} // {MODULUS}) % {MODULUS}"
-    return f"(({second}) % 65536 * 32768 + ({second}) // 65536)"
+    line = f"((({key} % {MODULUS}) * {_factor(salt)} + {salt * INCREMENT + 1}) % {MODULUS})"
+    middle = f"({line} * {line} // 65536 % {MODULUS})"
+    return f"(({middle} * {SECOND_MULTIPLIER} + {line} + {key} // {MODULUS}) % {MODULUS})"

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Target of each source type that always gets one.
@@ -129,3 +131,33 @@ def widens(old: T.DataType, new: T.DataType) -> bool:
     if old in integers[:3] and isinstance(new, T.DoubleType):
         return True
     return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType)
+
+
+# A text that can be a number: sign, digits with a point, exponent, blanks around.
+NUMBER_TEXT = r"^[\x00-\x20]*[+-]?[0-9.]+([eE][+-]?[0-9]+)?[\x00-\x20]*[dDfFlL]?[\x00-\x20]*$"
+INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def try_fit(value: Column, source: T.DataType, target: str) -> Column:
+    """`try_cast`, where values that plainly do not fit are told by a comparison first: a
+    failed cast costs an exception for every row."""
+    wanted = T.DataType.fromDDL(target)
+    fitted = value.try_cast(target)
+    if isinstance(source, T.StringType):
+        exact = isinstance(wanted, (T.IntegralType, T.DecimalType))
+        return F.when(value.rlike(NUMBER_TEXT), fitted) if exact else fitted
+    if not isinstance(source, T.NumericType):
+        return fitted
+    if isinstance(wanted, T.DecimalType):
+        limit = 10 ** (wanted.precision - wanted.scale)
+    elif wanted.simpleString() in INTEGER_BITS:
+        limit = 2 ** (INTEGER_BITS[wanted.simpleString()] - 1) + 1
+    else:
+        return fitted
+    # Values at the limit itself are left to the cast, which rounds.
+    if isinstance(source, T.DecimalType):
+        digits = source.precision - source.scale
+        return fitted if limit >= 10**digits else F.when(value.between(Decimal(-limit), Decimal(limit)), fitted)
+    if isinstance(source, T.IntegralType):
+        return fitted if limit >= 2**63 else F.when(value.between(-limit, limit), fitted)
+    return F.when(value.between(float(-limit), float(limit)), fitted)

@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.types import NUMBER_TEXT
+
 # Text forms of a timestamp besides ISO 8601, in Spark and in Python notation.
 OTHER_DATE_FORMATS = (
     ("MMM d, yyyy", "%b %d, %Y"),
@@ -33,7 +35,7 @@ def parse_integer(text: Column) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    return text.try_cast("double")
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
 def convert_bound(value: Any, strategy: str) -> Any:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.naming import convert_names, unique_names
-from tidemark.functions.types import target_types, widens
+from tidemark.functions.types import target_types, try_fit, widens
 from tidemark.session import materialize
 
 
@@ -62,7 +62,7 @@ def audit_casts(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     measures: list[Column] = []
     for place, (name, target) in enumerate(targets.items()):
         value = F.col(name)
-        fitted = value.try_cast(target)
+        fitted = try_fit(value, df.schema[name].dataType, target)
         numeric = isinstance(df.schema[name].dataType, T.NumericType)
         changed = fitted.cast("double") != value.cast("double") if numeric else F.lit(False)
         if isinstance(df.schema[name].dataType, T.DecimalType):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -322,10 +323,10 @@ def value_of(rule: Rule, key: Column, salt: int, day: int, at: Column) -> Column
         value = drawn % 100 < args[0]
     elif rule.kind == "money":
         # Ten-thousandths: hundredths times a whole percentage.
-        value = ((drawn % args[0] * (100 + args[1] * day)).cast("double") / F.lit(10000.0)).cast("decimal(19,4)")
+        value = _scaled(drawn % args[0] * (100 + args[1] * day), 10000).cast("decimal(19,4)")
     elif rule.kind == "exact":
-        fraction = F.lpad((draw(key, salt + SECOND_DRAW) % 1000000).cast("string"), 6, "0")
-        value = F.concat((drawn % 999999999).cast("string"), F.lit("."), fraction).cast("decimal(38,18)")
+        millionths = _scaled(draw(key, salt + SECOND_DRAW) % 1000000, 1000000)
+        value = ((drawn % 999999999).cast("decimal(10,0)") + millionths).cast("decimal(38,18)")
     elif rule.kind == "ratio":
         value = (drawn % args[0] + args[2]).cast("double") / F.lit(float(args[1]))
     elif rule.kind == "count":
@@ -341,9 +342,9 @@ def value_of(rule: Rule, key: Column, salt: int, day: int, at: Column) -> Column
     elif rule.kind == "text_of_day":
         value = F.concat(F.lit(f"{args[0]}{day}{args[1]}"), (drawn % args[2]).cast("string"))
     elif rule.kind == "days_away":
-        value = (at + F.make_dt_interval((drawn % args[0] * args[1]).cast("int"))).cast("timestamp_ntz")
+        value = F.timestamp_add("DAY", (drawn % args[0] * args[1]).cast("int"), at)
     elif rule.kind == "rate":
-        value = ((drawn % args[0] + args[3]).cast("double") / F.lit(float(args[1]))).cast(args[2])
+        value = _scaled(drawn % args[0] + args[3], args[1]).cast(args[2])
     elif rule.kind == "constant":
         value = F.lit(args[0]).cast(args[1])
     else:
@@ -354,6 +355,11 @@ def value_of(rule: Rule, key: Column, salt: int, day: int, at: Column) -> Column
     return value
 
 
+def _scaled(whole: Column, divisor: int) -> Column:
+    """A whole number of up to 14 digits divided by a power of ten, as an exact decimal."""
+    return whole.cast("decimal(14,0)") * F.lit(Decimal(1) / Decimal(divisor))
+
+
 def uuid_text(seed: Column) -> Column:
     """A repeatable identifier in uuid form."""
     digest = F.md5(seed.cast("string"))

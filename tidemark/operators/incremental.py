@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.watermarks import batch_date, batch_key, bound_literal, convert_bound
 from tidemark.operators.coerce import coerce, map_columns, rename_by_convention
 from tidemark.operators.keys import without_match
-from tidemark.operators.load import Dataset, stamp
+from tidemark.operators.load import LOAD_ID, Dataset, stamp
 from tidemark.sources.scan import scan
 from tidemark.spec import Incremental, TableSpec
 
@@ -43,15 +43,18 @@ def advance(loaded: DataFrame, column: str, previous: Column) -> DataFrame:
     return loaded.agg(F.coalesce(F.max(column), previous).alias("watermark"))
 
 
-def last_loaded(dataset: Dataset, table: str, column: str) -> Any:
-    """Watermark kept in the destination itself; None before the first load."""
-    if not dataset.exists(table):
-        return None
+def loaded_before(dataset: Dataset, table: str, load_id: str) -> DataFrame:
+    """The destination without what an earlier attempt of this load has written."""
     rows = dataset.read(table)
+    return rows.where(F.col(LOAD_ID) != load_id) if LOAD_ID in rows.columns else rows
+
+
+def last_loaded(loaded: DataFrame, column: str) -> Any:
+    """Watermark kept in the destination itself; None when it is empty."""
     highest = F.max(column)
-    if rows.schema[column].dataType.simpleString() == "timestamp":
+    if loaded.schema[column].dataType.simpleString() == "timestamp":
         highest = highest.cast("timestamp_ntz")
-    return rows.agg(highest).first()[0]
+    return loaded.agg(highest).first()[0]
 
 
 def drop_loaded_boundary(
@@ -96,29 +99,45 @@ def run_load(
 ) -> Any:
     """One load of one table: scan, bound, coerce, stamp, write; returns the new watermark.
 
-    The watermark is read back from the destination, so data and state cannot part. The
-    same load run again finds nothing new, except at an inclusive bound, where rows already
-    loaded are dropped by primary key (append) or replaced (merge).
+    The watermark is read back from the destination, so data and state cannot part. At an
+    inclusive bound, rows already loaded are dropped by primary key (append) or replaced
+    (merge). An append under a load id used before takes up that load again from where it
+    began and replaces what it had written.
     """
     source = scan(dataset.spark, spec, **frames)
     names = _new_names(spec, source)
     keys = [names[key.lower()] for key in spec.primary_key]
     order = [names[column.lower()] for column in spec.order_by]
     watermark = names[spec.incremental.column.lower()] if spec.incremental else None
-    last = last_loaded(dataset, spec.target, watermark) if watermark else None
+    appending = spec.disposition == "append"
+    last = loaded = None
+    if watermark and dataset.exists(spec.target):
+        loaded = loaded_before(dataset, spec.target, load_id) if appending else dataset.read(spec.target)
+        last = last_loaded(loaded, watermark)
+        if appending:
+            _require_latest(dataset.read(spec.target), watermark, load_id, last)
     if spec.incremental:
         source = since(source, spec.incremental, last, lookback)
     rows = prepare(source, spec)
-    if spec.disposition == "append" and keys and last is not None:
-        rows = drop_loaded_boundary(rows, dataset.read(spec.target), watermark, last, keys)
+    if appending and keys and last is not None:
+        rows = drop_loaded_boundary(rows, loaded, watermark, last, keys)
     rows = stamp(rows, load_id, loaded_at)
     if spec.disposition == "replace":
         dataset.replace(spec.target, rows)
-    elif spec.disposition == "append":
+    elif appending:
         dataset.append(spec.target, rows, load_id)
     else:
         dataset.merge(spec.target, rows, keys, order or ([watermark] if watermark else []))
-    return last_loaded(dataset, spec.target, watermark) if watermark else None
+    return last_loaded(dataset.read(spec.target), watermark) if watermark else None
+
+
+def _require_latest(target: DataFrame, column: str, load_id: str, last: Any) -> None:
+    """A load id may be used again for the latest load only: its rows are written anew."""
+    if LOAD_ID not in target.columns:
+        return
+    began = target.where(F.col(LOAD_ID) == load_id).agg(F.min(column) < _bound(target, column, last)).first()[0]
+    if began:
+        raise ValueError(f"load id {load_id!r} was used by an earlier load")
 
 
 def _new_names(spec: TableSpec, source: DataFrame) -> dict[str, str]:

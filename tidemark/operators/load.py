@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,17 @@ def merge_rows(
     return without_match(target, latest, keys).unionByName(latest)
 
 
+def merge_into(table: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> None:
+    """Upsert into a table of a catalog with row-level operations, which rewrites only the
+    files it must. Plain parquet tables refuse it; the tests cannot cover it further."""
+    latest = latest_per_key(require_keys(updates, keys), keys, order).alias("updates")
+    matches = [F.col(f"{table}.{key}") == F.col(f"updates.{key}") for key in keys]
+    merge = latest.mergeInto(table, reduce(lambda one, other: one & other, matches))
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 class Dataset:
-    """Destination tables of one run or pipeline."""
+    """Destination tables of one run."""
 
     def __init__(self, spark: SparkSession, name: str | None = None) -> None:
         self.spark = spark
@@ -74,7 +84,7 @@ class Dataset:
             # Kept with the table, so that later overwrites touch their own partitions only.
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         writer.saveAsTable(self.table(version))
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS SELECT * FROM {self.table(version)}")
+        self.view(name, f"SELECT * FROM {self.table(version)}")
         # The version before stays for readers that have planned on it.
         for number in old[:-1]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__v{number}')}")
@@ -90,19 +100,42 @@ class Dataset:
             return
         version = f"{name}__v{self._versions(name)[-1]}"
         batch = df.select(*self.spark.table(self.table(version)).columns)
-        columns = self.spark.catalog.listColumns(f"{self.name}.{version}")
-        by_load = [column.name for column in columns if column.isPartition] == [LOAD_ID]
+        by_load = self._partitions(version) == [LOAD_ID]
         batch.write.insertInto(self.table(version), overwrite=load_id is not None and by_load)
 
-    def merge(self, name: str, df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-        """Upsert into the table, as a new version of it.
+    def merge(
+        self, name: str, df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
+    ) -> None:
+        """Upsert into the table.
 
-        On a catalog with row-level operations, `DataFrame.mergeInto` does this in place.
+        Plain files cannot change in place, so the table is written anew, unless it is
+        partitioned by key columns: then only the partitions that the batch touches are read
+        and written. See `merge_into` for catalogs with row-level operations.
         """
+        if not set(partition_by) <= set(keys):
+            raise ValueError("partition columns of a merge must be key columns")
+        latest = latest_per_key(require_keys(df, keys), keys, order)
         if not self.exists(name):
-            self.replace(name, latest_per_key(require_keys(df, keys), keys, order))
-        else:
+            self.replace(name, latest, partition_by)
+            return
+        if not partition_by:
             self.replace(name, merge_rows(self.read(name), df, keys, order))
+            return
+        version = f"{name}__v{self._versions(name)[-1]}"
+        if self._partitions(version) != list(partition_by):
+            raise ValueError(f"table {name} is partitioned by {self._partitions(version)}")
+        target = self.spark.table(self.table(version))
+        touched = target.join(df.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        merged = merge_rows(touched.select(*target.columns), df, keys, order)
+        merged.select(*target.columns).write.insertInto(self.table(version), overwrite=True)
+
+    def view(self, name: str, text: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {text}")
+
+    def _partitions(self, version: str) -> list[str]:
+        columns = self.spark.catalog.listColumns(f"{self.name}.{version}")
+        return [column.name for column in columns if column.isPartition]
 
     def _versions(self, name: str) -> list[int]:
         found = self.spark.sql(f"SHOW TABLES IN {self.name} LIKE '{name}__v*'")

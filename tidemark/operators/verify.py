@@ -214,19 +214,22 @@ def compare_rows(source: DataFrame, destination: DataFrame) -> DataFrame:
     return counted.where("source_rows <> dest_rows")
 
 
-def in_sample(key: Column, percent: int) -> Column:
-    """Whether a numeric key is in a repeatable sample; both sides draw the same keys."""
-    return draw(key, 0) % 100 < percent
+def in_sample(df: DataFrame, keys: Sequence[str], percent: int) -> Column:
+    """Whether a key is in a repeatable sample; both sides draw the same keys."""
+    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.IntegralType):
+        return draw(F.col(keys[0]).cast("bigint"), 0) % 100 < percent
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys])
+    return F.crc32(text) % 100 < percent
 
 
 def compare_sample(
-    source: DataFrame, destination: DataFrame, key: str, columns: Sequence[str], percent: int = 10
+    source: DataFrame, destination: DataFrame, keys: Sequence[str], columns: Sequence[str], percent: int = 10
 ) -> DataFrame:
     """On a sample of keys, per column: equal values, different values, NULL on one side
     only, and keys absent from one side."""
-    left = source.select(key, *columns).where(in_sample(F.col(key), percent))
-    right = destination.select(key, *columns).where(in_sample(F.col(key), percent))
-    both = _side_by_side(left, right, [key])
+    left = source.select(*keys, *columns).where(in_sample(source, keys, percent))
+    right = destination.select(*keys, *columns).where(in_sample(destination, keys, percent))
+    both = _side_by_side(left, right, keys)
     found_s, found_d = F.col("_s_rows") > 0, F.col("_d_rows") > 0
     present = found_s & found_d
     measures = []

@@ -254,7 +254,7 @@ _SAMPLED = ["o_orderstatus", "o_totalprice", "o_orderdate"]
     ),
 )
 def compare_sample(tables: Tables) -> DataFrame:
-    return op.compare_sample(tables["orders"], faulty_copy(tables), "o_orderkey", _SAMPLED, percent=30)
+    return op.compare_sample(tables["orders"], faulty_copy(tables), ["o_orderkey"], _SAMPLED, percent=30)
 
 
 @query(

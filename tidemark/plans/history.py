@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scd2 as op
 from tidemark.operators import scd2_checks as check
+from tidemark.operators.load import Dataset
+from tidemark.operators.scd2_load import current_table, load_batch, start_dimension
 from tidemark.plans.registry import Tables, query
 
 KEYS, ATTRIBUTES = ["user_id"], ["status"]
@@ -134,6 +136,29 @@ def scd2_apply(tables: Tables) -> DataFrame:
     return op.apply_changes(last_day(tables))
 
 
+LAST_DAYS = ("2024-01-28", "2024-01-29", "2024-01-30")
+CORE = ["user_id", "status", "effective_from", "effective_to", "is_latest", "change_type"]
+DAILY_SQL = f"""(
+    SELECT user_id, event_type, ts, event_id FROM events WHERE ts < TIMESTAMP '{LAST_DAYS[0]}'
+    UNION ALL (
+        SELECT user_id, event_type, date_trunc('day', ts), event_id FROM events WHERE ts >= TIMESTAMP '{LAST_DAYS[0]}'
+        QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts DESC, event_id DESC) = 1))
+"""
+
+
+@query("scd2_load_batches", f"WITH dim AS ({versions_sql(DAILY_SQL)}) SELECT {', '.join(CORE)} FROM dim")
+def scd2_load_batches(tables: Tables) -> DataFrame:
+    """A dimension published, then three daily batches loaded into it, the last one twice."""
+    dataset, history = Dataset(tables.spark), status_history(tables)
+    start_dimension(dataset, "dim", dimension(tables, before=LAST_DAYS[0]))
+    for day in (*LAST_DAYS, LAST_DAYS[-1]):
+        changes = history.where(F.to_date("ts") == F.lit(day).cast("date"))
+        current = current_table(dataset, "dim")
+        batch = op.Batch(current, changes, KEYS, ATTRIBUTES, as_of=day, order=["ts", "event_id"])
+        load_batch(dataset, "dim", f"day-{day}", batch)
+    return dataset.read("dim").select(*CORE)
+
+
 @query(
     "scd2_change_detect",
     f"""

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.watermarks import batch_key
 from tidemark.operators.coerce import coerce
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.load import Dataset, load_selected, stamp
@@ -71,6 +72,25 @@ def load_merge(tables: Tables) -> DataFrame:
     return dataset.read("customer")
 
 
+@query(
+    "load_merge_partitioned",
+    """
+    SELECT CAST(strftime(ts, '%Y%m%d') AS INT) AS batch_key, event_id, user_id,
+           CASE WHEN ts >= TIMESTAMP '2024-01-29' THEN 'seen' ELSE event_type END AS event_type
+    FROM events
+    """,
+)
+def load_merge_partitioned(tables: Tables) -> DataFrame:
+    """A table by day, in which a merge rewrites the days it touches."""
+    dataset = Dataset(tables.spark)
+    rows = tables["events"].select(batch_key(F.col("ts")).alias("batch_key"), "event_id", "user_id", "event_type")
+    keys = ["batch_key", "event_id"]
+    dataset.merge("events", rows.where("batch_key < 20240130"), keys, partition_by=["batch_key"])
+    late = rows.where("batch_key >= 20240129").withColumn("event_type", F.lit("seen"))
+    dataset.merge("events", late, keys, partition_by=["batch_key"])
+    return dataset.read("events")
+
+
 @query(
     "merge_dedup_batch",
     """

@@ -52,6 +52,7 @@ def stream_merge(
     event_time: str | None = None,
     event_id: Sequence[str] = (),
     within: str = "1 day",
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Upsert all new rows of a stream into a table, the latest row of a key counting, then stop.
 
@@ -68,7 +69,7 @@ def stream_merge(
             # A late row must not replace a newer one, so the rows it would replace compete.
             held = into.read(table).join(batch.select(*keys).distinct(), list(keys), "left_semi")
             batch = batch.unionByName(held)
-        into.merge(table, batch, keys, order)
+        into.merge(table, batch, keys, order, partition_by)
 
     _run(rows, checkpoint, write)
 
