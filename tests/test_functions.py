@@ -224,8 +224,8 @@ def test_scan_of_catalog_table_and_query(spark):
 
 
 def test_draws_are_even_and_independent(spark):
-    pair = spark.range(100_000).select((draw(F.col("id"), 1) % 10).alias("a"), (draw(F.col("id"), 2) % 10).alias("b"))
+    pair = spark.range(100_000).select((draw("id", 1) % 10).alias("a"), (draw("id", 2) % 10).alias("b"))
     cells = {tuple(row[:2]): row[2] for row in pair.groupBy("a", "b").count().collect()}
     assert len(cells) == 100 and max(cells.values()) < 1300 and min(cells.values()) > 700
-    top = spark.sql("SELECT 9223372036854775807 AS id").select(draw(F.col("id"), 3)).first()[0]
+    top = spark.sql("SELECT 9223372036854775807 AS id").select(draw("id", 3)).first()[0]
     assert 0 <= top < 2**31

@@ -17,14 +17,20 @@ def _factor(salt: int) -> int:
     return pow(MULTIPLIER, 2 * salt + 3, MODULUS)
 
 
-def draw(key: Column, salt: int) -> Column:
+def draw(key: str, salt: int) -> Column:
     """Number in [0, 2**31) for a non-negative id and a salt, one salt per generated column.
 
-    The middle digits of a square unlink the columns and the neighbouring ids.
+    `key` is a SQL expression; as one text the plan is built in a single call. The middle
+    digits of a square unlink the columns and the neighbouring ids.
     """
-    line = (key % MODULUS * _factor(salt) + (salt * INCREMENT + 1)) % MODULUS
-    middle = F.shiftright(line * line, 16) % MODULUS
-    return (middle * SECOND_MULTIPLIER + line + F.shiftright(key, 31)) % MODULUS
+    line = f"(({key} % {MODULUS} * {_factor(salt)} + {salt * INCREMENT + 1}) % {MODULUS})"
+    middle = f"(shiftright({line} * {line}, 16) % {MODULUS})"
+    return F.expr(f"({middle} * {SECOND_MULTIPLIER} + {line} + shiftright({key}, 31)) % {MODULUS}")
+
+
+def id_text(column: str) -> str:
+    """A column as the SQL text of an id."""
+    return f"CAST(`{column}` AS BIGINT)"
 
 
 def draw_sql(key: str, salt: int) -> str:

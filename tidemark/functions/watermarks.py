@@ -98,9 +98,10 @@ def moment(value: Any) -> Column:
 
 def batch_key(timestamp: Column) -> Column:
     """Calendar key yyyymmdd of a timestamp."""
-    return F.date_format(timestamp, "yyyyMMdd").cast("int")
+    return F.year(timestamp) * 10000 + F.month(timestamp) * 100 + F.day(timestamp)
 
 
 def batch_date(key: Column) -> Column:
     """Midnight of a calendar key."""
-    return F.to_timestamp(key.cast("string"), "yyyyMMdd").cast("timestamp_ntz")
+    day = F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
+    return day.cast("timestamp_ntz")

@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.draws import draw
+from tidemark.functions.draws import draw, id_text
 from tidemark.functions.watermarks import batch_key, moment
 
 SECOND_DRAW = 1000
@@ -313,8 +313,8 @@ def business_key(id_column: Column, width: int = 4) -> Column:
     return F.concat(F.lit("CLIENT_"), padded(id_column, width))
 
 
-def value_of(rule: Rule, key: Column, salt: int, day: int, at: Column) -> Column:
-    """Value of a rule for an id."""
+def value_of(rule: Rule, key: str, salt: int, day: int, at: Column) -> Column:
+    """Value of a rule for an id, a SQL text."""
     drawn = draw(key, salt)
     args = rule.args
     if rule.kind == "pick":
@@ -371,7 +371,7 @@ def generate_rows(
     ids: DataFrame, id_column: str, rules: Sequence[Rule], day: int, at: datetime | str, first_salt: int = 1
 ) -> DataFrame:
     """Columns by rule for every id, without the id."""
-    key, now = F.col(id_column).cast("bigint"), moment(at)
+    key, now = id_text(id_column), moment(at)
     return ids.select(
         *[value_of(rule, key, first_salt + place, day, now).alias(rule.name) for place, rule in enumerate(rules)]
     )
@@ -379,12 +379,12 @@ def generate_rows(
 
 def generate_batch(ids: DataFrame, id_column: str, day: int, at: datetime | str) -> DataFrame:
     """One fact row with all column families per id, for one day; amounts grow by day."""
-    key, now = F.col(id_column).cast("bigint"), moment(at)
+    key, now = id_text(id_column), moment(at)
     made = [value_of(rule, key, 1 + place, day, now).alias(rule.name) for place, rule in enumerate(REPORTING_COLUMNS)]
     calendar = batch_key(now)
-    batch_id = uuid_text(F.concat_ws("-", calendar, key))
+    batch_id = uuid_text(F.concat_ws("-", calendar, F.expr(key)))
     return ids.select(
-        key.alias("RecordID"), calendar.alias("SystemCalendarID"), batch_id.alias("BatchProcessID"), *made
+        F.expr(key).alias("RecordID"), calendar.alias("SystemCalendarID"), batch_id.alias("BatchProcessID"), *made
     )
 
 
@@ -392,9 +392,9 @@ def generate_entities(
     ids: DataFrame, id_column: str, at: datetime | str, rules: Sequence[Rule] = CLIENT_COLUMNS
 ) -> DataFrame:
     """Clients of the first day, one per id."""
-    key, now = F.col(id_column).cast("bigint"), moment(at)
+    key, now = id_text(id_column), moment(at)
     made = [value_of(rule, key, 1 + place, 1, now).alias(rule.name) for place, rule in enumerate(rules)]
-    return ids.select(business_key(key).alias("ClientBusinessKey"), *made)
+    return ids.select(business_key(F.expr(key)).alias("ClientBusinessKey"), *made)
 
 
 def generate_new_entities(
@@ -404,9 +404,9 @@ def generate_new_entities(
     """Clients that appear on a later day: one per id, keys counted up from a reserved number."""
     start = reserved_from if isinstance(reserved_from, Column) else F.lit(reserved_from)
     shifted = ids.select((F.col(id_column).cast("bigint") + start).alias("_key"))
-    key, now = F.col("_key"), moment(at)
+    key, now = id_text("_key"), moment(at)
     made = [value_of(rule, key, 1 + place, day, now).alias(rule.name) for place, rule in enumerate(rules)]
-    return shifted.select(business_key(key).alias("ClientBusinessKey"), *made)
+    return shifted.select(business_key(F.col("_key")).alias("ClientBusinessKey"), *made)
 
 
 def generate_changes(
@@ -418,7 +418,7 @@ def generate_changes(
 ) -> DataFrame:
     """A share of the current entities, each attribute changed with its own odds. `id_column`
     is a number that is the entity's own; other days draw other entities."""
-    key = F.col(id_column).cast("bigint")
+    key = id_text(id_column)
     salt = CHANGE_SALT + 100 * day
     replaced = {}
     for place, change in enumerate(changes, start=1):
@@ -435,7 +435,7 @@ def generate_changes(
 
 def sample_rows(df: DataFrame, key: str, rows: int, seed: int = 0) -> DataFrame:
     """So many rows in random order of a numeric key; the same ones every time."""
-    return df.orderBy(draw(F.col(key), seed), key).limit(rows)
+    return df.orderBy(draw(id_text(key), seed), key).limit(rows)
 
 
 def row_source(df: DataFrame, copies: Column | int, name: str = "copy") -> DataFrame:

@@ -7,7 +7,8 @@ small table with one row per slice. Without a hot key the plan is the plain wind
 
 The slice tables are broadcast. Their size is bounded whatever the data: a hot key has more
 than 1/MAX_GROUPS of all rows, and a key gets one slice per row limit begun, so that there
-are fewer than MAX_GROUPS hot keys and 2 * MAX_GROUPS slices.
+are fewer than MAX_GROUPS hot keys and 2 * MAX_GROUPS slices. The row limit grows with the
+table beyond ROWS_PER_GROUP * MAX_GROUPS rows; a task then sorts that many, spilling.
 
 Rows equal in the key and in the leading order column always share a slice.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 ROWS_PER_GROUP = 4_000_000
-MAX_GROUPS = 4096
+MAX_GROUPS = 16_384
 SLICE = "_slice"
 
 
@@ -54,11 +55,21 @@ def slice_hot_keys(
             ).alias("_cuts"),
         )
     )
-    cut_off = F.when(
-        F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda cut: cut < F.col(by)))
-    )
+    # The cuts of a key go into about as many runs as a run has cuts, so that a row is
+    # compared with the first cuts of the runs and with the cuts of one run.
+    width = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
+    starts = F.sequence(F.lit(1), F.size("_cuts"), width)
+    runs = cuts.select(
+        *keys, width.alias("_width"), F.transform(starts, lambda start: F.slice("_cuts", start, width)).alias("_runs")
+    ).withColumn("_firsts", F.transform("_runs", lambda run: run[0]))
+    at = F.col(by)
+    run = F.size(F.filter("_firsts", lambda cut: cut < at))
+    within = F.size(F.filter(F.element_at("_runs", F.greatest(run, F.lit(1))), lambda cut: cut < at))
+    number = F.when(run == 0, 0).otherwise((run - 1) * F.col("_width") + within)
     return (
-        join_on_keys(df, F.broadcast(cuts), keys, "left").withColumn(SLICE, cut_off).drop("_cuts")
+        join_on_keys(df, F.broadcast(runs), keys, "left")
+        .withColumn(SLICE, F.when(F.col("_runs").isNotNull(), number))
+        .drop("_width", "_runs", "_firsts")
     )
 
 

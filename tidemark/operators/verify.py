@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.draws import draw
+from tidemark.functions.draws import draw, id_text
 from tidemark.operators.coerce import unpivot_columns
 
 RESULT_TYPES = {
@@ -217,7 +217,7 @@ def compare_rows(source: DataFrame, destination: DataFrame) -> DataFrame:
 def in_sample(df: DataFrame, keys: Sequence[str], percent: int) -> Column:
     """Whether a key is in a repeatable sample; both sides draw the same keys."""
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.IntegralType):
-        return draw(F.col(keys[0]).cast("bigint"), 0) % 100 < percent
+        return draw(id_text(keys[0]), 0) % 100 < percent
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys])
     return F.crc32(text) % 100 < percent
 

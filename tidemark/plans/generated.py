@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.draws import draw_sql
+from tidemark.functions.draws import draw_sql, id_text
 from tidemark.operators import generate as op
 from tidemark.plans.registry import Tables, query
 
@@ -83,7 +83,7 @@ def generate_categories(tables: Tables) -> DataFrame:
     ids = tables["events"].select("event_id")
     now = F.lit(AT).cast("timestamp_ntz")
     made = [
-        op.value_of(rule, F.col("event_id"), 1 + place, 1, now).alias(rule.name) for place, rule in enumerate(CATEGORIES)
+        op.value_of(rule, id_text("event_id"), 1 + place, 1, now).alias(rule.name) for place, rule in enumerate(CATEGORIES)
     ]
     return ids.select("event_id", *made)
 
@@ -121,10 +121,9 @@ def change_sql(change: op.Change, place: int, day: int) -> str:
     """,
 )
 def generate_changes(tables: Tables) -> DataFrame:
-    key = F.col("c_custkey").cast("bigint")
     now = F.lit(AT).cast("timestamp_ntz")
-    made = [op.value_of(rule, key, 1 + place, 1, now).alias(rule.name) for place, rule in enumerate(op.CLIENT_COLUMNS)]
-    clients = tables["customer"].select("c_custkey", op.business_key(key).alias("ClientBusinessKey"), *made)
+    made = [op.value_of(rule, id_text("c_custkey"), 1 + place, 1, now).alias(rule.name) for place, rule in enumerate(op.CLIENT_COLUMNS)]
+    clients = tables["customer"].select("c_custkey", op.business_key(F.col("c_custkey")).alias("ClientBusinessKey"), *made)
     return op.generate_changes(clients, "c_custkey", day=2)
 
 
