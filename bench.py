@@ -20,9 +20,9 @@ HEADLINE = {
     "coerce_auto": "lineitem",
     "coercion_audit": "lineitem",
     "assign_surrogate_key": "orders",
-    "load_replace": "customer",
     "load_append": "orders",
-    "load_merge": "customer",
+    "load_merge_orders": "orders",
+    "load_merge_partitioned": "events",
     "load_selected_tables": "lineitem",
     "merge_dedup_batch": "orders",
     "incr_append_run": "events",

@@ -230,6 +230,9 @@ CLIENT_COLUMNS = (
     pick("SegmentCode", "Enterprise", "SMB", "Startup"),
     pick("PriorityLevel", "High", "Medium", "Low"),
     constant("StatusCode", "Active"),
+    constant("CategoryCode", "CAT_A"),
+    constant("SubCategoryCode", "SUB_01"),
+    constant("ClassificationCode", "CLS_1"),
     rate("CreditLimit", 100000, 1, "decimal(19,4)", 10000),
     constant("PaymentTerms", "Net 30"),
     rate("DiscountRate", 500, 10000, "decimal(5,4)"),
@@ -239,6 +242,8 @@ CLIENT_COLUMNS = (
     constant("IsVip", False, "boolean"),
     constant("IsPremium", False, "boolean"),
     constant("IsVerified", True, "boolean"),
+    constant("AcceptsMarketing", True, "boolean"),
+    constant("RequiresApproval", False, "boolean"),
 )
 
 # Attributes of clients that appear on a later day.
@@ -263,6 +268,9 @@ NEW_CLIENT_COLUMNS = (
     constant("SegmentCode", "Startup"),
     constant("PriorityLevel", "Medium"),
     constant("StatusCode", "New"),
+    constant("CategoryCode", "CAT_NEW"),
+    constant("SubCategoryCode", "SUB_NEW"),
+    constant("ClassificationCode", "CLS_NEW"),
     constant("CreditLimit", 25000, "decimal(19,4)"),
     constant("PaymentTerms", "Net 15"),
     constant("DiscountRate", "0.0000", "decimal(5,4)"),
@@ -272,6 +280,8 @@ NEW_CLIENT_COLUMNS = (
     constant("IsVip", False, "boolean"),
     constant("IsPremium", False, "boolean"),
     constant("IsVerified", False, "boolean"),
+    constant("AcceptsMarketing", True, "boolean"),
+    constant("RequiresApproval", True, "boolean"),
 )
 
 

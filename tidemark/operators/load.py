@@ -46,6 +46,13 @@ def merge_rows(
     return without_match(target, latest, keys).unionByName(latest)
 
 
+def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a partition brought together, so that not every task writes a file into every
+    partition. The rebalance hint splits large partitions again. Rows of one load need none."""
+    columns = [name for name in partition_by if name != LOAD_ID]
+    return df.hint("rebalance", *columns) if columns else df
+
+
 def merge_into(table: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> None:
     """Upsert into a table of a catalog with row-level operations, which rewrites only the
     files it must. Plain parquet tables refuse it; the tests cannot cover it further."""
@@ -79,7 +86,7 @@ class Dataset:
         """Make the table hold exactly these rows. They may come from the table itself."""
         old = self._versions(name)
         version = f"{name}__v{(old[-1] if old else 0) + 1}"
-        writer = df.write.format("parquet").mode("overwrite")
+        writer = _by_partition(df, partition_by).write.format("parquet").mode("overwrite")
         if partition_by:
             # Kept with the table, so that later overwrites touch their own partitions only.
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
@@ -128,7 +135,8 @@ class Dataset:
         target = self.spark.table(self.table(version))
         touched = target.join(df.select(*partition_by).distinct(), list(partition_by), "left_semi")
         merged = merge_rows(touched.select(*target.columns), df, keys, order)
-        merged.select(*target.columns).write.insertInto(self.table(version), overwrite=True)
+        batch = _by_partition(merged.select(*target.columns), partition_by)
+        batch.write.insertInto(self.table(version), overwrite=True)
 
     def view(self, name: str, text: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {text}")

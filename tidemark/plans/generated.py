@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.draws import draw_sql, id_text
 from tidemark.operators import generate as op
+from tidemark.operators import scd2
 from tidemark.plans.registry import Tables, query
 
 # The same rules as SQL text for the other engine.
@@ -121,10 +122,64 @@ def change_sql(change: op.Change, place: int, day: int) -> str:
     """,
 )
 def generate_changes(tables: Tables) -> DataFrame:
+    return op.generate_changes(_numbered_clients(tables), "c_custkey", day=2)
+
+
+def _numbered_clients(tables: Tables) -> DataFrame:
     now = F.lit(AT).cast("timestamp_ntz")
-    made = [op.value_of(rule, id_text("c_custkey"), 1 + place, 1, now).alias(rule.name) for place, rule in enumerate(op.CLIENT_COLUMNS)]
-    clients = tables["customer"].select("c_custkey", op.business_key(F.col("c_custkey")).alias("ClientBusinessKey"), *made)
-    return op.generate_changes(clients, "c_custkey", day=2)
+    made = [
+        op.value_of(rule, id_text("c_custkey"), 1 + place, 1, now).alias(rule.name)
+        for place, rule in enumerate(op.CLIENT_COLUMNS)
+    ]
+    key = op.business_key(F.col("c_custkey")).alias("ClientBusinessKey")
+    return tables["customer"].select("c_custkey", key, *made)
+
+
+ATTRIBUTES = [rule.name for rule in op.CLIENT_COLUMNS]
+_LISTED = ", ".join(f'"{name}"' for name in ATTRIBUTES)
+_DIFFERS = " OR ".join(f'o."{name}" IS DISTINCT FROM n."{name}"' for name in ATTRIBUTES)
+_REASON = ", ".join(f"CASE WHEN o.\"{name}\" IS DISTINCT FROM n.\"{name}\" THEN '{name}' END" for name in ATTRIBUTES)
+CHANGES_SQL = f"""
+    SELECT * REPLACE ({", ".join(change_sql(change, place, 2) for place, change in enumerate(op.CLIENT_CHANGES, start=1))})
+    FROM clients WHERE {draw_sql("c_custkey", op.CHANGE_SALT + 200)} % 100 < {op.CHANGED_SHARE_PERCENT}
+"""
+
+
+def _version_sql(start: str, end: str, change: str, reason: str, author: str, key: int) -> str:
+    return (
+        f"TIMESTAMP '{start}' AS effective_from, {end} AS effective_to, {end} IS NULL AS is_latest, "
+        f"{key} AS batch_key, '{change}' AS change_type, {reason} AS change_reason, {author} AS modified_by"
+    )
+
+
+@query(
+    "scd2_populate",
+    f"""
+    WITH {CLIENTS_SQL}, chg AS ({CHANGES_SQL}),
+    pairs AS (SELECT o.*, n.c_custkey IS NOT NULL AND ({_DIFFERS}) AS hit FROM clients o LEFT JOIN chg n USING (c_custkey)),
+    fresh AS (SELECT s_suppkey + 1 + (SELECT MAX(c_custkey) FROM customer) AS k FROM supplier)
+    SELECT "ClientBusinessKey", {_LISTED}, {_version_sql("2024-03-01", "CASE WHEN hit THEN TIMESTAMP '2024-03-01 23:59:59' END",
+        "INSERT", "'Initial client load'", "CASE WHEN hit THEN 'SCD2_ETL_UPDATE' ELSE 'SCD2_ETL_INITIAL' END", 20240301)}
+    FROM pairs
+    UNION ALL
+    SELECT n."ClientBusinessKey", {", ".join(f'n."{name}"' for name in ATTRIBUTES)}, {_version_sql("2024-03-02", "CAST(NULL AS TIMESTAMP)",
+        "UPDATE", f"'Changed: ' || concat_ws(', ', {_REASON})", "'SCD2_ETL_UPDATE'", 20240302)}
+    FROM chg n JOIN clients o USING (c_custkey) WHERE {_DIFFERS}
+    UNION ALL
+    SELECT 'CLIENT_' || {padded_sql("k", 4)}, {_LISTED}, {_version_sql("2024-03-02", "CAST(NULL AS TIMESTAMP)",
+        "INSERT", "'New client onboarding'", "'SCD2_ETL_NEW'", 20240302)}
+    FROM (SELECT k, {rules_sql(op.NEW_CLIENT_COLUMNS, "k", 2, AT_SQL)} FROM fresh)
+    """,
+)
+def scd2_populate(tables: Tables) -> DataFrame:
+    """A generated dimension after two days: first versions, then changes and new clients."""
+    clients = _numbered_clients(tables)
+    dimension = scd2.initial_versions(clients, ["ClientBusinessKey"], ATTRIBUTES, "2024-03-01")
+    changes = op.generate_changes(clients, "c_custkey", day=2).drop("c_custkey")
+    reserved = tables["customer"].agg(F.max("c_custkey") + 1).scalar()
+    fresh = op.generate_new_entities(tables["supplier"], "s_suppkey", reserved, 2, AT)
+    batch = scd2.Batch(dimension, changes.unionByName(fresh), ["ClientBusinessKey"], ATTRIBUTES, "2024-03-02")
+    return scd2.apply_changes(batch)
 
 
 @query(

@@ -1,5 +1,7 @@
 """Incremental loads."""
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,7 +9,6 @@ from tidemark.functions.watermarks import batch_key, parse_integer, parse_number
 from tidemark.operators import incremental as op
 from tidemark.operators.coerce import coerce
 from tidemark.operators.load import Dataset
-from tidemark.operators.profile import batch_stats
 from tidemark.plans.registry import Tables, query
 from tidemark.spec import Incremental, TableSpec
 
@@ -238,23 +239,24 @@ def incr_merge_run(tables: Tables) -> DataFrame:
 @query(
     "env_subset_load",
     """
-    SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS batch_key, COUNT(*) AS record_count,
-           MIN(o_orderdate) AS earliest_record, MAX(o_orderdate) AS latest_record,
-           format('{:,}', COUNT(*)) AS formatted_count
+    SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS o_totalprice,
+           o_orderdate, o_orderpriority, 'dev' AS _load_id
     FROM orders
     WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND (o_orderstatus = 'O' OR o_orderstatus IS NULL)
-    GROUP BY 1
     """,
 )
 def env_subset_load(tables: Tables) -> DataFrame:
-    """A development run: a stricter filter and a later start, reported by batch."""
-    from dataclasses import replace
-
-    from tidemark.sources.scan import scan
-
-    full = TableSpec("orders", incremental=Incremental("o_orderdate", "1990-01-01"))
+    """A development run: the spec of the full load with a filter and a later start."""
+    full = TableSpec(
+        "orders",
+        disposition="append",
+        primary_key=("o_orderkey",),
+        incremental=Incremental("o_orderdate", "1990-01-01"),
+        source_types={"o_totalprice": "money"},
+    )
     dev = replace(
         full, where="o_orderstatus = 'O' OR o_orderstatus IS NULL", incremental=Incremental("o_orderdate", "1998-01-01")
     )
-    rows = op.since(scan(tables.spark, dev, orders=tables["orders"]), dev.incremental)
-    return batch_stats(rows.withColumn("batch_key", batch_key(F.col("o_orderdate"))), "batch_key", "o_orderdate")
+    dataset = Dataset(tables.spark)
+    op.run_load(dataset, dev, "dev", "2024-02-01", orders=tables["orders"])
+    return dataset.read("orders").drop("_loaded_at")

@@ -72,6 +72,34 @@ def load_merge(tables: Tables) -> DataFrame:
     return dataset.read("customer")
 
 
+@query(
+    "load_merge_orders",
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 100 ELSE o_totalprice END
+           AS o_totalprice, o_orderdate, o_orderpriority FROM orders
+    UNION ALL
+    SELECT c_custkey + 1 + (SELECT MAX(o_orderkey) FROM orders), c_custkey, 'N', c_acctbal, TIMESTAMP '2024-01-01', '0-NEW'
+    FROM customer
+    """,
+)
+def load_merge_orders(tables: Tables) -> DataFrame:
+    """Open orders get dearer, and every customer places one more."""
+    dataset = Dataset(tables.spark)
+    dataset.replace("orders", tables["orders"])
+    dearer = tables["orders"].where("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") + 100)
+    highest = tables["orders"].agg(F.max("o_orderkey")).scalar()
+    placed = tables["customer"].select(
+        (F.col("c_custkey") + 1 + highest).alias("o_orderkey"),
+        F.col("c_custkey").alias("o_custkey"),
+        F.lit("N").alias("o_orderstatus"),
+        F.col("c_acctbal").alias("o_totalprice"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("0-NEW").alias("o_orderpriority"),
+    )
+    dataset.merge("orders", dearer.unionByName(placed), ["o_orderkey"], ["o_orderdate"])
+    return dataset.read("orders")
+
+
 @query(
     "load_merge_partitioned",
     """

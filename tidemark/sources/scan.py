@@ -19,12 +19,12 @@ def scan(spark: SparkSession, spec: TableSpec, **frames: DataFrame) -> DataFrame
 
     JDBC needs a driver on the class path; the tests cover its options only.
     """
-    if spec.query:
+    if spec.format == "jdbc":
+        df = spark.read.format("jdbc").options(**jdbc_options(spec)).load()
+    elif spec.query:
         df = scan_query(spark, spec.query, **frames)
     elif spec.source in frames:
         df = frames[spec.source]
-    elif spec.format == "jdbc":
-        df = spark.read.format("jdbc").options(dbtable=spec.source, **spec.options).load()
     elif "/" in spec.source:
         df = spark.read.format(spec.format).options(**spec.options).load(spec.source)
     else:
@@ -33,6 +33,13 @@ def scan(spark: SparkSession, spec: TableSpec, **frames: DataFrame) -> DataFrame
     return df.select(*spec.columns) if spec.columns else df
 
 
+def jdbc_options(spec: TableSpec) -> dict[str, str]:
+    """Options of a JDBC read: a table or query in chunks of the spec's size. Options given by
+    the user win; `jdbc_partitions` gives those of a parallel read."""
+    source = {"query": spec.query} if spec.query else {"dbtable": spec.source}
+    return {"fetchsize": str(spec.chunk_rows)} | source | dict(spec.options)
+
+
 def scan_query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     """Result of a user's SELECT; `{name}` in the text stands for a frame given by name."""
     return spark.sql(text, **frames)
