@@ -33,7 +33,7 @@ from tidemark.spec import Incremental, TableSpec, split_name
         ("ntext", "string"),
         ("char(10)", None),
         ("uniqueidentifier", "string"),
-        ("datetime2", "timestamp"),
+        ("datetime2", "timestamp_ntz"),
         ("bigint", "bigint"),
         ("int", None),
         ("bit", "boolean"),

@@ -55,6 +55,8 @@ def test_apply_day_by_day_equals_build(spark, rows):
         moment = START + timedelta(days=day)
         batch = scd2.Batch(dimension, history.where(F.col("ts") == F.lit(str(moment)).cast("timestamp_ntz")), ["k"], ["a", "b"], moment)
         dimension = materialize(scd2.apply_changes(batch))
+        split = scd2.closed_rows(batch).unionByName(scd2.current_rows(batch)).unionByName(batch.history())
+        assert rows(split) == rows(dimension)
         again = scd2.Batch(dimension, batch.changes, ["k"], ["a", "b"], moment)
         assert rows(scd2.apply_changes(again)) == rows(dimension)
     assert rows(dimension.select(*CORE)) == rows(build(history).select(*CORE))
@@ -88,7 +90,9 @@ def test_late_changes_are_set_aside(spark, rows):
 def test_deletes_only_close_and_keys_come_back(spark):
     dimension = small_dimension(spark)
     gone = spark.createDataFrame([("x", "p", 1, True), ("new", "n", 1, True)], "k string, a string, b int, deleted boolean")
-    after = materialize(scd2.apply_changes(scd2.Batch(dimension, gone, ["k"], ["a", "b"], "2024-01-05", delete_flag="deleted")))
+    batch = scd2.Batch(dimension, gone, ["k"], ["a", "b"], "2024-01-05", delete_flag="deleted")
+    after = materialize(scd2.apply_changes(batch))
+    assert scd2.closed_rows(batch).count() == 1 and scd2.current_rows(batch).count() == 2
     assert after.where("k = 'x'").select("is_latest").collect() == [(False,)]
     assert after.where("k = 'new'").count() == 0
     back = spark.createDataFrame([("x", "p", 1)], "k string, a string, b int")

@@ -18,7 +18,7 @@ TARGET_TYPES = {
     "float": "double",
     "real": "double",
     "uniqueidentifier": "string",
-    "datetime2": "timestamp",
+    "datetime2": "timestamp_ntz",
     "bigint": "bigint",
     "bit": "boolean",
 }
@@ -71,7 +71,6 @@ _DECLARED_FOR = {
     "double": "float",
     "float": "real",
     "boolean": "bit",
-    "timestamp": "datetime2",
     "timestamp_ntz": "datetime2",
 }
 

@@ -12,22 +12,30 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.types import NUMBER_TEXT
 
-# Text forms of a timestamp besides ISO 8601, in Spark and in Python notation.
+# Text forms of a timestamp besides ISO 8601, as a pattern, in Spark and in
+# Python notation. Digits alone are a compact date, never a year.
 OTHER_DATE_FORMATS = (
-    ("MMM d, yyyy", "%b %d, %Y"),
-    ("MM/dd/yyyy", "%m/%d/%Y"),
-    ("yyyyMMdd", "%Y%m%d"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy", "%b %d, %Y"),
+    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy", "%m/%d/%Y"),
+    (r"^\d{8}$", "yyyyMMdd", "%Y%m%d"),
 )
+ZONED_TEXT = r"\d:\d.*(Z|[+-]\d{1,2}(:?\d{2})?)\s*$"
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Timestamp of an ISO text, with or without a zone, or of one of the other formats; else NULL."""
-    compact = F.lit(OTHER_DATE_FORMATS[-1][0])
-    others = [F.try_to_timestamp(text, F.lit(form)) for form, _ in OTHER_DATE_FORMATS[:-1]]
-    # Eight digits are a compact date, never a year.
-    iso = F.when(~text.rlike(r"^\d+$"), text.try_cast("timestamp"))
-    day = F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, compact))
-    return F.coalesce(iso, *others, day).cast("timestamp_ntz")
+    """Timestamp of an ISO text or of one of the other formats, else NULL. A text with a zone
+    gives its time in UTC, whatever the zone of the session."""
+    epoch = F.lit("1970-01-01 00:00:00")
+    since_epoch = text.try_cast("timestamp") - F.concat(epoch, F.lit("Z")).cast("timestamp")
+    others = [
+        F.when(text.rlike(pattern), F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz"))
+        for pattern, form, _ in OTHER_DATE_FORMATS
+    ]
+    return F.coalesce(
+        F.when(text.rlike(ZONED_TEXT), epoch.cast("timestamp_ntz") + since_epoch),
+        F.when(~text.rlike(r"^\d+$"), text.try_cast("timestamp_ntz")),
+        *others,
+    )
 
 
 def parse_integer(text: Column) -> Column:
@@ -57,7 +65,7 @@ def _timestamp_bound(value: Any) -> datetime:
             return datetime.fromisoformat(value)
         except ValueError:
             pass
-        for _, form in OTHER_DATE_FORMATS:
+        for _, _, form in OTHER_DATE_FORMATS:
             try:
                 return datetime.strptime(value, form)
             except ValueError:

@@ -269,6 +269,20 @@ def apply_changes(batch: Batch) -> DataFrame:
     return batch.history().unionByName(seen).unionByName(batch.added_rows())
 
 
+def closed_rows(batch: Batch) -> DataFrame:
+    """The versions a batch closes."""
+    touched = batch.compared("inner").where(batch.touched() & batch.in_time())
+    return touched.select(batch.old_row().alias("_row")).select("_row.*")
+
+
+def current_rows(batch: Batch) -> DataFrame:
+    """The current versions after a batch."""
+    closed = batch.touched() & batch.in_time()
+    row = F.when(~closed, batch.old_row()).when(~batch.gone(), batch.opened_row())
+    seen = batch.compared("left").select(row.alias("_row")).where("_row IS NOT NULL")
+    return seen.select("_row.*").unionByName(batch.added_rows())
+
+
 def close_versions(batch: Batch) -> DataFrame:
     """The dimension with the touched versions closed, before new ones open."""
     seen = batch.compared("left").select(batch.old_row().alias("_row")).select("_row.*")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.load import LOAD_ID, Dataset, merge_rows
-from tidemark.operators.scd2 import Batch, VersionColumns, apply_changes
+from tidemark.operators.scd2 import Batch, VersionColumns, closed_rows, current_rows
 
 CURRENT, CLOSED = "_current", "_closed"
 FIRST_LOAD = "initial"
@@ -37,14 +37,12 @@ def load_batch(dataset: Dataset, name: str, load_id: str, batch: Batch) -> None:
     A load that fails in between and runs again finds the current table as it was and closes
     the same versions, which replace those written before.
     """
-    end = F.col(batch.cols.end)
-    after = apply_changes(batch)
     before = dataset.read(name + CLOSED).where(F.col(LOAD_ID) == load_id)
     closed = merge_rows(
-        before.select(*batch.dimension.columns), after.where(end.isNotNull()), [*batch.keys, batch.cols.start]
+        before.select(*batch.dimension.columns), closed_rows(batch), [*batch.keys, batch.cols.start]
     )
     dataset.append(name + CLOSED, closed, load_id=load_id)
-    dataset.replace(name + CURRENT, after.where(end.isNull()))
+    dataset.replace(name + CURRENT, current_rows(batch))
 
 
 def current_table(dataset: Dataset, name: str) -> DataFrame:
