@@ -121,6 +121,8 @@ def test_surrogate_keys_have_no_gaps(spark, partitions):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id")).repartition(partitions)
     keyed = coerce.assign_surrogate_key(df, "key", ["id"], 100)
     assert [row[0] for row in keyed.select(F.col("key") - F.col("id")).distinct().collect()] == [101]
+    copies = coerce.assign_surrogate_key(spark.range(9000).select(F.lit(1).alias("same")).repartition(partitions), "key", ["same"])
+    assert copies.agg(F.min("key"), F.max("key"), F.count_distinct("key")).first()[:] == (1, 9000, 9000)
     assert coerce.assign_surrogate_key(df.limit(0), "key", ["id"]).count() == 0
 
 

@@ -166,6 +166,8 @@ def test_as_of_join_with_a_hot_key(spark, rows, limit):
     assert rows(joined) == brute_as_of(facts, versions)
     left = scd2.join_as_of(frame, dimension, ["k"], "at", ["a"], how="left", rows_per_group=limit)
     assert left.count() == len(facts)
+    coarse = scd2.join_as_of(frame, dimension, ["k"], "at", ["a"], how="left", coarse_times=True, rows_per_group=limit)
+    assert rows(coarse) == rows(left)
     with pytest.raises(ValueError):
         scd2.join_as_of(frame, dimension, ["k"], "at", ["a"], how="right")
 
@@ -239,3 +241,14 @@ def test_slices_of_a_hot_key_are_even(spark):
     sliced = ordered.slice_hot_keys(frame, ["k"], "t", 1000)
     sizes = [row["count"] for row in sliced.where("_slice IS NOT NULL").groupBy("k", "_slice").count().collect()]
     assert sum(sizes) == 30_000 and len(sizes) >= 25 and max(sizes) < 2500
+
+
+def test_a_hot_key_of_open_versions_is_sliced(spark):
+    frame = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+        F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit(START.isoformat(" ")).cast("timestamp_ntz")).alias("effective_from"),
+        F.lit(None).cast("timestamp_ntz").alias("effective_to"),
+    )
+    found = check.overlapping_versions(frame, ["k"], "v", rows_per_group=100)
+    assert found.select("k", "overlapping").distinct().collect() == [(-1, 999)] and found.count() == 1000

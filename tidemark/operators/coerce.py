@@ -171,13 +171,16 @@ def assign_surrogate_key(
     """Number rows without gaps in the given order, from `after` + 1.
 
     Range partitions are sorted and written with their row positions, then shifted by the
-    sizes of the partitions before them: no global window. `order` should be unique.
+    sizes of the partitions before them: no global window. Rows equal in `order` come in any
+    order, and many of them spread over several partitions.
     """
     # The id holds the partition in its upper bits and the row's position in the lower 33.
     numbered = materialize(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_position", F.monotonically_increasing_id()),
+        df.withColumn("_tie", F.rand(0))
+        .repartitionByRange(*order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .withColumn("_position", F.monotonically_increasing_id())
+        .drop("_tie"),
         "numbered",
     )
     part = F.shiftright("_position", 33)

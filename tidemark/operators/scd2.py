@@ -14,6 +14,7 @@ from tidemark.functions.watermarks import batch_key, moment
 from tidemark.operators.keys import latest_per_key, without_match
 from tidemark.operators.ordered import (
     ROWS_PER_GROUP,
+    join_on_keys,
     slice_hot_keys,
     with_last_known,
     with_next,
@@ -378,6 +379,7 @@ def join_as_of(
     fact_time: str,
     attributes: Sequence[str],
     how: str = "inner",
+    coarse_times: bool = False,
     rows_per_group: int = ROWS_PER_GROUP,
     cols: VersionColumns = COLUMNS,
 ) -> DataFrame:
@@ -386,9 +388,18 @@ def join_as_of(
     Versions and facts of a key are laid on one time line, and each fact takes the version
     last begun: one shuffle and one sort, linear in rows however many versions a key has.
     The versions of a key must not overlap (see the overlap check).
+
+    Where many facts share a key and a time, as with times of whole days, `coarse_times`
+    looks up each key and time once and joins the facts to the answers.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type {how!r}")
+    if coarse_times:
+        asked = facts.select(*keys, fact_time).distinct()
+        answers = join_as_of(
+            asked, dimension, keys, fact_time, attributes, "inner", False, rows_per_group, cols
+        )
+        return join_on_keys(facts, answers, [*keys, fact_time], how)
     opened = dimension.select(
         *keys,
         F.col(cols.start).alias("_time"),

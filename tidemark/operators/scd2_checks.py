@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.watermarks import moment
 from tidemark.operators.ordered import (
     ROWS_PER_GROUP,
     join_on_keys,
@@ -46,10 +47,14 @@ def _sweep(
     its start and begin before its end.
 
     Starts and ends of a key lie on one time line, ends first, and running counts along it
-    answer both: linear in versions however many overlap.
+    answer both: linear in versions however many overlap. Open ends follow all starts in any
+    order; they get times of their own, so that a hot key full of them can be sliced.
     """
-    end = F.coalesce(F.col(cols.end), F.lit(OPEN_END).cast("timestamp_ntz"))
-    formed = dimension.select(*keys, version, F.col(cols.start).alias("_from"), end.alias("_to")).where("_from < _to")
+    spread = F.timestamp_add("SECOND", F.pmod(F.xxhash64(version), F.lit(10_000_000)).cast("int"), moment(OPEN_END))
+    end = F.coalesce(F.col(cols.end), spread)
+    formed = dimension.select(*keys, version, F.col(cols.start).alias("_from"), end.alias("_to")).where(
+        (F.col("_from") < F.col("_to")) & (F.col("_from") < moment(OPEN_END))
+    )
     points = formed.select(
         *keys,
         version,

@@ -240,6 +240,21 @@ def fact_join_as_of_sliced(tables: Tables) -> DataFrame:
     return _join_as_of(tables, rows_per_group=FEW_ROWS)
 
 
+@query(
+    "fact_join_as_of_coarse",
+    f"""
+    WITH {DIM}, facts AS (SELECT event_id, user_id, value, date_trunc('day', ts) + INTERVAL 1 DAY AS happened_at FROM events)
+    SELECT f.*, d.status FROM facts f JOIN dim d ON f.user_id = d.user_id
+    AND f.happened_at >= d.effective_from AND f.happened_at < coalesce(d.effective_to, TIMESTAMP '9999-12-31')
+    """,
+)
+def fact_join_as_of_coarse(tables: Tables) -> DataFrame:
+    """Facts booked at the end of their day."""
+    booked = F.date_add(F.to_date("ts"), 1).cast("timestamp_ntz").alias("happened_at")
+    facts = tables["events"].select("event_id", "user_id", "value", booked)
+    return op.join_as_of(facts, dimension(tables), KEYS, "happened_at", ATTRIBUTES, coarse_times=True)
+
+
 @query("fact_left_join_as_of", AS_OF_SQL.replace("FROM facts f JOIN", "FROM facts f LEFT JOIN"))
 def fact_left_join_as_of(tables: Tables) -> DataFrame:
     return _join_as_of(tables, how="left")
