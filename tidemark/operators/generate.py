@@ -79,6 +79,16 @@ def rate(name: str, below: int, divisor: int, spark_type: str, offset: int = 0)
     return Rule(name, "rate", (below, divisor, spark_type, offset))
 
 
+def exact_plus(name: str, below: int, fraction: str) -> Rule:
+    """A whole number and a fixed fraction."""
+    return Rule(name, "exact_plus", (below, fraction))
+
+
+def days_off(name: str, days: int) -> Rule:
+    """So many days from now."""
+    return Rule(name, "days_off", (days,))
+
+
 def constant(name: str, value: Any, spark_type: str = "string") -> Rule:
     return Rule(name, "constant", (value, spark_type))
 
@@ -208,6 +218,99 @@ REPORTING_COLUMNS = (
     text("ClassificationCode", "CLS", 99, "", 2),
 )
 
+# Columns of the reporting fact that its quick form makes another way.
+QUICK_CHANGES = (
+    constant("RegionCode", "NAM"),
+    constant("CountryCode", "US"),
+    constant("TerritoryCode", "TERR001"),
+    constant("SegmentCode", "Enterprise"),
+    money("Revenue", 100000),
+    money("Cost", 80000),
+    money("Profit", 20000),
+    money("MarginAmount", 5000),
+    money("TaxAmount", 10000),
+    money("DiscountAmount", 2000),
+    money("CommissionAmount", 3000),
+    money("BonusAmount", 1000),
+    money("PenaltyAmount", 500),
+    money("AdjustmentAmount", 250),
+    exact_plus("NetAmount", 999999, "0.123456789012345678"),
+    exact_plus("GrossAmount", 999999, "0.234567890123456789"),
+    exact_plus("CumulativeAmount", 999999, "0.345678901234567890"),
+    exact_plus("YearToDateAmount", 999999, "0.456789012345678901"),
+    exact_plus("LifetimeValue", 999999, "0.567890123456789012"),
+    count("TransactionCount", 100),
+    count("OrderCount", 50),
+    count("ProductCount", 10),
+    count("ServiceCount", 5),
+    count("UserCount", 100),
+    count("SessionCount", 500),
+    count("ClickCount", 1000),
+    count("ViewCount", 10000),
+    count("DownloadCount", 100),
+    count("ShareCount", 50),
+    count("CommentCount", 10),
+    count("LikeCount", 100),
+    count("FollowCount", 20),
+    count("ReferralCount", 5),
+    count("ComplaintCount", 10),
+    by_day("ClientName", ("Day1 Client ", "Day2 Client ", "Day3 Client "), "Incremental Client ", 999),
+    by_day("CompanyName", ("Day1 Business ", "Day2 Business ", "Day3 Business "), "Next Business ", 999),
+    constant("Industry", "Technology"),
+    constant("Sector", "Software"),
+    constant("BusinessType", "B2B"),
+    text("ContactName", "Contact Person ", 99),
+    constant("EmailAddress", "test@example.com"),
+    constant("PhoneNumber", "+1-555-0199"),
+    constant("Address1", "123 Test St"),
+    constant("Address2", None),
+    constant("City", "Test City"),
+    constant("StateProvince", "CA"),
+    constant("PostalCode", "12345"),
+    constant("Website", "https://test.com"),
+    constant("SocialMediaHandle", "@test"),
+    constant("PreferredLanguage", "English"),
+    constant("TimeZone", "UTC-8"),
+    constant("Currency", "USD"),
+    constant("PaymentMethod", "Credit Card"),
+    constant("IsActive", True, "boolean"),
+    constant("IsVip", False, "boolean"),
+    constant("IsPremium", True, "boolean"),
+    constant("IsVerified", True, "boolean"),
+    constant("IsBlocked", False, "boolean"),
+    constant("IsDeleted", False, "boolean"),
+    constant("HasDiscount", True, "boolean"),
+    constant("HasLoyaltyCard", True, "boolean"),
+    constant("AcceptsMarketing", True, "boolean"),
+    constant("AcceptsEmails", True, "boolean"),
+    constant("AcceptsSms", False, "boolean"),
+    constant("AcceptsCalls", False, "boolean"),
+    constant("RequiresApproval", False, "boolean"),
+    constant("IsTestAccount", False, "boolean"),
+    constant("IsInternalAccount", False, "boolean"),
+    constant("HasApiAccess", True, "boolean"),
+    constant("HasMobileApp", True, "boolean"),
+    constant("HasWebAccess", True, "boolean"),
+    constant("RequiresTwoFactor", True, "boolean"),
+    constant("IsCompliant", True, "boolean"),
+    days_off("CreatedDate", 0),
+    days_off("ModifiedDate", 0),
+    constant("LastLoginDate", None, "timestamp_ntz"),
+    constant("LastPurchaseDate", None, "timestamp_ntz"),
+    constant("LastContactDate", None, "timestamp_ntz"),
+    days_off("RegistrationDate", -30),
+    constant("ExpiryDate", None, "timestamp_ntz"),
+    constant("RenewalDate", None, "timestamp_ntz"),
+    constant("SuspensionDate", None, "timestamp_ntz"),
+    days_off("ActivationDate", 0),
+    rate("ExchangeRate", 20000, 10000, "decimal(15,6)", 5000),
+    rate("GrowthRate", 500, 1000, "decimal(8,4)", -250),
+    constant("PriorityLevel", "High"),
+    constant("StatusCode", "Active"),
+)
+_quick = {rule.name: rule for rule in QUICK_CHANGES}
+QUICK_COLUMNS = tuple(_quick.get(rule.name, rule) for rule in REPORTING_COLUMNS)
+
 # Attributes of the client dimension on its first day.
 CLIENT_COLUMNS = (
     number("ClientID", 100000, 1000),
@@ -353,6 +456,11 @@ def value_of(rule: Rule, key: str, salt: int, day: int, at: Column) -> Column:
         value = F.concat(F.lit(f"{args[0]}{day}{args[1]}"), (drawn % args[2]).cast("string"))
     elif rule.kind == "days_away":
         value = F.timestamp_add("DAY", (drawn % args[0] * args[1]).cast("int"), at)
+    elif rule.kind == "exact_plus":
+        whole = (drawn % args[0]).cast("decimal(10,0)")
+        value = (whole + F.lit(args[1]).cast("decimal(18,18)")).cast("decimal(38,18)")
+    elif rule.kind == "days_off":
+        value = F.timestamp_add("DAY", F.lit(args[0]), at)
     elif rule.kind == "rate":
         value = _scaled(drawn % args[0] + args[3], args[1]).cast(args[2])
     elif rule.kind == "constant":
@@ -387,10 +495,12 @@ def generate_rows(
     )
 
 
-def generate_batch(ids: DataFrame, id_column: str, day: int, at: datetime | str) -> DataFrame:
+def generate_batch(
+    ids: DataFrame, id_column: str, day: int, at: datetime | str, rules: Sequence[Rule] = REPORTING_COLUMNS
+) -> DataFrame:
     """One fact row with all column families per id, for one day; amounts grow by day."""
     key, now = id_text(id_column), moment(at)
-    made = [value_of(rule, key, 1 + place, day, now).alias(rule.name) for place, rule in enumerate(REPORTING_COLUMNS)]
+    made = [value_of(rule, key, 1 + place, day, now).alias(rule.name) for place, rule in enumerate(rules)]
     calendar = batch_key(now)
     batch_id = uuid_text(F.concat_ws("-", calendar, F.expr(key)))
     return ids.select(

@@ -53,6 +53,22 @@ def row_count(name: str, source: DataFrame, destination: DataFrame, tolerance: i
     )
 
 
+def failed(spark: SparkSession, table: str, check: str, error: str) -> DataFrame:
+    """A check that could not be made."""
+    return spark.range(1).select(*_result(table_name=table, check_name=check, passed=F.lit(False), error=error))
+
+
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count per table."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+            for name, df in tables.items()
+        ],
+    )
+
+
 def table_ranges(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Per table: row count, least and greatest key; each table comes with its key column."""
     return reduce(
@@ -144,7 +160,11 @@ def reconcile_batches(source: DataFrame, destination: DataFrame, key: str) -> Da
         .otherwise("differs")
     )
     return left.join(right, key, "full_outer").select(
-        key, there.alias("source_count"), here.alias("dest_count"), (there - here).alias("difference"), status.alias("status")
+        key,
+        there.alias("source_count"),
+        here.alias("dest_count"),
+        (there - here).alias("difference"),
+        status.alias("status"),
     )
 
 
@@ -200,7 +220,8 @@ def compare_values(source: DataFrame, destination: DataFrame, keys: Sequence[str
         .when(F.col("_s").eqNullSafe(F.col("_d")), "same")
         .otherwise("changed")
     )
-    return both.select(*keys, status.alias("status"), F.col("_s_rows").alias("source_rows"), F.col("_d_rows").alias("dest_rows"))
+    counts = [F.col("_s_rows").alias("source_rows"), F.col("_d_rows").alias("dest_rows")]
+    return both.select(*keys, status.alias("status"), *counts)
 
 
 def compare_rows(source: DataFrame, destination: DataFrame) -> DataFrame:

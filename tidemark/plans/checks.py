@@ -13,8 +13,10 @@ from tidemark.plans.scans import ORDER_TYPES, profile_sql
 COPY_SQL = """
     copy AS (
         SELECT o_orderkey, o_custkey,
-               CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
-               CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END
+                   AS o_orderstatus,
+               CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END
+                   AS o_totalprice,
                o_orderdate, o_orderpriority
         FROM orders WHERE o_orderdate >= TIMESTAMP '1995-03-01'
         UNION ALL
@@ -191,7 +193,8 @@ def verify_rules(tables: Tables) -> DataFrame:
     f"""
     WITH {COPY_SQL},
     s AS (SELECT o_orderdate, COUNT(*) AS n FROM orders GROUP BY 1),
-    d AS (SELECT o_orderdate, COUNT(*) AS n FROM copy WHERE NOT (o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1999-06-01') GROUP BY 1)
+    d AS (SELECT o_orderdate, COUNT(*) AS n FROM copy
+          WHERE NOT (o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1999-06-01') GROUP BY 1)
     SELECT o_orderdate, coalesce(s.n, 0) AS source_count, coalesce(d.n, 0) AS dest_count,
            coalesce(s.n, 0) - coalesce(d.n, 0) AS difference,
            CASE WHEN d.n IS NULL THEN 'missing_in_destination' WHEN s.n IS NULL THEN 'missing_in_source'
@@ -298,7 +301,8 @@ def compare_rows(tables: Tables) -> DataFrame:
            COUNT(*) FILTER (WHERE NOT passed) AS failed_checks,
            COUNT(*) FILTER (WHERE passed) * CAST(100 AS DOUBLE) / COUNT(*) AS success_rate,
            bool_and(passed) AS overall_passed,
-           (SELECT string_agg(t, ',' ORDER BY t) FROM (SELECT DISTINCT table_name AS t FROM r WHERE NOT passed)) AS tables_with_issues
+           (SELECT string_agg(t, ',' ORDER BY t) FROM (SELECT DISTINCT table_name AS t FROM r WHERE NOT passed))
+               AS tables_with_issues
     FROM r
     """,
 )

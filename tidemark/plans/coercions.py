@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import coerce as op
+from tidemark.operators.generate import uuid_text
 from tidemark.plans.registry import Tables, query
 
 
@@ -54,8 +55,6 @@ def coerce_double(tables: Tables) -> DataFrame:
     """,
 )
 def coerce_text(tables: Tables) -> DataFrame:
-    from tidemark.operators.generate import uuid_text
-
     rows = tables["customer"].select(uuid_text(F.col("c_name")).alias("row_guid"), "c_custkey", "c_name")
     return op.coerce(rows, {"row_guid": "uniqueidentifier", "c_custkey": "text", "c_name": "varchar(max)"})
 
@@ -159,40 +158,38 @@ def coercion_audit(tables: Tables) -> DataFrame:
     return op.audit_casts(tables["lineitem"], AUDITED)
 
 
+# Decimal columns: how each is made, in SQL both engines read, and its declared type.
 PRECISE = {
-    "amount": ("o_totalprice", 19, 4),
-    "exact_amount": ("o_totalprice", 38, 18),
-    "unit_amount": ("o_totalprice / 7", 38, 6),
+    "amount": ("CAST(o_totalprice AS DECIMAL(19,4))", 19, 4),
+    "exact_amount": ("CAST(CAST(o_totalprice AS DECIMAL(19,4)) AS DECIMAL(38,18))", 38, 18),
+    "unit_amount": ("CAST(CAST(o_totalprice / 7 AS DECIMAL(19,6)) AS DECIMAL(38,6))", 38, 6),
 }
+PRECISE_SQL = ", ".join(f"{made} AS {name}" for name, (made, _, _) in PRECISE.items())
+
+
+def _digits_sql(name: str) -> tuple[str, str]:
+    text = f"CAST(abs({name}) AS VARCHAR)"
+    return f"length(ltrim(split_part({text}, '.', 1), '0'))", f"length(rtrim(split_part({text}, '.', 2), '0'))"
+
+
+def _precision_sql(name: str, precision: int, scale: int) -> str:
+    whole, fraction = _digits_sql(name)
+    return f"""
+        SELECT '{name}' AS column_name, {precision} AS declared_precision, {scale} AS declared_scale,
+               {(precision, scale) == (19, 4)} AS as_expected, CAST(MAX({whole}) AS INT) AS integer_digits,
+               CAST(MAX({fraction}) AS INT) AS fraction_digits,
+               COUNT(*) FILTER (WHERE {whole} > 15 OR {fraction} > 4) AS beyond_expected
+        FROM src
+    """
 
 
 @query(
     "precision_audit",
-    f"""
-    WITH src AS (
-        SELECT {", ".join(f"CAST(CAST({source} AS DECIMAL(19,{min(scale, 6) if scale != 18 else 4})) AS DECIMAL({size},{scale})) AS {name}" for name, (source, size, scale) in PRECISE.items())}
-        FROM orders
-    )
-    """
-    + " UNION ALL ".join(
-        f"""
-        SELECT '{name}' AS column_name, {size} AS declared_precision, {scale} AS declared_scale,
-               {(size, scale) == (19, 4)} AS as_expected,
-               CAST(MAX(length(ltrim(split_part(CAST(abs({name}) AS VARCHAR), '.', 1), '0'))) AS INT) AS integer_digits,
-               CAST(MAX(length(rtrim(split_part(CAST(abs({name}) AS VARCHAR), '.', 2), '0'))) AS INT) AS fraction_digits,
-               COUNT(*) FILTER (WHERE length(ltrim(split_part(CAST(abs({name}) AS VARCHAR), '.', 1), '0')) > 15
-                   OR length(rtrim(split_part(CAST(abs({name}) AS VARCHAR), '.', 2), '0')) > 4) AS beyond_expected
-        FROM src
-        """
-        for name, (_, size, scale) in PRECISE.items()
-    ),
+    f"WITH src AS (SELECT {PRECISE_SQL} FROM orders)"
+    + " UNION ALL ".join(_precision_sql(name, *declared) for name, (_, *declared) in PRECISE.items()),
 )
 def precision_audit(tables: Tables) -> DataFrame:
-    typed = {
-        name: F.expr(source).cast(f"decimal(19,{4 if scale == 18 else min(scale, 6)})").cast(f"decimal({size},{scale})")
-        for name, (source, size, scale) in PRECISE.items()
-    }
-    rows = tables["orders"].select(*[column.alias(name) for name, column in typed.items()])
+    rows = tables["orders"].select(*[F.expr(made).alias(name) for name, (made, _, _) in PRECISE.items()])
     return op.audit_precision(rows, list(PRECISE))
 
 
@@ -253,7 +250,10 @@ def rename_convention_sql_safe(tables: Tables) -> DataFrame:
     return op.rename_by_convention(op.map_columns(tables["orders"], odd), "sql_ci_v1")
 
 
-@query("column_mapping", "SELECT c_custkey AS client_id, c_name AS client_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@query(
+    "column_mapping",
+    "SELECT c_custkey AS client_id, c_name AS client_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+)
 def column_mapping(tables: Tables) -> DataFrame:
     return op.map_columns(tables["customer"], {"c_custkey": "client_id", "c_name": "client_name"})
 

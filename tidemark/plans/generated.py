@@ -9,11 +9,12 @@ from tidemark.operators import scd2
 from tidemark.plans.registry import Tables, query
 
 # The same rules as SQL text for the other engine.
-SQL_TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "int": "INT"}
+SQL_TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "int": "INT", "timestamp_ntz": "TIMESTAMP"}
 
 
 def padded_sql(value: str, width: int) -> str:
-    return f"CASE WHEN length(CAST({value} AS VARCHAR)) >= {width} THEN CAST({value} AS VARCHAR) ELSE lpad(CAST({value} AS VARCHAR), {max(width, 1)}, '0') END"
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {max(width, 1)}, '0') END"
 
 
 def rule_sql(rule: op.Rule, key: str, salt: int, day: int, at: str) -> str:
@@ -42,6 +43,10 @@ def rule_sql(rule: op.Rule, key: str, salt: int, day: int, at: str) -> str:
         value = f"'{args[0]}{day}{args[1]}' || CAST({drawn} % {args[2]} AS VARCHAR)"
     elif rule.kind == "days_away":
         value = f"{at} + to_days(CAST({drawn} % {args[0]} * ({args[1]}) AS INT))"
+    elif rule.kind == "exact_plus":
+        value = f"CAST(CAST({drawn} % {args[0]} AS VARCHAR) || '{args[1][1:]}' AS DECIMAL(38,18))"
+    elif rule.kind == "days_off":
+        value = f"{at} + to_days({args[0]})"
     elif rule.kind == "rate":
         value = f"CAST(CAST({drawn} % {args[0]} + ({args[3]}) AS DOUBLE) / {args[1]} AS {args[2]})"
     else:
@@ -62,19 +67,26 @@ def rules_sql(rules, key: str, day: int, at: str) -> str:
 AT, AT_SQL = "2024-03-01 08:30:00", "TIMESTAMP '2024-03-01 08:30:00'"
 
 
-@query(
-    "generate_batch",
-    f"""
-    SELECT o_orderkey AS "RecordID", 20240301 AS "SystemCalendarID",
-           CAST(CAST(md5('20240301-' || CAST(o_orderkey AS VARCHAR)) AS UUID) AS VARCHAR) AS "BatchProcessID",
-           {rules_sql(op.REPORTING_COLUMNS, "o_orderkey", 2, AT_SQL)}
-    FROM orders
-    """,
-)
+def batch_sql(rules, day: int) -> str:
+    return f"""
+        SELECT o_orderkey AS "RecordID", 20240301 AS "SystemCalendarID",
+               CAST(CAST(md5('20240301-' || CAST(o_orderkey AS VARCHAR)) AS UUID) AS VARCHAR) AS "BatchProcessID",
+               {rules_sql(rules, "o_orderkey", day, AT_SQL)}
+        FROM orders
+    """
+
+
+@query("generate_batch", batch_sql(op.REPORTING_COLUMNS, 2))
 def generate_batch(tables: Tables) -> DataFrame:
     return op.generate_batch(tables["orders"].select("o_orderkey"), "o_orderkey", 2, AT)
 
 
+@query("generate_batch_quick", batch_sql(op.QUICK_COLUMNS, 4))
+def generate_batch_quick(tables: Tables) -> DataFrame:
+    """A day after the initial load, in the quick form."""
+    return op.generate_batch(tables["orders"].select("o_orderkey"), "o_orderkey", 4, AT, op.QUICK_COLUMNS)
+
+
 CATEGORY_NAMES = ("Industry", "CountryCode", "IsActive", "IsDeleted", "ParentClientID", "Address2", "LastLoginDate")
 CATEGORIES = [rule for rule in op.REPORTING_COLUMNS if rule.name in CATEGORY_NAMES]
 

@@ -23,7 +23,8 @@ def versions_sql(source: str = "events") -> str:
                CAST(strftime(ts, '%Y%m%d') AS INT) AS batch_key,
                CASE WHEN first_row THEN 'INSERT' ELSE 'UPDATE' END AS change_type,
                CASE WHEN first_row THEN 'Initial client load' ELSE 'Changed: status' END AS change_reason,
-               CASE WHEN first_row AND lead(ts) OVER w IS NULL THEN 'SCD2_ETL_INITIAL' ELSE 'SCD2_ETL_UPDATE' END AS modified_by
+               CASE WHEN first_row AND lead(ts) OVER w IS NULL THEN 'SCD2_ETL_INITIAL' ELSE 'SCD2_ETL_UPDATE' END
+                   AS modified_by
         FROM (SELECT *, row_number() OVER h = 1 AS first_row, lag(event_type) OVER h AS before FROM {source}
               WINDOW h AS (PARTITION BY user_id ORDER BY ts, event_id))
         WHERE first_row OR before IS DISTINCT FROM event_type
@@ -280,7 +281,10 @@ def scd2_trend_sliced(tables: Tables) -> DataFrame:
 
 
 # A dimension gone wrong: every event is an open current version.
-OPEN_SQL = "open AS (SELECT user_id, event_id, ts AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_latest FROM events)"
+OPEN_SQL = """
+    open AS (SELECT user_id, event_id, ts AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
+             TRUE AS is_latest FROM events)
+"""
 
 
 def all_open(tables: Tables) -> DataFrame:
@@ -295,7 +299,10 @@ def all_open(tables: Tables) -> DataFrame:
 
 @query(
     "scd2_check_single_current",
-    f"WITH {OPEN_SQL} SELECT user_id, COUNT(*) AS current_versions FROM open WHERE is_latest GROUP BY 1 HAVING COUNT(*) > 1",
+    f"""
+    WITH {OPEN_SQL}
+    SELECT user_id, COUNT(*) AS current_versions FROM open WHERE is_latest GROUP BY 1 HAVING COUNT(*) > 1
+    """,
 )
 def scd2_check_single_current(tables: Tables) -> DataFrame:
     return check.several_current(all_open(tables), KEYS)
