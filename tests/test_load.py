@@ -213,3 +213,28 @@ def test_selection_of_tables(spark, users):
     outcome = {row.table_name: (row.status, row.row_count, row.error) for row in failure.value.results.collect()}
     assert outcome["users"] == ("success", 3, None) and outcome["comments"] == ("success", 3, None)
     assert outcome["broken"] == ("failed", None, "no such source")
+
+
+def test_appended_rows_are_fitted_to_the_table(spark, rows):
+    dataset = Dataset(spark)
+    dataset.append("t", spark.sql("SELECT 1L AS id, CAST(1.5 AS DECIMAL(19,4)) AS amount"), load_id="a")
+    dataset.append("t", spark.sql("SELECT CAST(2.5 AS DECIMAL(10,4)) AS Amount, 2 AS ID"), load_id="b")
+    with pytest.raises(ValueError, match="does not fit"):
+        dataset.append("t", spark.sql("SELECT 3L AS id, CAST(1.5 AS DECIMAL(38,18)) AS amount"), load_id="c")
+    more = spark.sql("SELECT 4L AS id, 'x' AS note")
+    with pytest.raises(ValueError, match="'note'"):
+        dataset.append("t", more, load_id="d")
+    dataset.append("t", more, load_id="d", evolve=True)
+    found = dataset.read("t").select("id", F.col("amount").cast("string"), "note", "_load_id")
+    assert rows(found) == [(1, "1.5000", None, "a"), (2, "2.5000", None, "b"), (4, None, "x", "d")]
+    with pytest.raises(ValueError, match="'note2'"):
+        dataset.merge("t", spark.sql("SELECT 4L AS id, 'x' AS note2"), ["id"])
+
+
+def test_named_datasets_lie_where_told(spark, tmp_path):
+    dataset = Dataset(spark, "reporting_test", str(tmp_path / "reporting"))
+    dataset.replace("t", spark.range(3))
+    assert (tmp_path / "reporting" / "t__v1").exists()
+    assert Dataset(spark, "reporting_test").read("t").count() == 3
+    with pytest.raises(ValueError, match="not a database name"):
+        Dataset(spark, "a; drop")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.coerce import align_schema
 from tidemark.operators.keys import latest_per_key, require_keys, without_match
 from tidemark.session import fresh_path
 from tidemark.spec import TableSpec
@@ -65,13 +66,16 @@ def merge_into(table: str, updates: DataFrame, keys: Sequence[str], order: Seque
 class Dataset:
     """Destination tables of one run."""
 
-    def __init__(self, spark: SparkSession, name: str | None = None) -> None:
+    def __init__(self, spark: SparkSession, name: str | None = None, location: str | None = None) -> None:
+        """A named dataset lies where the catalog or `location` says, an unnamed one in the
+        shared folder."""
         self.spark = spark
         self.name = name or f"tidemark_{uuid.uuid4().hex}"
         if not re.fullmatch(r"\w+", self.name):
             raise ValueError(f"not a database name: {self.name!r}")
         if not spark.catalog.databaseExists(self.name):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name} LOCATION '{fresh_path(spark, self.name)}'")
+            folder = location if name else fresh_path(spark, self.name)
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name}" + (f" LOCATION '{folder}'" if folder else ""))
 
     def table(self, name: str) -> str:
         return f"{self.name}.`{name}`"
@@ -96,9 +100,13 @@ class Dataset:
         for number in old[:-1]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__v{number}')}")
 
-    def append(self, name: str, df: DataFrame, load_id: str | None = None) -> None:
+    def append(self, name: str, df: DataFrame, load_id: str | None = None, evolve: bool = False) -> None:
         """Add rows. In a table begun with a load id, the rows of a load id form a partition, which
-        a retry of that load overwrites instead of doubling."""
+        a retry of that load overwrites instead of doubling.
+
+        Rows are fitted to the table's schema; columns it lacks are an error unless `evolve`
+        is set, when they are added to it.
+        """
         partition = [LOAD_ID] if load_id is not None else []
         if load_id is not None:
             df = df.withColumn(LOAD_ID, F.lit(load_id))
@@ -106,7 +114,9 @@ class Dataset:
             self.replace(name, df, partition)
             return
         version = f"{name}__v{self._versions(name)[-1]}"
-        batch = df.select(*self.spark.table(self.table(version)).columns)
+        batch = self._fitted(version, df, evolve)
+        if evolve:
+            batch = self._add_columns(name, version, batch)
         by_load = self._partitions(version) == [LOAD_ID]
         batch.write.insertInto(self.table(version), overwrite=load_id is not None and by_load)
 
@@ -126,10 +136,11 @@ class Dataset:
         if not self.exists(name):
             self.replace(name, latest, partition_by)
             return
+        version = f"{name}__v{self._versions(name)[-1]}"
+        df = self._fitted(version, df)
         if not partition_by:
             self.replace(name, merge_rows(self.read(name), df, keys, order))
             return
-        version = f"{name}__v{self._versions(name)[-1]}"
         if self._partitions(version) != list(partition_by):
             raise ValueError(f"table {name} is partitioned by {self._partitions(version)}")
         target = self.spark.table(self.table(version))
@@ -138,6 +149,21 @@ class Dataset:
         batch = _by_partition(merged.select(*target.columns), partition_by)
         batch.write.insertInto(self.table(version), overwrite=True)
 
+    def _fitted(self, version: str, df: DataFrame, evolve: bool = False) -> DataFrame:
+        fitted, extra = align_schema(df, self.spark.table(self.table(version)).schema, evolve)
+        if extra and not evolve:
+            raise ValueError(f"columns {extra} are not in {version}")
+        return fitted
+
+    def _add_columns(self, name: str, version: str, batch: DataFrame) -> DataFrame:
+        known = self.spark.table(self.table(version)).columns
+        new = [field for field in batch.schema.fields if field.name not in known]
+        if new:
+            added = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
+            self.spark.sql(f"ALTER TABLE {self.table(version)} ADD COLUMNS ({added})")
+            self.view(name, f"SELECT * FROM {self.table(version)}")
+        return batch.select(*self.spark.table(self.table(version)).columns)
+
     def view(self, name: str, text: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {text}")
 
