@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import bpe
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -44,3 +46,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
     )
+
+
+@query("op3_bpe")
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+    return bpe.digests(bpe.decode(encoded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
