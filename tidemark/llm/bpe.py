@@ -20,14 +20,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401 - pa.compute
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import fresh_path, runs_of, scratch_name
+from tidemark.llm.common import fresh_path, runs_of, scratch_name, text_sizes
 
 FOLD_BYTES = 48
 BLOCK_BYTES = 24 << 20
@@ -198,8 +198,7 @@ def _text_tokens(ranks: dict[bytes, int]) -> dict[str, int]:
 
 def _blocks(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(place)).fill_null(0).to_pylist()
-        for begin, end in runs_of(sizes, BLOCK_BYTES):
+        for begin, end in runs_of(text_sizes(batch.column(place)), BLOCK_BYTES):
             yield batch.slice(begin, end - begin)
 
 
@@ -329,7 +328,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
         pieces = load_pieces(path)
         for batch in batches:
             lists = batch.column(place)
-            sizes = [size or 0 for size in pa.compute.list_value_length(lists).to_pylist()]
+            sizes = [size or 0 for size in pc.list_value_length(lists).to_pylist()]
             for begin, end in runs_of(sizes, 1 << 20):
                 texts = [
                     decode_pieces(one.values.to_numpy(), pieces) if one.is_valid else None

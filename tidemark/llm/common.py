@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import fresh_path, materialize, shared_dir
 
-__all__ = ["delete_path", "materialize", "fresh_path", "shared_dir", "read_documents", "byte_texts", "runs_of", "scratch_name"]
+__all__ = ["delete_path", "materialize", "fresh_path", "shared_dir", "read_documents", "byte_texts", "text_sizes", "runs_of", "scratch_name"]
 
 CHUNK_BYTES = 4 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -40,6 +41,11 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
 
 
+def text_sizes(column: pa.Array) -> list[int]:
+    """Bytes of each text; null has none."""
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
+
+
 def runs_of(sizes: list[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs of rows of at most `limit` bytes; a larger row is a run of its own."""
     begin, held = 0, 0

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, language
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -54,3 +54,9 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
     return bpe.digests(bpe.decode(encoded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op2_language")
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
