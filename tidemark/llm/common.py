@@ -69,6 +69,36 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+class HashArray:
+    """Sorted hashes with a directory by their highest bits; `find` gives positions, or -1."""
+
+    def __init__(self, codes: np.ndarray):
+        hashes = mix(codes)
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        bits = max(1, int(len(codes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.longest = int(np.diff(np.append(self.starts, len(codes))).max()) if len(codes) else 0
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        found = np.full(len(codes), -1, dtype=np.int32)
+        if len(self.hashes) == 0:
+            return found
+        hashes, left = mix(codes), np.arange(len(codes))
+        at = self.starts[hashes >> self.shift]
+        for _ in range(self.longest):
+            here = self.hashes[np.minimum(at, len(self.hashes) - 1)]
+            hit = here == hashes
+            found[left[hit]] = at[hit]
+            go = here < hashes
+            go[at >= len(self.hashes) - 1] = False
+            left, hashes, at = left[go], hashes[go], at[go] + 1
+            if len(left) == 0:
+                break
+        return found
+
+
 _powers = np.ones(1, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -90,29 +120,43 @@ _FOLD[65:91] += 32
 _BYTE_VALUE = mix(_FOLD + np.uint64(0x1234567))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of texts, A-Z lower-cased, split at ASCII space: one pass over all bytes.
+# Everything but ASCII letters and the bytes of other characters parts words in this other reading.
+NOT_LETTER = np.array([not (65 <= value <= 90 or 97 <= value <= 122 or value >= 128) for value in range(256)])
+
 
-    Returns a 64-bit hash for each word, its start and end within the joined bytes, and for each text the index
-    of its first word, with one index more for the end.
+class Words:
+    """Words of texts, A-Z lower-cased, split at ASCII space or other separators, by one pass over all bytes.
+
+    `starts` and `ends` are places in the joined bytes, `bounds` holds for each text the index of its first word, with
+    one index more for the end.
     """
-    joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    space = _IS_SPACE[joined]
-    before = np.concatenate([[True], space[:-1]])
-    starts = np.flatnonzero(before & ~space)
-    ends = np.flatnonzero(space & ~before)
-    if len(starts) == 0:
-        none = np.zeros(0, dtype=np.int64)
-        return none.astype(np.uint64), none, none, np.zeros(len(texts) + 1, dtype=np.int64)
-    lengths = ends - starts
-    place = np.arange(len(joined), dtype=np.int64)
-    place -= np.repeat(np.concatenate([[0], starts]), np.diff(np.concatenate([[0], starts, [len(joined)]])))
-    values = _BYTE_VALUE[joined] * _power_table(int(place.max()) + 1)[place]
-    values[space] = 0
-    hashes = mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64))
-    sizes = np.array([len(text) + 1 for text in texts], dtype=np.int64)
-    text_starts = np.concatenate([[0], np.cumsum(sizes)])
-    return hashes, starts, ends, np.searchsorted(starts, text_starts)
+
+    def __init__(self, texts: list[bytes], separator: np.ndarray = _IS_SPACE):
+        joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+        space = separator[joined]
+        before = np.concatenate([[True], space[:-1]])
+        self.starts = np.flatnonzero(before & ~space)
+        self.ends = np.flatnonzero(space & ~before)
+        self.lengths = self.ends - self.starts
+        sizes = np.array([len(text) + 1 for text in texts], dtype=np.int64)
+        self.bounds = np.searchsorted(self.starts, np.concatenate([[0], np.cumsum(sizes)]))
+        place = np.arange(len(joined), dtype=np.int64)
+        edges = np.concatenate([[0], self.starts])
+        place -= np.repeat(edges, np.diff(np.append(edges, len(joined))))
+        values = _BYTE_VALUE[joined] * _power_table(int(place.max(initial=0)) + 1)[place]
+        values[space] = 0
+        # Sums of all bytes before, so that the sum of a word or of its first letters is a difference.
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values, dtype=np.uint64)])
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word."""
+        return mix(self.sums[self.ends] - self.sums[self.starts] + self.lengths.astype(np.uint64))
+
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes of the words of more than `size` bytes, and a hash of their first `size` bytes."""
+        long = np.flatnonzero(self.lengths > size)
+        first = self.starts[long]
+        return long, mix(self.sums[first + size] - self.sums[first] + np.uint64(size << 32))
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language
+from tidemark.llm import bpe, language, toxicity
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -60,3 +60,9 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder).select("doc_id", "text", "lang")
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    return toxicity.judge(docs, read_documents(spark, folder, "labels")).drop("text")
