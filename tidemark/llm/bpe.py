@@ -2,9 +2,9 @@
 
 Texts are cut into words by the pattern of the vocabulary. The distinct words that occur most often in the corpus
 are folded once by Spark's higher-order functions with a literal map of the merges, and tasks get that table, which
-is of bounded size. What is left in a block of texts is merged there, each distinct word once, by the same merges: the
+is of bounded size. Other words are merged where they are met, the distinct new ones of a block side by side: the
 higher-order functions are interpreted and take about 70 microseconds a word, far too long for the rare words of a
-corpus, and quadratic time for long ones. Texts are read twice and never shuffled.
+corpus, and long words would take them quadratic time. Texts are read twice and never shuffled.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import itertools
 import json
 from collections import Counter
 from collections.abc import Iterator
@@ -27,10 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import fresh_path, runs_of, scratch_name, text_sizes
+from tidemark.llm.common import HashArray, fresh_path, runs_of, scratch_name, text_sizes
 
 FOLD_BYTES = 48
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 4 << 20
+KEPT_WORDS = 1 << 18
 HEAD_WORDS = 1 << 17
 BUCKETS = 1 << 16
 SPREAD = 48_271
@@ -65,22 +65,47 @@ def heap_merge(word: bytes, ranks: dict[bytes, int], below: int = 1 << 62) -> li
     return [ranks[part] for part in parts if part is not None]
 
 
-def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word; short words take less time by searching their few pairs than with a heap."""
-    if len(word) > FOLD_BYTES:
-        return heap_merge(word, ranks)
-    rank_of, none = ranks.get, 1 << 62
-    parts = [word[i : i + 1] for i in range(len(word))]
-    found = [rank_of(word[i : i + 2], none) for i in range(len(word) - 1)]
-    while found and (best := min(found)) < none:
-        i = found.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del found[i]
-        if i:
-            found[i - 1] = rank_of(parts[i - 1] + parts[i], none)
-        if i < len(found):
-            found[i] = rank_of(parts[i] + parts[i + 1], none)
-    return [ranks[part] for part in parts]
+def merge_words(words: list[bytes], byte_ids: np.ndarray, merges: HashArray, made: np.ndarray) -> tuple:
+    """Ids of words side by side, and how many each has: in each round every word does its next merge.
+
+    `merges` finds a pair of ids, left * WIDE + right, and `made` holds the ids they become, in its order.
+    """
+    sizes = np.array([len(word) for word in words], dtype=np.int64)
+    parts = byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+    owner = np.repeat(np.arange(len(words)), sizes)
+
+    def ranks_of(at: np.ndarray) -> np.ndarray:
+        """Rank of the pair that begins at each place; NOTHING at the end of a word."""
+        after = np.minimum(at + 1, len(parts) - 1)
+        found = merges.find((parts[at] * WIDE + parts[after]).astype(np.uint64))
+        pair = (found >= 0) & (owner[at] == owner[after]) & (after > at)
+        return np.where(pair, made[np.maximum(found, 0)], NOTHING)
+
+    ranks = ranks_of(np.arange(len(parts)))
+    done_owner, done_parts = [], []
+    while len(parts):
+        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        best = np.repeat(np.minimum.reduceat(ranks, starts), np.diff(np.append(starts, len(parts))))
+        go = best < NOTHING
+        done_owner.append(owner[~go])
+        done_parts.append(parts[~go])
+        parts, owner, ranks, best = parts[go], owner[go], ranks[go], best[go]
+        if len(parts) == 0:
+            break
+        at = np.flatnonzero(ranks == best)
+        at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])]  # the leftmost in each word
+        parts[at] = best[at]
+        stay = np.ones(len(parts), dtype=bool)
+        stay[at + 1] = False
+        at -= np.arange(len(at))  # one part less for each word before
+        parts, owner, ranks = parts[stay], owner[stay], ranks[stay]
+        ranks[at] = ranks_of(at)
+        left = at[(at > 0) & (owner[at] == owner[at - 1])] - 1
+        ranks[left] = ranks_of(left)
+    owners = np.concatenate(done_owner) if done_owner else owner
+    order = np.argsort(owners, kind="stable")
+    ids = (np.concatenate(done_parts) if done_parts else parts)[order]
+    return ids.astype(np.int32), np.bincount(owners, minlength=len(words))
 
 
 def merge_pairs(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
@@ -185,6 +210,49 @@ class _Codes(dict):
         return code
 
 
+class _Encoder:
+    """Ids of texts, block by block. Words met are kept up to `KEPT_WORDS`, with their ids in flat arrays."""
+
+    def __init__(self, path: str, pattern: str, head: tuple):
+        self.ranks, self.find = load_ranks(path), regex.compile(pattern).findall
+        self.byte_ids = np.array([self.ranks[bytes([value])] for value in range(256)], dtype=np.int64)
+        pairs, made = head[3], head[4]
+        self.merges = HashArray(pairs)
+        self.made = made[self.merges.order]
+        self.tokens = max(self.ranks.values()) + 1
+        self.known = _text_tokens(self.ranks)
+        self.known.update(zip(head[0], range(self.tokens, self.tokens + len(head[0]))))
+        self.head_ids, self.head_sizes = head[1], head[2]
+        self._reset()
+
+    def _reset(self) -> None:
+        self.codes = _Codes(self.known, self.tokens + len(self.head_sizes))
+        self.flat = np.concatenate([np.arange(self.tokens, dtype=np.int32), self.head_ids])
+        self.sizes = np.concatenate([np.ones(self.tokens, dtype=np.int64), self.head_sizes])
+
+    def block(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text begins, with the end."""
+        if len(self.codes.words) > KEPT_WORDS:
+            self._reset()
+        before = len(self.codes.words)
+        found = [np.fromiter(map(self.codes.__getitem__, self.find(text or "")), dtype=np.int32) for text in texts]
+        words = [word.encode() for word in self.codes.words[before:]]
+        long = {i: heap_merge(word, self.ranks) for i, word in enumerate(words) if len(word) > FOLD_BYTES}
+        ids, sizes = merge_words([b"" if i in long else word for i, word in enumerate(words)], self.byte_ids, self.merges, self.made)
+        for i in sorted(long, reverse=True):
+            at = int(sizes[:i].sum())
+            ids = np.concatenate([ids[:at], np.array(long[i], dtype=np.int32), ids[at:]])
+            sizes[i] = len(long[i])
+        self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
+        starts = np.cumsum(self.sizes) - self.sizes
+        own = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
+        own_sizes = self.sizes[own]
+        ends = np.cumsum(own_sizes)
+        source = np.arange(int(ends[-1]) if len(ends) else 0)
+        source += np.repeat(starts[own] - (ends - own_sizes), own_sizes)
+        return self.flat[source], np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
+
+
 def _text_tokens(ranks: dict[bytes, int]) -> dict[str, int]:
     """The tokens that are whole characters; a word that is one of them is not merged at all."""
     tokens = {}
@@ -205,15 +273,20 @@ def _blocks(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.Record
 def frequent_words(docs: DataFrame, path: str, pattern: str, column: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
     """(word) that are no tokens and occur most often, at most `head_words` of them, counted over all texts.
 
-    A word is counted in blocks where it occurs twice or more: one that never does is not frequent.
+    The texts are parted at white space and each distinct part is cut by the pattern, with a space before it. A
+    word is counted in blocks where it occurs twice or more: one that never does is not frequent.
     """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, find = _text_tokens(load_ranks(path)), regex.compile(pattern).findall
         for block in _blocks(batches, 0):
-            seen: Counter[str] = Counter()
+            parted: Counter[str] = Counter()
             for text in block.column(0).to_pylist():
-                seen.update(find(text or ""))
+                parted.update((text or "").split())
+            seen: Counter[str] = Counter()
+            for part, count in parted.items():
+                for word in find(" " + part):
+                    seen[word] += count
             rows = [
                 (word, count)
                 for word, count in seen.items()
@@ -263,46 +336,32 @@ def encode(
     ids = scratch_name(docs, ids)
     spark = docs.sparkSession
     head = fold_words(frequent_words(docs, path, pattern, column, head_words), path).toArrow()  # head_words rows
-    folded = spark.sparkContext.broadcast((head["word"].to_pylist(), head["ids"].to_pylist()))
+    lists = head["ids"].combine_chunks()
+    merges = merge_pairs(load_ranks(path))
+    shared = spark.sparkContext.broadcast(
+        (
+            head["word"].to_pylist(),
+            lists.flatten().to_numpy().astype(np.int32),
+            np.diff(lists.offsets.to_numpy()).astype(np.int64),
+            np.array([left * WIDE + right for left, right in merges], dtype=np.uint64),
+            np.array(list(merges.values()), dtype=np.int64),
+        )
+    )
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     place = [name.lower() for name in docs.columns].index(column.lower())
     out = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     schema = to_arrow_schema(out)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, find = load_ranks(path), regex.compile(pattern).findall
-        known = _text_tokens(ranks)
-        tokens = max(ranks.values(), default=-1) + 1
-        head_words, head_ids = folded.value
-        known.update(zip(head_words, range(tokens, tokens + len(head_words))))
+        encoder = _Encoder(path, pattern, shared.value)
         for block in _blocks(batches, place):
-            codes = _Codes(known, tokens + len(head_words))
-            found = [
-                np.fromiter(map(codes.__getitem__, find(text or "")), dtype=np.int32)
-                for text in block.column(place).to_pylist()
-            ]
-            rare = [merge(word.encode(), ranks) for word in codes.words]
-            flat = np.concatenate([np.arange(tokens), *[np.array(one) for one in (_chain(head_ids), _chain(rare))]])
-            sizes = np.concatenate([np.ones(tokens), [len(x) for x in head_ids], [len(x) for x in rare]]).astype(np.int64)
-            flat, starts = flat.astype(np.int32), np.cumsum(sizes) - sizes
-            at = 0
-            for begin, end in runs_of([len(one) for one in found], 1 << 20):
-                own = np.concatenate(found[begin:end])
-                ends = np.cumsum(sizes[own])
-                source = np.arange(int(ends[-1]) if len(ends) else 0)
-                source += np.repeat(starts[own] - (ends - sizes[own]), sizes[own])
-                cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found[begin:end])])]
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[source], pa.int32()))
-                yield pa.RecordBatch.from_arrays([*block.slice(at, end - begin).columns, lists], schema=schema)
-                at += end - begin
+            found, bounds = encoder.block(block.column(place).to_pylist())
+            ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*block.columns, ids], schema=schema)
 
     return plain.mapInArrow(rows, out).toDF(*docs.columns, ids)
 
 
-def _chain(lists: list[list[int]]) -> list[int]:
-    return list(itertools.chain.from_iterable(lists))
-
-
 def decode_pieces(ids: np.ndarray, pieces: list[bytes]) -> bytes:
     return b"".join([pieces[i] for i in ids.tolist()])
 

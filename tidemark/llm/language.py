@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import CHUNK_BYTES, fresh_path, mix, runs_of, scratch_name, text_sizes
+from tidemark.llm.common import CHUNK_BYTES, HashArray, fresh_path, runs_of, scratch_name, text_sizes
 
 ORDER = 5
 BITS = 12
@@ -60,36 +60,6 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, sizes, letters
 
 
-class HashArray:
-    """Sorted hashes with a directory by their highest bits; `find` gives positions, or -1."""
-
-    def __init__(self, codes: np.ndarray):
-        hashes = mix(codes)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
-        bits = max(1, int(len(codes)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
-        self.longest = int(np.diff(np.append(self.starts, len(codes))).max()) if len(codes) else 0
-
-    def find(self, codes: np.ndarray) -> np.ndarray:
-        found = np.full(len(codes), -1, dtype=np.int32)
-        if len(self.hashes) == 0:
-            return found
-        hashes, left = mix(codes), np.arange(len(codes))
-        at = self.starts[hashes >> self.shift]
-        for _ in range(self.longest):
-            here = self.hashes[np.minimum(at, len(self.hashes) - 1)]
-            hit = here == hashes
-            found[left[hit]] = at[hit]
-            go = here < hashes
-            go[at >= len(self.hashes) - 1] = False
-            left, hashes, at = left[go], hashes[go], at[go] + 1
-            if len(left) == 0:
-                break
-        return found
-
-
 @dataclass
 class Model:
     """Log probabilities of n-grams and log back-off weights of contexts, for all languages side by side."""

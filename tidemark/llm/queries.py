@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, toxicity
+from tidemark.llm import bpe, language, mixing, toxicity
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -66,3 +66,9 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder).select("doc_id", "text")
     return toxicity.judge(docs, read_documents(spark, folder, "labels")).drop("text")
+
+
+@query("op1_pfair_mix")
+def op1_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "source", "text")
+    return mixing.schedule(docs, mixing.smoothed_weights(docs)).drop("text")
