@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, mixing, toxicity
+from tidemark.llm import bpe, fingerprints, language, mixing, toxicity
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -72,3 +72,65 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op1_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder).select("doc_id", "source", "text")
     return mixing.schedule(docs, mixing.smoothed_weights(docs)).drop("text")
+
+
+def _tree_sql(text: str) -> str:
+    """Macros of DuckDB would hide the steps; a subquery per text gives the fingerprint and its distinct pieces."""
+    lines = f"string_split({text}, chr(10))"
+    part = f"{lines}[first : first + {fingerprints.SECTION - 1}]"
+    piece = f"list_transform(regexp_extract_all(line, '%s'), lambda piece : substr(md5(piece), 1, 8))"
+    pieces = f"""flatten(list_transform({part}, lambda line :
+        CASE WHEN length({text}) <= {fingerprints.SHORT} THEN {piece % fingerprints.WORDS}
+             ELSE {piece % fingerprints.SENTENCE} END))"""
+    digest = f"sha256(array_to_string(list_transform({part}, lambda line : sha256(line)), ''))"
+    return f"""list_transform(range(1, len({lines}) + 1, {fingerprints.SECTION}),
+        lambda first : {{'digest': {digest}, 'pieces': {pieces}}})"""
+
+
+def _print_sql(tree: str) -> str:
+    return f"""sha256(array_to_string(list_transform({tree}, lambda one : one.digest), '')) || '|' ||
+        array_to_string(list_transform({tree}, lambda one :
+            substr(one.digest, 1, 16) || ':' || array_to_string(one.pieces, '')), '|')"""
+
+
+def _pieces_sql(tree: str) -> str:
+    return f"list_distinct(flatten(list_transform({tree}, lambda one : one.pieces)))"
+
+
+def _likeness_sql(one: str, other: str) -> str:
+    return f"""CASE WHEN split_part({one}_print, '|', 1) = split_part({other}_print, '|', 1) THEN 1.0
+        WHEN len({one}_pieces) + len({other}_pieces) = 0 THEN 0.0
+        ELSE CAST(2 * len(list_intersect({one}_pieces, {other}_pieces)) AS DOUBLE)
+             / (len({one}_pieces) + len({other}_pieces)) END"""
+
+
+FINGERPRINT_SQL = f"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+               coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id),
+                        first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS next
+        FROM documents
+    ),
+    edited AS (
+        SELECT doc_id, n, text, next, substr(text, 1, n - n // 4) || substr(next, 1, n // 4) AS edited FROM docs
+    ),
+    trees AS (
+        SELECT doc_id, n, edited, {_tree_sql("text")} AS a, {_tree_sql("edited")} AS b, {_tree_sql("next")} AS c
+        FROM edited
+    ),
+    prints AS (
+        SELECT doc_id, n, edited, {_print_sql("a")} AS a_print, {_pieces_sql("a")} AS a_pieces,
+               {_print_sql("b")} AS b_print, {_pieces_sql("b")} AS b_pieces,
+               {_print_sql("c")} AS c_print, {_pieces_sql("c")} AS c_pieces
+        FROM trees
+    )
+    SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, a_print AS fingerprint,
+           b_print AS edited_fingerprint, CAST({_likeness_sql("a", "b")} AS DOUBLE) AS near_edited,
+           CAST({_likeness_sql("a", "c")} AS DOUBLE) AS near_next
+    FROM prints
+"""
+
+
+@query("op4_fingerprints", FINGERPRINT_SQL)
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_edits(read_documents(spark, folder).select("doc_id", "text"))
