@@ -107,7 +107,8 @@ def _power_table(length: int) -> np.ndarray:
     global _powers
     if len(_powers) < length:
         size = max(1024, 1 << int(length).bit_length())
-        _powers = np.concatenate([[1], np.full(size - 1, _BASE, dtype=np.uint64)]).astype(np.uint64)
+        _powers = np.full(size, _BASE, dtype=np.uint64)
+        _powers[0] = 1
         _powers = np.multiply.accumulate(_powers)
     return _powers
 

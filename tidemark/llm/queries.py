@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, language, mixing, toxicity
+from tidemark.llm import bpe, fingerprints, language, mixing, ngram_join, toxicity
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -134,3 +134,40 @@ FINGERPRINT_SQL = f"""
 @query("op4_fingerprints", FINGERPRINT_SQL)
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_with_edits(read_documents(spark, folder).select("doc_id", "text"))
+
+
+NGRAM_JOIN_SQL = r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ),
+    sets AS (
+        SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                   ELSE list_transform(range(1, len(w) - 2), lambda i : array_to_string(w[i : i + 3], ' ')) END) AS s
+        FROM words
+    ),
+    sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+    tokens AS (SELECT doc_id, unnest(s) AS token FROM sets),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL
+    ),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ),
+    reach(a, b) AS (
+        SELECT doc_id, doc_id FROM sizes
+        UNION
+        SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    )
+    SELECT s.doc_id, CAST(any_value(s.n) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+    FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id
+"""
+
+
+@query("op6_ngram_join", NGRAM_JOIN_SQL)
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_components(read_documents(spark, folder), width=4, percent=85)
