@@ -12,9 +12,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import json
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +32,8 @@ from tidemark.llm.common import HashArray, fresh_path, runs_of, scratch_name, te
 
 FOLD_BYTES = 48
 BLOCK_BYTES = 4 << 20
-KEPT_WORDS = 1 << 18
+KEPT_BYTES = 48 << 20
+KEPT_SEGMENTS = 1 << 18
 HEAD_WORDS = 1 << 17
 BUCKETS = 1 << 16
 SPREAD = 48_271
@@ -210,47 +213,90 @@ class _Codes(dict):
         return code
 
 
+class _Lists:
+    """Lists of ids by number, side by side in one array."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes, self.starts = ids, sizes, np.cumsum(sizes) - sizes
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the lists of these numbers, one after the other, and the end of each."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        source = np.arange(int(ends[-1]) if len(ends) else 0)
+        source += np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.ids[source], ends
+
+
 class _Encoder:
-    """Ids of texts, block by block. Words met are kept up to `KEPT_WORDS`, with their ids in flat arrays."""
+    """Ids of texts, block by block.
+
+    Texts are cut into segments before each space or line end that follows another character; no match of the
+    pattern goes on across such a place, and none looks back. Each distinct segment is cut into words by the pattern,
+    each distinct word is merged. Texts with other white space are one segment. What was met is kept up to a bound.
+    """
 
     def __init__(self, path: str, pattern: str, head: tuple):
         self.ranks, self.find = load_ranks(path), regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([value])] for value in range(256)], dtype=np.int64)
-        pairs, made = head[3], head[4]
+        words, self.head_ids, self.head_sizes, pairs, made = head
         self.merges = HashArray(pairs)
         self.made = made[self.merges.order]
         self.tokens = max(self.ranks.values()) + 1
         self.known = _text_tokens(self.ranks)
-        self.known.update(zip(head[0], range(self.tokens, self.tokens + len(head[0]))))
-        self.head_ids, self.head_sizes = head[1], head[2]
+        self.known.update(zip(words, range(self.tokens, self.tokens + len(words))))
         self._reset()
 
     def _reset(self) -> None:
-        self.codes = _Codes(self.known, self.tokens + len(self.head_sizes))
-        self.flat = np.concatenate([np.arange(self.tokens, dtype=np.int32), self.head_ids])
-        self.sizes = np.concatenate([np.ones(self.tokens, dtype=np.int64), self.head_sizes])
+        self.words = _Codes(self.known, self.tokens + len(self.head_sizes))
+        self.word_ids = _Lists(
+            np.concatenate([np.arange(self.tokens, dtype=np.int32), self.head_ids]),
+            np.concatenate([np.ones(self.tokens, dtype=np.int64), self.head_sizes]),
+        )
+        self.segments = _Codes({}, 0)
+        self.segment_ids = _Lists(np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64))
+        self.kept_bytes = 0
 
     def block(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text begins, with the end."""
-        if len(self.codes.words) > KEPT_WORDS:
+        if self.kept_bytes > KEPT_BYTES:
             self._reset()
-        before = len(self.codes.words)
-        found = [np.fromiter(map(self.codes.__getitem__, self.find(text or "")), dtype=np.int32) for text in texts]
-        words = [word.encode() for word in self.codes.words[before:]]
+        before = len(self.segments.words)
+        found = [np.fromiter(map(self.segments.__getitem__, segments(text or "")), dtype=np.int32) for text in texts]
+        new = self.segments.words[before:]
+        self.kept_bytes += sum(map(len, new)) + 100 * len(new)
+        self._learn(new)
+        ids, ends = self.segment_ids.gather(np.concatenate(found) if found else np.zeros(0, dtype=np.int32))
+        return ids, np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
+
+    def _learn(self, new: list[str]) -> None:
+        before = len(self.words.words)
+        parts = [[self.words[word] for word in self.find(segment)] for segment in new]
+        words = [word.encode() for word in self.words.words[before:]]
         long = {i: heap_merge(word, self.ranks) for i, word in enumerate(words) if len(word) > FOLD_BYTES}
-        ids, sizes = merge_words([b"" if i in long else word for i, word in enumerate(words)], self.byte_ids, self.merges, self.made)
+        short = [b"" if i in long else word for i, word in enumerate(words)]
+        ids, sizes = merge_words(short, self.byte_ids, self.merges, self.made)
         for i in sorted(long, reverse=True):
             at = int(sizes[:i].sum())
             ids = np.concatenate([ids[:at], np.array(long[i], dtype=np.int32), ids[at:]])
             sizes[i] = len(long[i])
-        self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
-        starts = np.cumsum(self.sizes) - self.sizes
-        own = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
-        own_sizes = self.sizes[own]
-        ends = np.cumsum(own_sizes)
-        source = np.arange(int(ends[-1]) if len(ends) else 0)
-        source += np.repeat(starts[own] - (ends - own_sizes), own_sizes)
-        return self.flat[source], np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
+        self.word_ids.add(ids, sizes)
+        numbers = np.fromiter(itertools.chain.from_iterable(parts), dtype=np.int64)
+        ids, ends = self.word_ids.gather(numbers)
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, parts)])]
+        self.segment_ids.add(ids, np.diff(cuts))
+
+
+_SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+def segments(text: str) -> list[str]:
+    return [text] if text and _OTHER_SPACE.search(text) else _SEGMENT.findall(text)
 
 
 def _text_tokens(ranks: dict[bytes, int]) -> dict[str, int]:
@@ -273,30 +319,36 @@ def _blocks(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.Record
 def frequent_words(docs: DataFrame, path: str, pattern: str, column: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
     """(word) that are no tokens and occur most often, at most `head_words` of them, counted over all texts.
 
-    The texts are parted at white space and each distinct part is cut by the pattern, with a space before it. A
-    word is counted in blocks where it occurs twice or more: one that never does is not frequent.
+    A word is counted in runs of texts where it occurs twice or more: one that never does is not frequent.
     """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, find = _text_tokens(load_ranks(path)), regex.compile(pattern).findall
-        for block in _blocks(batches, 0):
-            parted: Counter[str] = Counter()
-            for text in block.column(0).to_pylist():
-                parted.update((text or "").split())
+
+        def rows(met: Counter[str]) -> pa.RecordBatch:
             seen: Counter[str] = Counter()
-            for part, count in parted.items():
-                for word in find(" " + part):
+            for segment, count in met.items():
+                for word in find(segment):
                     seen[word] += count
-            rows = [
+            kept = [
                 (word, count)
                 for word, count in seen.items()
                 if count > 1 and word not in tokens and len(word.encode()) <= FOLD_BYTES
             ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[0] for row in rows], pa.string()), pa.array([row[1] for row in rows], pa.int64())],
+            return pa.RecordBatch.from_arrays(
+                [pa.array([row[0] for row in kept], pa.string()), pa.array([row[1] for row in kept], pa.int64())],
                 names=["word", "count"],
             )
 
+        met: Counter[str] = Counter()
+        for block in _blocks(batches, 0):
+            for text in block.column(0).to_pylist():
+                met.update(segments(text or ""))
+            if len(met) > KEPT_SEGMENTS:
+                yield rows(met)
+                met = Counter()
+        yield rows(met)
+
     spark = docs.sparkSession
     found = docs.select(column).mapInArrow(counts, "word string, count bigint")
     table = fresh_path(spark, "word-counts")
@@ -325,20 +377,15 @@ def fold_words(words: DataFrame, path: str) -> DataFrame:
     return words.select("word", fold_merges(F.array(parts), rank_map(ranks))[0].alias("ids"))
 
 
-def encode(
-    docs: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids", head_words: int = HEAD_WORDS
-) -> DataFrame:
-    """All columns and the ids of a text as array<int>; special tokens are ordinary text.
+Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    A null or empty text has no ids. Rows that repeat are encoded alike. The ids' column gets another name if `ids`
-    is taken. An empty table gives an empty one. `head_words` bounds the table of folded words that tasks get.
-    """
-    ids = scratch_name(docs, ids)
-    spark = docs.sparkSession
+
+def _encoding(docs: DataFrame, path: str, pattern: str, column: str, head_words: int) -> tuple[Rows, T.StructType]:
+    """What adds the ids to batches of `docs`, and the schema it makes."""
     head = fold_words(frequent_words(docs, path, pattern, column, head_words), path).toArrow()  # head_words rows
     lists = head["ids"].combine_chunks()
     merges = merge_pairs(load_ranks(path))
-    shared = spark.sparkContext.broadcast(
+    shared = docs.sparkSession.sparkContext.broadcast(
         (
             head["word"].to_pylist(),
             lists.flatten().to_numpy().astype(np.int32),
@@ -347,9 +394,8 @@ def encode(
             np.array(list(merges.values()), dtype=np.int64),
         )
     )
-    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     place = [name.lower() for name in docs.columns].index(column.lower())
-    out = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    out = T.StructType([*_numbered(docs).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     schema = to_arrow_schema(out)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,11 +405,25 @@ def encode(
             ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found, pa.int32()))
             yield pa.RecordBatch.from_arrays([*block.columns, ids], schema=schema)
 
-    return plain.mapInArrow(rows, out).toDF(*docs.columns, ids)
+    return rows, out
 
 
-def decode_pieces(ids: np.ndarray, pieces: list[bytes]) -> bytes:
-    return b"".join([pieces[i] for i in ids.tolist()])
+def _numbered(df: DataFrame) -> DataFrame:
+    """Names that cannot clash on the way through Arrow."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids", head_words: int = HEAD_WORDS
+) -> DataFrame:
+    """All columns and the ids of a text as array<int>; special tokens are ordinary text.
+
+    A null or empty text has no ids. Rows that repeat are encoded alike. The ids' column gets another name if `ids`
+    is taken. An empty table gives an empty one. `head_words` bounds the table of folded words that tasks get. The
+    pattern must not look back nor match across a space or line end after another character but white space.
+    """
+    rows, out = _encoding(docs, path, pattern, column, head_words)
+    return _numbered(docs).mapInArrow(rows, out).toDF(*docs.columns, scratch_name(docs, ids))
 
 
 def load_pieces(path: str) -> list[bytes]:
@@ -375,56 +435,59 @@ def load_pieces(path: str) -> list[bytes]:
     return pieces
 
 
+def decode_ids(ids: np.ndarray, pieces: list[bytes]) -> bytes:
+    return b"".join([pieces[i] for i in ids.tolist()])
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """All columns, and the bytes that an array of ids stands for; null ids give null."""
-    decoded = scratch_name(encoded, decoded)
-    plain = encoded.toDF(*[f"c{i}" for i in range(len(encoded.columns))])
     place = [name.lower() for name in encoded.columns].index(ids.lower())
-    out = T.StructType([*plain.schema.fields, T.StructField("decoded", T.BinaryType())])
+    out = T.StructType([*_numbered(encoded).schema.fields, T.StructField("decoded", T.BinaryType())])
     schema = to_arrow_schema(out)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_pieces(path)
         for batch in batches:
-            lists = batch.column(place)
-            sizes = [size or 0 for size in pc.list_value_length(lists).to_pylist()]
+            sizes = [size or 0 for size in pc.list_value_length(batch.column(place)).to_pylist()]
             for begin, end in runs_of(sizes, 1 << 20):
-                texts = [
-                    decode_pieces(one.values.to_numpy(), pieces) if one.is_valid else None
-                    for one in lists.slice(begin, end - begin)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(begin, end - begin).columns, pa.array(texts, pa.binary())], schema=schema
-                )
-
-    return plain.mapInArrow(rows, out).toDF(*encoded.columns, decoded)
-
-
-def digests(decoded: DataFrame, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Columns but ids and bytes, with their number and SHA-256; ids count as little-endian unsigned 32-bit numbers."""
-    keep = [name for name in decoded.columns if name not in (ids, text)]
-    plain = decoded.select(*keep, ids, text)
-    out = T.StructType(
-        [
-            *decoded.select(*keep).schema.fields,
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_sha256", T.StringType()),
-            T.StructField("decoded_sha256", T.StringType()),
-        ]
-    )
-    schema, place = to_arrow_schema(out), len(keep)
+                part = batch.slice(begin, end - begin)
+                texts = [decode_ids(one.values.to_numpy(), pieces) if one.is_valid else None for one in part.column(place)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], schema=schema)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = [one.values.to_numpy() for one in batch.column(place)]
+    return _numbered(encoded).mapInArrow(rows, out).toDF(*encoded.columns, scratch_name(encoded, decoded))
+
+
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, column: str = "text", head_words: int = HEAD_WORDS
+) -> DataFrame:
+    """Columns but the text; n_tokens, and SHA-256 of the ids and of the bytes they are decoded to, in one pass.
+
+    Ids count as little-endian unsigned 32-bit numbers. Texts are encoded as by `encode`, and new names are kept
+    apart as there.
+    """
+    rows, _ = _encoding(docs, path, pattern, column, head_words)
+    place = [name.lower() for name in docs.columns].index(column.lower())
+    keep = [i for i in range(len(docs.columns)) if i != place]
+    added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    own = _numbered(docs).schema.fields
+    out = T.StructType([*[own[i] for i in keep], *[T.StructField(name, kind) for name, kind in added]])
+    schema = to_arrow_schema(out)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = load_pieces(path)
+        for batch in rows(batches):
+            lists = batch.column(batch.num_columns - 1)
+            ids, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+            parts = [ids[begin:end] for begin, end in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:place],
-                    pa.array([len(one) for one in numbers], pa.int64()),
-                    pa.array([hashlib.sha256(one.astype("<u4").tobytes()).hexdigest() for one in numbers]),
-                    pa.array([hashlib.sha256(one.as_py()).hexdigest() for one in batch.column(place + 1)]),
+                    *[batch.column(i) for i in keep],
+                    pa.array([len(part) for part in parts], pa.int64()),
+                    pa.array([hashlib.sha256(part.astype("<u4").tobytes()).hexdigest() for part in parts], pa.string()),
+                    pa.array([hashlib.sha256(decode_ids(part, pieces)).hexdigest() for part in parts], pa.string()),
                 ],
                 schema=schema,
             )
 
-    return plain.mapInArrow(rows, out)
+    names = [docs.columns[i] for i in keep]
+    return _numbered(docs).mapInArrow(digests, out).toDF(*names, *[scratch_name(docs.select(*names), name) for name, _ in added])

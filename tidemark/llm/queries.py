@@ -52,8 +52,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder).select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
-    return bpe.digests(bpe.decode(encoded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
 @query("op2_language")
