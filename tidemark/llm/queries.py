@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, language, mixing, ngram_join, toxicity
+from tidemark.llm import bpe, fingerprints, language, mixing, ngram_join, passages, toxicity
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -170,3 +170,8 @@ NGRAM_JOIN_SQL = r"""
 @query("op6_ngram_join", NGRAM_JOIN_SQL)
 def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_components(read_documents(spark, folder), width=4, percent=85)
+
+
+@query("op8_passages")
+def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(read_documents(spark, folder).select("doc_id", "text"))
