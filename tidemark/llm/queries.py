@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, language, mixing, neighbours, ngram_join, passages, toxicity
+from tidemark.llm import bpe, fingerprints, language, mixing, neighbours, ngram_join, passages, surrogates, toxicity
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -181,3 +181,9 @@ def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_documents(spark, folder, "embeddings")
     return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query("op5_surrogates")
+def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    return surrogates.replace_entities(docs, key="tidemark")
