@@ -458,17 +458,18 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
 
 
 def round_trip(
-    docs: DataFrame, path: str, pattern: str, column: str = "text", head_words: int = HEAD_WORDS
+    docs: DataFrame, path: str, pattern: str, column: str = "text", head_words: int = HEAD_WORDS, keep_ids: bool = False
 ) -> DataFrame:
     """Columns but the text; n_tokens, and SHA-256 of the ids and of the bytes they are decoded to, in one pass.
 
-    Ids count as little-endian unsigned 32-bit numbers. Texts are encoded as by `encode`, and new names are kept
+    With `keep_ids` the ids follow as array<int>. Ids count as little-endian unsigned 32-bit numbers. Texts are encoded as by `encode`, and new names are kept
     apart as there.
     """
     rows, _ = _encoding(docs, path, pattern, column, head_words)
     place = [name.lower() for name in docs.columns].index(column.lower())
     keep = [i for i in range(len(docs.columns)) if i != place]
     added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    added += [("ids", T.ArrayType(T.IntegerType()))] * keep_ids
     own = _numbered(docs).schema.fields
     out = T.StructType([*[own[i] for i in keep], *[T.StructField(name, kind) for name, kind in added]])
     schema = to_arrow_schema(out)
@@ -485,6 +486,7 @@ def round_trip(
                     pa.array([len(part) for part in parts], pa.int64()),
                     pa.array([hashlib.sha256(part.astype("<u4").tobytes()).hexdigest() for part in parts], pa.string()),
                     pa.array([hashlib.sha256(decode_ids(part, pieces)).hexdigest() for part in parts], pa.string()),
+                    *[lists] * keep_ids,
                 ],
                 schema=schema,
             )

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import fresh_path, materialize, shared_dir
-
-__all__ = ["delete_path", "materialize", "fresh_path", "shared_dir", "read_documents", "byte_texts", "text_sizes", "runs_of", "scratch_name"]
+from tidemark import session
 
 CHUNK_BYTES = 4 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -30,6 +29,34 @@ def scratch_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the paths of scratch tables made inside, for who knows when they are not needed any more."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        _scopes.pop()
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share."""
+    path = session.fresh_path(spark, label)
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read again: computed once, and safe from lost executors."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that this process wrote, wherever the shared folder lies."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, SPACE, byte_texts, delete_path, fresh_path, materialize, scratch_name
+from tidemark.llm.common import LOWER, SPACE, byte_texts, delete_path, fresh_path, scratch_name, written
 
 LINES_SCHEMA = "doc_id bigint, version bigint, place int, key binary"
 
@@ -122,7 +122,7 @@ def repeated_lines(lines: DataFrame, min_documents: int = 3, batches: int = 4, f
     batch_of = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     for number in range(batches):
         runs.add(lines.where(batch_of == number))
-    repeated = materialize(runs.totals().where(F.col("documents") >= min_documents).select("key", "owner"), "line-repeated")
+    repeated = written(runs.totals().where(F.col("documents") >= min_documents).select("key", "owner"), "line-repeated")
     for path in runs.paths():
         delete_path(spark, path)
     return repeated
@@ -139,7 +139,7 @@ def drop_repeated_lines(
     doc_id are one document: each of them is cut alike where it holds the line. A null doc_id counts as one
     document smaller than all others. An empty table gives an empty one.
     """
-    lines = materialize(line_keys(docs, min_chars), "line-keys")
+    lines = written(line_keys(docs, min_chars), "line-keys")
     repeated = repeated_lines(lines, min_documents, batches, fanout)
     doc = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
     key, version, gone = (scratch_name(docs, name) for name in ("_doc", "_version", "_gone"))

@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tidemark.llm.common import Words, byte_texts, delete_path, fresh_path, mix, runs_of, shingle_hashes
+from tidemark.llm.common import Words, byte_texts, delete_path, fresh_path, mix, runs_of, scratch_name, shingle_hashes, written
 from tidemark.llm.graph import components
 
 GROUPS = 1 << 18  # of shingles, to find rare ones
@@ -278,13 +279,13 @@ def _tree_pairs(percent: int):
     return pairs
 
 
-def _filter_bits(sets: DataFrame) -> np.ndarray:
+def filter_bits(sets: DataFrame) -> np.ndarray:
     """Bits set at two places for each set number: `FILTER_BITS` of them, whatever the number of sets."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS, dtype=bool)
         for batch in batches:
-            for places in _filter_places(batch.column(0).to_numpy()):
+            for places in filter_places(batch.column(0).to_numpy()):
                 bits[places] = True
         parts = [part.tobytes() for part in np.split(np.packbits(bits), PIECES)]
         yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array(parts, pa.binary())], names=["piece", "counts"])
@@ -292,7 +293,7 @@ def _filter_bits(sets: DataFrame) -> np.ndarray:
     return np.unpackbits(_joined_pieces(sets.mapInArrow(partial, "piece int, counts binary"), np.bitwise_or, np.uint8)).astype(bool)
 
 
-def _filter_places(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def filter_places(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     spread = mix(sets.view(np.uint64))
     return (spread % np.uint64(FILTER_BITS)).astype(np.int64), ((spread >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
@@ -305,7 +306,7 @@ def _wanted_sets(width: int, shared):
         numbers, held, size = [], [], 0
         for _, shingles in _sets_of(batches, width):
             number = set_number(shingles)
-            one, two = _filter_places(np.array([number], dtype=np.int64))
+            one, two = filter_places(np.array([number], dtype=np.int64))
             if number in seen or not (bits[one[0]] and bits[two[0]]):
                 continue
             seen.add(number)
@@ -337,7 +338,7 @@ def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
     """The pairs of set numbers that are similar enough, by their whole sets."""
     spark = docs.sparkSession
     needed = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    bits = spark.sparkContext.broadcast(_filter_bits(needed))
+    bits = spark.sparkContext.broadcast(filter_bits(needed))
     path = fresh_path(spark, "sets")
     docs.mapInArrow(_wanted_sets(width, bits), "set bigint, shingles binary").join(needed, "set", "left_semi").dropDuplicates(["set"]).write.parquet(path)
     sets = spark.read.schema("set bigint, shingles binary").parquet(path)
@@ -352,19 +353,13 @@ def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
     return spark.read.schema("a bigint, b bigint").parquet(out)
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int = RUN) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, n, set) and roots (node, root) of the sets that have links, for (doc_id, text) rows."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be over 0 and at most 100")
     spark = docs.sparkSession
     schema = "doc_id bigint, n int, set bigint, piece int, counts binary"
-    table = _written(docs.mapInArrow(_members(width), schema), "members")
+    table = written(docs.mapInArrow(_members(width), schema), "members")
     members = table.where("piece IS NULL").select("doc_id", "n", "set")
     held = table.where("piece IS NOT NULL").select("piece", "counts")
     counts = _joined_pieces(held, np.add, np.uint32)
@@ -372,21 +367,21 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int
 
     rows = docs.mapInArrow(_entries(width, percent, shared), "token bigint, set bigint, n int, point binary")
     met = rows.where("point IS NULL").select("token", "set", "n").repartition("token").sortWithinPartitions("token", "n", "set")
-    table = _written(met.mapInArrow(_meetings(percent), "token bigint, a bigint, b bigint, pair boolean"), "meetings")
-    tested = _written(table.where("pair").select("a", "b").distinct(), "pairs")
+    table = written(met.mapInArrow(_meetings(percent), "token bigint, a bigint, b bigint, pair boolean"), "meetings")
+    tested = written(table.where("pair").select("a", "b").distinct(), "pairs")
     links = _links(docs, tested, width, percent)
-    roots = _written(components(links), "roots")
+    roots = written(components(links), "roots")
 
     runs = table.where("NOT pair").select("token", F.col("a").alias("set"), F.col("b").cast("int").alias("n")).distinct()
     placed = runs.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    placed = _written(placed, "runs")
+    placed = written(placed, "runs")
     left = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows")).where("x <> y")
     blocks = F.ceil(F.col("rows") / F.lit(run)).cast("int")
     left = left.select("token", blocks.alias("blocks"))
     points = rows.where("point IS NOT NULL").select("set", "point")
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     wide = placed.join(left, "token").withColumn("own", own)
-    needed = _written(wide.select("set").distinct(), "tree-sets")
+    needed = written(wide.select("set").distinct(), "tree-sets")
     points = points.join(needed, "set", "left_semi").dropDuplicates(["set"])
     # A block meets itself and every other block of its token; most tokens have one block.
     spread = (
@@ -395,10 +390,10 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int
         .select("token", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "set", "n", "root", "point", "own")
     )
     more = spread.groupBy("token", "low", "high").applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
-    more = _written(more.join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = written(more.join(tested, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         links = links.union(_links(docs, more, width, percent))
-        roots = _written(components(links), "roots")
+        roots = written(components(links), "roots")
     return members, roots
 
 
@@ -420,3 +415,21 @@ def join_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found = some.join(least, "root").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
     none = members.where("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.union(none)
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, that of the least doc_id; a document that is like no other stays.
+
+    Of rows that share the doc_id kept, the one of least text hash stays. Columns are as before.
+    """
+    found = join_components(docs, width, percent)
+    kept = written(
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("rows")), "kept"
+    )
+    own = docs["doc_id"].cast("bigint")
+    ids = kept.select(F.col("doc_id").alias("_kept"), "rows")
+    single = docs.join(ids.where("rows = 1"), own.eqNullSafe(F.col("_kept")), "left_semi")
+    many = docs.join(ids.where("rows > 1"), own.eqNullSafe(F.col("_kept")), "left_semi")
+    place = scratch_name(docs, "_place")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return single.union(many.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place))
