@@ -146,12 +146,14 @@ def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     quarter = F.floor(F.length("text") / 4).cast("int")
     sizes = rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(quarter).alias("quarter"))
+    # The filter stands in both uses of the texts; otherwise it would only be in one, and the shuffles would differ.
+    named, unnamed = rows.where(F.col("doc_id").isNotNull()), rows.where(F.col("doc_id").isNull())
     asked = (
         next_ids(rows, "doc_id")
         .join(sizes, "doc_id")
         .select(F.col("_next").alias("doc_id"), F.col("doc_id").alias("asker"), "quarter")
     )
-    placed = rows.repartition("doc_id")
+    placed = named.repartition("doc_id")
     offers = (
         placed.join(asked, "doc_id")
         .select(
@@ -162,14 +164,12 @@ def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .groupBy("asker")
         .agg(F.min(F.struct("start", "next_fingerprint")).alias("offer"))
     )
-    count = F.length("text")
-    edited = F.concat(
-        F.substring("text", F.lit(1), count - quarter),
-        F.coalesce(F.substring(F.col("offer.start"), F.lit(1), quarter), F.lit("")),
-    )
+    kept = F.substring("text", F.lit(1), F.length("text") - quarter)
+    edited = F.concat(kept, F.coalesce(F.substring(F.col("offer.start"), F.lit(1), quarter), F.lit("")))
     joined = placed.join(offers, F.col("doc_id") == F.col("asker"), "left").select(
         "doc_id", "text", edited.alias("edited"), "offer.next_fingerprint"
     )
+    joined = joined.union(unnamed.select("doc_id", "text", kept, F.lit(None).cast("string")))
     printed = joined.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),

@@ -104,8 +104,8 @@ def _members(width: int):
     return rows
 
 
-def _joined_pieces(rows: DataFrame, combine, kind) -> np.ndarray:
-    """Pieces of arrays of the same size from all tasks combined: (piece, counts) rows to one array on the driver."""
+def _joined_pieces(rows: DataFrame, combine, kind, size: int) -> np.ndarray:
+    """Pieces of arrays from all tasks combined: (piece, counts) rows to one array of `size` on the driver."""
 
     def merge(table: pa.Table) -> pa.Table:
         total = None
@@ -115,7 +115,7 @@ def _joined_pieces(rows: DataFrame, combine, kind) -> np.ndarray:
         return pa.table({"piece": table.column("piece")[:1].cast(pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     found = rows.groupBy("piece").applyInArrow(merge, "piece int, counts binary").orderBy("piece").collect()  # PIECES rows
-    return np.concatenate([np.frombuffer(row["counts"], dtype=kind) for row in found])
+    return np.concatenate([np.frombuffer(row["counts"], dtype=kind) for row in found] or [np.zeros(size, dtype=kind)])
 
 
 def _entries(width: int, percent: int, shared):
@@ -290,7 +290,8 @@ def filter_bits(sets: DataFrame) -> np.ndarray:
         parts = [part.tobytes() for part in np.split(np.packbits(bits), PIECES)]
         yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array(parts, pa.binary())], names=["piece", "counts"])
 
-    return np.unpackbits(_joined_pieces(sets.mapInArrow(partial, "piece int, counts binary"), np.bitwise_or, np.uint8)).astype(bool)
+    parts = sets.mapInArrow(partial, "piece int, counts binary")
+    return np.unpackbits(_joined_pieces(parts, np.bitwise_or, np.uint8, FILTER_BITS // 8)).astype(bool)
 
 
 def filter_places(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -362,8 +363,7 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int
     table = written(docs.mapInArrow(_members(width), schema), "members")
     members = table.where("piece IS NULL").select("doc_id", "n", "set")
     held = table.where("piece IS NOT NULL").select("piece", "counts")
-    counts = _joined_pieces(held, np.add, np.uint32)
-    shared = spark.sparkContext.broadcast(counts if len(counts) else np.zeros(GROUPS, dtype=np.uint32))
+    shared = spark.sparkContext.broadcast(_joined_pieces(held, np.add, np.uint32, GROUPS))
 
     rows = docs.mapInArrow(_entries(width, percent, shared), "token bigint, set bigint, n int, point binary")
     met = rows.where("point IS NULL").select("token", "set", "n").repartition("token").sortWithinPartitions("token", "n", "set")
