@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,10 +65,7 @@ def audit_casts(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     for place, (name, target) in enumerate(targets.items()):
         value = F.col(name)
         fitted = try_fit(value, df.schema[name].dataType, target)
-        numeric = isinstance(df.schema[name].dataType, T.NumericType)
-        changed = fitted.cast("double") != value.cast("double") if numeric else F.lit(False)
-        if isinstance(df.schema[name].dataType, T.DecimalType):
-            changed = fitted.try_cast("decimal(38,18)") != value.try_cast("decimal(38,18)")
+        changed = _changed(value, fitted, df.schema[name].dataType, target)
         measures += [
             F.count(F.lit(1)).alias(f"row_count_{place}"),
             F.count_if(value.isNull()).alias(f"null_count_{place}"),
@@ -77,6 +76,22 @@ def audit_casts(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     return unpivot_columns(df.agg(*measures), list(targets), prefixes)
 
 
+def _changed(value: Column, fitted: Column, source: T.DataType, target: str) -> Column:
+    """Whether a cast has changed a number: casting back does not give it again.
+
+    Text is compared as the widest decimals that hold its whole or its fractional digits.
+    """
+    if isinstance(source, T.NumericType):
+        return fitted.isNotNull() & ~fitted.try_cast(source).eqNullSafe(value)
+    if isinstance(source, T.StringType) and re.match("decimal|double|float|int|bigint|smallint|tinyint", target):
+        kept = F.lit(False)
+        for wide in ("decimal(38,0)", "decimal(38,9)", "decimal(38,18)", "decimal(38,36)"):
+            one, other = value.try_cast(wide), fitted.try_cast(wide)
+            kept = kept | (one.isNotNull() & other.isNotNull() & (one != other))
+        return kept
+    return F.lit(False)
+
+
 def audit_precision(df: DataFrame, columns: Sequence[str], expected: tuple[int, int] = (19, 4)) -> DataFrame:
     """Per decimal column: declared digits, digits in use, and values beyond the expected type."""
     measures: list[Column] = []
@@ -84,9 +99,7 @@ def audit_precision(df: DataFrame, columns: Sequence[str], expected: tuple[int,
         declared = df.schema[name].dataType
         if not isinstance(declared, T.DecimalType):
             raise ValueError(f"{name} is {declared.simpleString()}, not a decimal")
-        text = F.abs(F.col(name)).cast("string")
-        whole = F.length(F.ltrim(F.split_part(text, F.lit("."), F.lit(1)), F.lit("0")))
-        fraction = F.length(F.rtrim(F.split_part(text, F.lit("."), F.lit(2)), F.lit("0")))
+        whole, fraction = _digits(F.col(name), declared)
         beyond = (whole > expected[0] - expected[1]) | (fraction > expected[1])
         measures += [
             F.lit(declared.precision).alias(f"declared_precision_{place}"),
@@ -103,6 +116,20 @@ def audit_precision(df: DataFrame, columns: Sequence[str], expected: tuple[int,
     return unpivot_columns(df.agg(*measures), columns, prefixes)
 
 
+def _digits(value: Column, declared: T.DecimalType) -> tuple[Column, Column]:
+    """Digits in use before and after the point. By arithmetic, as the text of a small decimal may
+    have an exponent, depending on the session."""
+    size, scale = declared.precision, declared.scale
+    number = F.abs(value)
+    whole = F.when(value.isNotNull(), F.lit(0))
+    for digits in range(1, size - scale + 1):
+        whole = F.when(number >= F.lit(Decimal("1" + "0" * (digits - 1))), digits).otherwise(whole)
+    fraction = F.when(value.isNotNull(), F.lit(scale))
+    for digits in range(scale - 1, -1, -1):
+        fraction = F.when(F.bround(number, digits).try_cast(declared) == number, digits).otherwise(fraction)
+    return whole, fraction
+
+
 def align_schema(
     batch: DataFrame, target: T.StructType, evolve: bool = False
 ) -> tuple[DataFrame, list[str]]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.watermarks import batch_date, batch_key, bound_literal, convert_bound
 from tidemark.operators.coerce import coerce, map_columns, rename_by_convention
 from tidemark.operators.keys import without_match
-from tidemark.operators.load import LOAD_ID, Dataset, stamp
+from tidemark.operators.load import LOAD_ID, LOAD_SOURCE, Dataset, stamp
 from tidemark.sources.scan import scan
 from tidemark.spec import Incremental, TableSpec
 
@@ -22,18 +22,20 @@ def since(df: DataFrame, incremental: Incremental, last: Any = None, lookback: s
 
     A timestamp bound is inclusive, others are exclusive. The bound is a literal of the
     column's type, so the filter reaches the scan. Rows without a watermark never match.
-    `lookback` (an interval such as `2 days`) reads late rows again; use it with a merge.
+    `lookback` (an interval such as `2 days`) reads late rows again.
     """
     value = incremental.initial if last is None else last
     column = F.col(incremental.column)
     if not isinstance(value, Column):
         value = convert_bound(value, incremental.strategy)
-    bound = _bound(df, incremental.column, value)
-    if lookback:
-        bound = bound - F.expr(f"INTERVAL {lookback}")
+    bound = _earlier(_bound(df, incremental.column, value), lookback)
     return df.where(column >= bound if incremental.strategy == "timestamp" else column > bound)
 
 
+def _earlier(bound: Column, lookback: str | None) -> Column:
+    return bound - F.expr(f"INTERVAL {lookback}") if lookback else bound
+
+
 def _bound(df: DataFrame, column: str, value: Any) -> Column:
     return value if isinstance(value, Column) else bound_literal(value, df.schema[column].dataType.simpleString())
 
@@ -43,9 +45,15 @@ def advance(loaded: DataFrame, column: str, previous: Column) -> DataFrame:
     return loaded.agg(F.coalesce(F.max(column), previous).alias("watermark"))
 
 
-def loaded_before(dataset: Dataset, table: str, load_id: str) -> DataFrame:
-    """The destination without what an earlier attempt of this load has written."""
-    rows = dataset.read(table)
+def loaded_before(dataset: Dataset, table: str, load_id: str, source: str | None = None) -> DataFrame:
+    """The destination without what an earlier attempt of this load has written.
+
+    Where the table keeps the source of its rows, only those of the given source.
+    """
+    rows = dataset.stored(table)
+    if source is not None and LOAD_SOURCE in rows.columns:
+        rows = rows.where(F.col(LOAD_SOURCE) == source)
+    rows = rows.drop(LOAD_SOURCE)
     return rows.where(F.col(LOAD_ID) != load_id) if LOAD_ID in rows.columns else rows
 
 
@@ -58,13 +66,21 @@ def last_loaded(loaded: DataFrame, column: str) -> Any:
 
 
 def drop_loaded_boundary(
-    rows: DataFrame, target: DataFrame, column: str, bound: Any, keys: Sequence[str]
+    rows: DataFrame, target: DataFrame, column: str, bound: Any, keys: Sequence[str], lookback: str | None = None
 ) -> DataFrame:
-    """Without the rows at the inclusive bound that the target already holds.
+    """Without the rows from the bound on that the target already holds: those of the same key, or
+    without keys the same rows, as many as it holds of them, so that true repeats stay.
 
-    Only target rows at the bound itself are read.
+    Rows at the inclusive bound are read again, with `lookback` those of that interval too; only
+    these target rows are read.
     """
-    return without_match(rows, target.where(F.col(column) == _bound(target, column, bound)), keys)
+    limit = _earlier(_bound(target, column, bound), lookback)
+    held = target.where((F.col(column) >= limit) & (F.col(column) <= _bound(target, column, bound)))
+    if keys:
+        return without_match(rows, held, keys)
+    again = F.col(column) <= _bound(rows, column, bound)
+    same = held.select(*[F.col(field.name).cast(field.dataType) for field in rows.schema.fields])
+    return rows.where(~again | F.col(column).isNull()).unionByName(rows.where(again).exceptAll(same))
 
 
 def new_batches(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -99,36 +115,43 @@ def run_load(
 ) -> Any:
     """One load of one table: scan, bound, coerce, stamp, write; returns the new watermark.
 
-    The watermark is read back from the destination, so data and state cannot part. At an
-    inclusive bound, rows already loaded are dropped by primary key (append) or replaced
-    (merge). An append under a load id used before takes up that load again from where it
-    began and replaces what it had written.
+    The watermark is read back from the destination, so data and state cannot part; where several
+    sources append to one table each has its own. Rows read again at an inclusive bound, or within
+    `lookback`, are dropped if they are loaded already (append) or replaced (merge). `replace` loads
+    the whole source: a watermark has no say in it. An append under a load id used before takes up
+    that load of the same source again from where it began and replaces what it had written.
     """
     source = scan(dataset.spark, spec, **frames)
     names = _new_names(spec, source)
     keys = [names[key.lower()] for key in spec.primary_key]
     order = [names[column.lower()] for column in spec.order_by]
     watermark = names[spec.incremental.column.lower()] if spec.incremental else None
-    appending = spec.disposition == "append"
+    appending, replacing = spec.disposition == "append", spec.disposition == "replace"
     last = loaded = None
-    if watermark and dataset.exists(spec.target):
-        loaded = loaded_before(dataset, spec.target, load_id) if appending else dataset.read(spec.target)
+    if watermark and not replacing and dataset.exists(spec.target):
+        loaded = loaded_before(dataset, spec.target, load_id, spec.source) if appending else dataset.read(spec.target)
         last = last_loaded(loaded, watermark)
         if appending:
-            _require_latest(dataset.read(spec.target), watermark, load_id, last)
-    if spec.incremental:
+            _require_latest(_rows_of(dataset, spec), watermark, load_id, last)
+    if spec.incremental and not replacing:
         source = since(source, spec.incremental, last, lookback)
     rows = prepare(source, spec)
-    if appending and keys and last is not None:
-        rows = drop_loaded_boundary(rows, loaded, watermark, last, keys)
+    if appending and last is not None and (spec.incremental.strategy == "timestamp" or lookback):
+        rows = drop_loaded_boundary(rows, loaded, watermark, last, keys, lookback)
     rows = stamp(rows, load_id, loaded_at)
-    if spec.disposition == "replace":
+    if replacing:
         dataset.replace(spec.target, rows)
     elif appending:
-        dataset.append(spec.target, rows, load_id)
+        dataset.append(spec.target, rows, load_id, source=spec.source)
     else:
         dataset.merge(spec.target, rows, keys, order or ([watermark] if watermark else []))
-    return last_loaded(dataset.read(spec.target), watermark) if watermark else None
+    return last_loaded(_rows_of(dataset, spec), watermark) if watermark else None
+
+
+def _rows_of(dataset: Dataset, spec: TableSpec) -> DataFrame:
+    """Rows of the destination that this spec's source has loaded, as far as that is kept."""
+    rows = dataset.stored(spec.target)
+    return rows.where(F.col(LOAD_SOURCE) == spec.source) if LOAD_SOURCE in rows.columns else rows
 
 
 def _require_latest(target: DataFrame, column: str, load_id: str, last: Any) -> None:

@@ -28,6 +28,8 @@ from tidemark.spec import TableSpec
 
 LOAD_ID = "_load_id"
 LOADED_AT = "_loaded_at"
+# Kept with the rows but not shown: what a load id belongs to when several sources fill one table.
+LOAD_SOURCE = "_load_source"
 
 
 def stamp(df: DataFrame, load_id: str, loaded_at: datetime | str, **extra) -> DataFrame:
@@ -50,7 +52,7 @@ def merge_rows(
 def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition brought together, so that not every task writes a file into every
     partition. The rebalance hint splits large partitions again. Rows of one load need none."""
-    columns = [name for name in partition_by if name != LOAD_ID]
+    columns = [name for name in partition_by if name not in (LOAD_ID, LOAD_SOURCE)]
     return df.hint("rebalance", *columns) if columns else df
 
 
@@ -95,29 +97,43 @@ class Dataset:
             # Kept with the table, so that later overwrites touch their own partitions only.
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         writer.saveAsTable(self.table(version))
-        self.view(name, f"SELECT * FROM {self.table(version)}")
+        self._show(name, version)
         # The version before stays for readers that have planned on it.
         for number in old[:-1]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__v{number}')}")
 
-    def append(self, name: str, df: DataFrame, load_id: str | None = None, evolve: bool = False) -> None:
-        """Add rows. In a table begun with a load id, the rows of a load id form a partition, which
-        a retry of that load overwrites instead of doubling.
+    def stored(self, name: str) -> DataFrame:
+        """The rows with the source that loaded them, where that is kept."""
+        return self.spark.table(self.table(f"{name}__v{self._versions(name)[-1]}"))
+
+    def append(
+        self, name: str, df: DataFrame, load_id: str | None = None, evolve: bool = False,
+        source: str | None = None, by: Sequence[str] = (),
+    ) -> None:
+        """Add rows. In a table begun with a load id, the rows that one load of one source has for
+        given values of the columns `by` form a partition, which a retry of that load overwrites
+        instead of doubling; other sources and values under the same load id are left alone.
 
         Rows are fitted to the table's schema; columns it lacks are an error unless `evolve`
         is set, when they are added to it.
         """
-        partition = [LOAD_ID] if load_id is not None else []
+        partition = [*by]
         if load_id is not None:
             df = df.withColumn(LOAD_ID, F.lit(load_id))
+            if source is not None:
+                df = df.withColumn(LOAD_SOURCE, F.lit(source))
+                partition.append(LOAD_SOURCE)
+            partition.append(LOAD_ID)
         if not self.exists(name):
             self.replace(name, df, partition)
             return
         version = f"{name}__v{self._versions(name)[-1]}"
+        if LOAD_SOURCE not in self.spark.table(self.table(version)).columns:
+            df = df.drop(LOAD_SOURCE)
         batch = self._fitted(version, df, evolve)
         if evolve:
             batch = self._add_columns(name, version, batch)
-        by_load = self._partitions(version) == [LOAD_ID]
+        by_load = LOAD_ID in self._partitions(version)
         batch.write.insertInto(self.table(version), overwrite=load_id is not None and by_load)
 
     def merge(
@@ -161,9 +177,13 @@ class Dataset:
         if new:
             added = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
             self.spark.sql(f"ALTER TABLE {self.table(version)} ADD COLUMNS ({added})")
-            self.view(name, f"SELECT * FROM {self.table(version)}")
+            self._show(name, version)
         return batch.select(*self.spark.table(self.table(version)).columns)
 
+    def _show(self, name: str, version: str) -> None:
+        hidden = LOAD_SOURCE in self.spark.table(self.table(version)).columns
+        self.view(name, f"SELECT *{f' EXCEPT ({LOAD_SOURCE})' if hidden else ''} FROM {self.table(version)}")
+
     def view(self, name: str, text: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {text}")
 

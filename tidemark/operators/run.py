@@ -41,7 +41,7 @@ def run_all(
     except LoadError as problem:
         results, failure = problem.results, problem
     stamped = results.withColumn("loaded_at", F.lit(str(loaded_at)).cast("timestamp_ntz"))
-    dataset.append(AUDIT, stamped, load_id)
+    dataset.append(AUDIT, stamped, load_id, by=["table_name"])
     if failure:
         raise failure
     return results

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.load import LOAD_ID, Dataset, merge_rows
-from tidemark.operators.scd2 import Batch, VersionColumns, closed_rows, current_rows
+from tidemark.operators.scd2 import Batch, VersionColumns, closed_rows, current_rows, late_changes
 
-CURRENT, CLOSED = "_current", "_closed"
+CURRENT, CLOSED, LATE = "_current", "_closed", "_late"
 FIRST_LOAD = "initial"
 
 
@@ -35,8 +35,13 @@ def load_batch(dataset: Dataset, name: str, load_id: str, batch: Batch) -> None:
 
     The versions it closes are written first, under the load id, then the new current ones.
     A load that fails in between and runs again finds the current table as it was and closes
-    the same versions, which replace those written before.
+    the same versions, which replace those written before. Changes that come late, not after the
+    start of the current version, change nothing here: they are kept in `<name>_late` under the
+    load id, for the histories of their keys to be built anew.
     """
+    late = late_changes(batch)
+    if dataset.exists(name + LATE) or not late.isEmpty():
+        dataset.append(name + LATE, late, load_id=load_id)
     before = dataset.read(name + CLOSED).where(F.col(LOAD_ID) == load_id)
     closed = merge_rows(
         before.select(*batch.dimension.columns), closed_rows(batch), [*batch.keys, batch.cols.start]

@@ -45,7 +45,6 @@ def stream_incremental_merge(tables: Tables) -> DataFrame:
     """Last event of every user."""
     dataset, checkpoint = Dataset(tables.spark), fresh_path(tables.spark, "stream")
     stream_merge(
-        _stream(tables, "events"), dataset, "last_event", ["user_id"], ["ts", "event_id"], checkpoint,
-        event_time="ts", event_id=["event_id"], within="30 days",
-    )
+        _stream(tables, "events"), dataset, "last_event", ["user_id"], ["ts", "event_id"], checkpoint
+    )
     return dataset.read("last_event")

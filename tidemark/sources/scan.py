@@ -53,13 +53,11 @@ def scan_projection(df: DataFrame, columns: Sequence[str], predicate: str | None
     return scan_where(df, predicate).select(*columns)
 
 
-def jdbc_partitions(
-    column: str, lower: int, upper: int, rows: int, chunk_rows: int, max_partitions: int = 10_000
-) -> dict[str, str]:
+def jdbc_partitions(column: str, lower: int, upper: int, rows: int, chunk_rows: int) -> dict[str, str]:
     """Options for a JDBC read in bounded chunks over a numeric key range."""
     if chunk_rows <= 0:
         raise ValueError("chunk_rows must be positive")
-    parts = max(1, min(max_partitions, -(-rows // chunk_rows)))
+    parts = max(1, -(-rows // chunk_rows))
     return {
         "partitionColumn": column,
         "lowerBound": str(lower),

@@ -1,7 +1,8 @@
 """Incremental loads as file streams: process what is new, then stop.
 
-Every micro-batch writes under its own id, so a batch that is run again after a failure
-replaces its first attempt.
+Every micro-batch writes under an id of its own, made of the stream's persistent id and the
+number of the batch: a batch that is run again after a failure replaces its first attempt, and
+streams that fill one table leave each other alone.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.load import Dataset
@@ -37,7 +37,8 @@ def stream_append(
     """Append all new rows of a stream to a table, then stop."""
 
     def write(batch: DataFrame, number: int) -> None:
-        Dataset(batch.sparkSession, dataset.name).append(table, prepare(batch), load_id=f"batch-{number:08d}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        Dataset(batch.sparkSession, dataset.name).append(table, prepare(batch), load_id=f"{stream}-{number:08d}")
 
     _run(rows, checkpoint, write)
 
@@ -49,19 +50,13 @@ def stream_merge(
     keys: Sequence[str],
     order: Sequence[str],
     checkpoint: str,
-    event_time: str | None = None,
-    event_id: Sequence[str] = (),
-    within: str = "1 day",
     partition_by: Sequence[str] = (),
 ) -> None:
     """Upsert all new rows of a stream into a table, the latest row of a key counting, then stop.
 
-    With an event time and id, repeats of an event within that time are dropped first; rows
-    later than that are dropped too, so leave it out where lateness has no bound.
+    Events that come twice or late do no harm, as the latest row of a key counts whenever it comes;
+    so none is dropped before.
     """
-    if event_time:
-        timed = rows.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-        rows = timed.withWatermark("_event_time", within).dropDuplicatesWithinWatermark([*event_id]).drop("_event_time")
 
     def write(batch: DataFrame, number: int) -> None:
         into = Dataset(batch.sparkSession, dataset.name)
