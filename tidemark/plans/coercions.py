@@ -158,6 +158,33 @@ def coercion_audit(tables: Tables) -> DataFrame:
     return op.audit_casts(tables["lineitem"], AUDITED)
 
 
+# Numbers that a double or a narrower decimal cannot hold, and how many of them a cast changes.
+EXACT = {"big": "double", "wide": "decimal(38,0)", "long_text": "decimal(19,4)"}
+EXACT_CHANGED = {"big": "o_orderkey % 2 = 1", "wide": "o_orderkey % 100 <> 0", "long_text": "o_orderkey % 3 <> 0"}
+
+
+@query(
+    "coercion_audit_exact",
+    " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS column_name, COUNT(*) AS row_count, 0::BIGINT AS null_count, 0::BIGINT AS lost_count,
+               COUNT(*) FILTER (WHERE {changed}) AS changed_count
+        FROM orders
+        """
+        for name, changed in EXACT_CHANGED.items()
+    ),
+)
+def coercion_audit_exact(tables: Tables) -> DataFrame:
+    key = F.col("o_orderkey")
+    cents = (key % 100).cast("decimal(38,2)") / F.lit(100)
+    rows = tables["orders"].select(
+        (F.lit(9007199254740992) + key).alias("big"),
+        (F.lit("100000000000000000000000").cast("decimal(30,2)") + cents.cast("decimal(5,2)")).cast("decimal(38,2)").alias("wide"),
+        F.concat(key.cast("string"), F.when(key % 3 == 0, ".2500").otherwise(".23456789")).alias("long_text"),
+    )
+    return op.audit_casts(rows, EXACT)
+
+
 # Decimal columns: how each is made, in SQL both engines read, and its declared type.
 PRECISE = {
     "amount": ("CAST(o_totalprice AS DECIMAL(19,4))", 19, 4),

@@ -160,6 +160,26 @@ def scd2_load_batches(tables: Tables) -> DataFrame:
     return dataset.read("dim").select(*CORE)
 
 
+@query(
+    "scd2_late_changes",
+    f"""
+    WITH {DIM}
+    SELECT user_id, 'late' AS status FROM dim WHERE is_latest AND effective_from >= TIMESTAMP '2024-01-09'
+    """,
+)
+def scd2_late_changes(tables: Tables) -> DataFrame:
+    """A batch as of a day before the current versions of many keys: those changes are kept aside."""
+    dataset = Dataset(tables.spark)
+    start_dimension(dataset, "dim", dimension(tables))
+    changes = tables["events"].select("user_id").distinct().withColumns(
+        {"status": F.lit("late"), "ts": F.lit("2024-01-09").cast("timestamp_ntz"), "event_id": F.lit(0).cast("bigint")}
+    )
+    for _ in range(2):
+        batch = op.Batch(current_table(dataset, "dim"), changes, KEYS, ATTRIBUTES, as_of="2024-01-09", order=["ts", "event_id"])
+        load_batch(dataset, "dim", "late-day", batch)
+    return dataset.read("dim_late").select("user_id", "status")
+
+
 @query(
     "scd2_change_detect",
     f"""

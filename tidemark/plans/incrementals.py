@@ -260,3 +260,68 @@ def env_subset_load(tables: Tables) -> DataFrame:
     dataset = Dataset(tables.spark)
     op.run_load(dataset, dev, "dev", "2024-02-01", orders=tables["orders"])
     return dataset.read("orders").drop("_loaded_at")
+
+
+# Whole days and two columns: very many rows are equal, and the bound of a run is a whole day.
+VISIT_SQL = "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type FROM events"
+
+
+def visits(tables: Tables) -> DataFrame:
+    return tables["events"].select(F.to_date("ts").cast("timestamp_ntz").alias("day"), "event_type")
+
+
+def _appended_visits(tables: Tables, lookback: str | None) -> DataFrame:
+    dataset, rows = Dataset(tables.spark), visits(tables)
+    spec = TableSpec(
+        "visits", disposition="append", incremental=Incremental("day", "2024-01-05T00:00:00"), columns=("day", "event_type")
+    )
+    early = rows.where("day <= TIMESTAMP_NTZ '2024-01-20'")
+    for number, frame in enumerate((early, rows, rows)):
+        op.run_load(dataset, spec, f"run-{number}", "2024-02-01", lookback, visits=frame)
+    return dataset.read("visits").select("day", "event_type")
+
+
+@query("incr_append_timestamp", f"SELECT * FROM ({VISIT_SQL}) WHERE day >= TIMESTAMP '2024-01-05'")
+def incr_append_timestamp(tables: Tables) -> DataFrame:
+    """Three runs without a key: rows at the bound are read again, and none is added twice or lost."""
+    return _appended_visits(tables, None)
+
+
+@query(
+    "incr_append_lookback",
+    f"SELECT * FROM ({VISIT_SQL}) WHERE day >= TIMESTAMP '2024-01-02'",
+)
+def incr_append_lookback(tables: Tables) -> DataFrame:
+    """The same, reading three days before the bound in each run, the first one too."""
+    return _appended_visits(tables, "3 days")
+
+
+@query("load_replace_incremental", "SELECT o_orderkey, o_custkey FROM orders")
+def load_replace_incremental(tables: Tables) -> DataFrame:
+    """Two runs that replace, with a watermark that must not cut off older rows."""
+    dataset, orders = Dataset(tables.spark), tables["orders"]
+    spec = TableSpec("orders", incremental=Incremental("o_orderkey", 0, "sequence"), columns=("o_orderkey", "o_custkey"))
+    op.run_load(dataset, spec, "run-1", "2024-02-01", orders=orders.where("o_orderkey <= 500"))
+    op.run_load(dataset, spec, "run-2", "2024-02-02", orders=orders)
+    return dataset.read("orders").select("o_orderkey", "o_custkey")
+
+
+@query(
+    "load_two_sources",
+    """
+    SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey <= 500 THEN 'run-1' ELSE 'run-2' END AS _load_id FROM orders
+    """,
+)
+def load_two_sources(tables: Tables) -> DataFrame:
+    """Two sources fill one table under the same load ids, each with its own watermark; a run is repeated."""
+    dataset, orders = Dataset(tables.spark), tables["orders"].select("o_orderkey", "o_orderstatus")
+    specs = [
+        TableSpec(name, "orders", "append", ("o_orderkey",), incremental=Incremental("o_orderkey", -1, "sequence"))
+        for name in ("finished", "others")
+    ]
+    for run, upto in (("run-1", 500), ("run-2", None), ("run-2", None)):
+        known = orders.where(F.col("o_orderkey") <= upto) if upto else orders
+        for spec in specs:
+            rows = known.where("o_orderstatus = 'F'" if spec.source == "finished" else "o_orderstatus <> 'F'")
+            op.run_load(dataset, spec, run, "2024-02-01", **{spec.source: rows})
+    return dataset.read("orders").select("o_orderkey", "o_orderstatus", "_load_id")

@@ -48,3 +48,18 @@ def stream_incremental_merge(tables: Tables) -> DataFrame:
         _stream(tables, "events"), dataset, "last_event", ["user_id"], ["ts", "event_id"], checkpoint
     )
     return dataset.read("last_event")
+
+
+@query(
+    "stream_append_two_sources",
+    "SELECT o_orderkey AS order_key FROM orders UNION ALL SELECT l_orderkey FROM lineitem",
+)
+def stream_append_two_sources(tables: Tables) -> DataFrame:
+    """Two streams with checkpoints of their own fill one table."""
+    dataset = Dataset(tables.spark)
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        stream_append(
+            _stream(tables, name), dataset, "keys", fresh_path(tables.spark, "stream"),
+            lambda batch, key=key: batch.select(F.col(key).alias("order_key")),
+        )
+    return dataset.read("keys").select("order_key")
