@@ -198,16 +198,18 @@ def assign_surrogate_key(
     """Number rows without gaps in the given order, from `after` + 1.
 
     Range partitions are sorted and written with their row positions, then shifted by the
-    sizes of the partitions before them: no global window. Rows equal in `order` come in any
-    order, and many of them spread over several partitions.
+    sizes of the partitions before them: no global window. Rows equal in `order` follow a hash of
+    the row, so that numbers do not depend on the layout of files; only rows equal in all columns
+    are interchangeable, and many of them spread over several partitions.
     """
+    hashed = [field.name for field in df.schema.fields if "map<" not in field.dataType.simpleString()]
     # The id holds the partition in its upper bits and the row's position in the lower 33.
     numbered = materialize(
-        df.withColumn("_tie", F.rand(0))
-        .repartitionByRange(*order, "_tie")
-        .sortWithinPartitions(*order, "_tie")
+        df.withColumns({"_tie": F.xxhash64(*hashed), "_spread": F.rand(0)})
+        .repartitionByRange(*order, "_tie", "_spread")
+        .sortWithinPartitions(*order, "_tie", "_spread")
         .withColumn("_position", F.monotonically_increasing_id())
-        .drop("_tie"),
+        .drop("_tie", "_spread"),
         "numbered",
     )
     part = F.shiftright("_position", 33)

@@ -485,16 +485,6 @@ def uuid_text(seed: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
 
 
-def generate_rows(
-    ids: DataFrame, id_column: str, rules: Sequence[Rule], day: int, at: datetime | str, first_salt: int = 1
-) -> DataFrame:
-    """Columns by rule for every id, without the id."""
-    key, now = id_text(id_column), moment(at)
-    return ids.select(
-        *[value_of(rule, key, first_salt + place, day, now).alias(rule.name) for place, rule in enumerate(rules)]
-    )
-
-
 def generate_batch(
     ids: DataFrame, id_column: str, day: int, at: datetime | str, rules: Sequence[Rule] = REPORTING_COLUMNS
 ) -> DataFrame:

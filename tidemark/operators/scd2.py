@@ -390,10 +390,11 @@ def join_as_of(
     The versions of a key must not overlap (see the overlap check).
 
     Where many facts share a key and a time, as with times of whole days, `coarse_times`
-    looks up each key and time once and joins the facts to the answers.
+    looks up each key and time once and joins the facts to the answers. A NULL key has no version.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type {how!r}")
+    dimension = dimension.dropna(subset=[*keys])
     if coarse_times:
         asked = facts.select(*keys, fact_time).distinct()
         answers = join_as_of(

@@ -21,6 +21,8 @@ def local_session(cores: str = "8", app: str = "tidemark", **settings: str) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
+        # Tables that are loaded side by side share the cores; a cluster sets this itself.
+        .config("spark.scheduler.mode", "FAIR")
         # The JVM does not compile methods above 8000 bytes; wide projections exceed that.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Without the Python call site of every expression, wide plans are built twice as fast.
