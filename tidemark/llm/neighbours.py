@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-PROJECTIONS = 64
-MISS = 0.02  # chance that a vector within the radius does not collide often enough
+PROJECTIONS = 16
+MISS = 0.03  # chance that a vector within the radius does not collide often enough
 WIDTH = 0.75  # half a window, in radii
-GROWTH = 1.1
-BLOCK = 8_192
-QUERY_BLOCK = 2_048
+GROWTH = 1.2
+BLOCK = 65_536
+QUERY_BLOCK = 512
 SEED = 20_240_229
 
 
@@ -48,7 +48,8 @@ def collisions_needed(count: int = PROJECTIONS, width: float = WIDTH, miss: floa
 
 
 def search_block(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, k: int, longest: float) -> list[np.ndarray]:
-    """For each query, places of candidates among which its k nearest of this block are, but for a chance of MISS each.
+    """For each query, places of its k nearest candidates of this block and of what may tie with the last; any of the k
+    is missed with a chance of MISS.
 
     `own` has the place of the query itself among the candidates, or -1. `longest` is the length of the longest vector.
     """
@@ -65,44 +66,58 @@ def search_block(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, k
     asked = lifted(scaled, np.zeros(len(queries))) @ away
     order = np.argsort(placed, axis=0, kind="stable")
     ranked = np.take_along_axis(placed, order, axis=0)
-    need, out = collisions_needed(), []
+    need = collisions_needed()
     number, count = placed.shape
-    start = 0.5 * longest
-    for query in range(len(queries)):
-        counts = np.zeros(number, dtype=np.uint8)
-        verified = np.zeros(number, dtype=bool)
-        if own[query] >= 0:
-            verified[own[query]] = True
-        found, far = [], np.zeros(0)
-        low, high = np.zeros(count, dtype=np.int64), np.zeros(count, dtype=np.int64)
-        radius, first = start, True
-        while True:
-            half = WIDTH * radius
+    order, ranked = np.ascontiguousarray(order.T), np.ascontiguousarray(ranked.T)
+    low = np.zeros((len(queries), count), dtype=np.int64)
+    high = np.zeros((len(queries), count), dtype=np.int64)
+    counts = np.zeros((len(queries), number), dtype=np.uint8)
+    verified = np.zeros((len(queries), number), dtype=bool)
+    verified[np.flatnonzero(own >= 0), own[own >= 0]] = True
+    best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in queries]
+    left, radius, first = np.arange(len(queries)), 0.5 * longest, True
+    slack = 1e-9 * longest**2  # products of one run may differ in the last digits from those of another
+
+    def verify(query: int, new: np.ndarray, products: np.ndarray | None) -> None:
+        near = candidates[new] @ scaled[query] if products is None else products[new]
+        places, found = np.concatenate([best[query][0], new]), np.concatenate([best[query][1], near])
+        if len(found) > k:
+            keep = found >= np.partition(found, -k)[-k] - slack  # with all that may tie with the last
+            places, found = places[keep], found[keep]
+        best[query] = places, found
+        verified[query, new] = True
+
+    while len(left):
+        half = WIDTH * radius
+        a = np.stack([np.searchsorted(ranked[line], asked[left, line] - half, "left") for line in range(count)], axis=1)
+        b = np.stack([np.searchsorted(ranked[line], asked[left, line] + half, "right") for line in range(count)], axis=1)
+        going = []
+        for begin in range(0, len(left), 32):
+            part = left[begin : begin + 32]
             fresh = []
-            for line in range(count):
-                a = np.searchsorted(ranked[:, line], asked[query, line] - half, "left")
-                b = np.searchsorted(ranked[:, line], asked[query, line] + half, "right")
-                if first:
-                    fresh.append(order[a:b, line])
-                else:
-                    fresh += [order[a : low[line], line], order[high[line] : b, line]]
-                low[line], high[line] = a, b
-            first = False
-            counts += np.bincount(np.concatenate(fresh), minlength=number).astype(np.uint8)
-            new = np.flatnonzero((counts >= need) & ~verified)
-            if len(new):
-                verified[new] = True
-                found.append(new)
-                gaps = 2 * longest**2 - 2 * (candidates[new] @ scaled[query])
-                far = np.sort(np.concatenate([far, np.sqrt(np.maximum(gaps, 0))]))[:k]
-            whole = bool((low == 0).all() and (high == number).all())
-            if whole or len(far) == k and far[-1] <= radius:
-                break
-            radius *= GROWTH
-        if whole and not verified.all():
-            found.append(np.flatnonzero(~verified))
-        out.append(np.concatenate(found) if found else np.zeros(0, dtype=np.int64))
-    return out
+            for place, query in enumerate(part, begin):
+                hits = counts[query]
+                for line in range(count):  # only what the window has grown by; a place is in a line once
+                    if first:
+                        hits[order[line, a[place, line] : b[place, line]]] += 1
+                    else:
+                        hits[order[line, a[place, line] : low[query, line]]] += 1
+                        hits[order[line, high[query, line] : b[place, line]]] += 1
+                whole = (a[place] == 0).all() and (b[place] == number).all()
+                fresh.append(np.flatnonzero(((hits >= need) | whole) & ~verified[query]))
+            # Where much of the block is to be verified, one product takes less time than picking the rows.
+            dense = sum(map(len, fresh)) * 8 > len(part) * number
+            products = candidates @ scaled[part].T if dense else None
+            for place, (query, new) in enumerate(zip(part, fresh)):
+                if len(new):
+                    verify(query, new, products[:, place] if dense else None)
+                found = best[query][1]
+                far = math.sqrt(max(0.0, 2 * longest**2 - 2 * np.partition(found, -k)[-k])) if len(found) >= k else math.inf
+                if far > radius and not verified[query].all():
+                    going.append(begin + place)
+        low[left], high[left] = a, b
+        left, radius, first = left[going], radius * GROWTH, False
+    return [places for places, _ in best]
 
 
 def usable(vector: Column) -> Column:
@@ -180,6 +195,9 @@ def nearest(
             {name: pa.array(np.concatenate(parts) if parts else [], pa.float64() if name == "score" else pa.int64()) for name, parts in out.items()}
         )
 
+    # So many partitions as the session has for shuffles: the rows are few for the work on them.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(parts, "size", "block", "query_block")
     found = both.groupBy("size", "block", "query_block").applyInArrow(searched, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
