@@ -9,8 +9,6 @@ rows in one task; all documents are then scored where they are.
 from __future__ import annotations
 
 import json
-import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import LOWER, NOT_LETTER, Words, byte_texts, runs_of, scratch_name
+from tidemark.llm.common import NOT_LETTER, Words, byte_texts, runs_of, scratch_name, shingle_hashes
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
@@ -83,28 +81,55 @@ def held_rates(texts: list[bytes], lookup: np.ndarray | None = None) -> tuple[np
     return owner, feature, rates
 
 
-def _family(text: bytes) -> int:
-    """A number that near copies of a text have in common mostly: of its longest word, the least of equals."""
-    words = re.findall(rb"[a-z\x80-\xff]+", text.translate(LOWER))
-    return zlib.crc32(min(words, key=lambda word: (-len(word), word), default=b""))
+def families(texts: list[bytes]) -> list[int]:
+    """A number for each text that near copies have in common mostly: its least hash of five words in a row."""
+    words = Words(texts, NOT_LETTER)
+    hashes = words.hashes()
+    runs = (shingle_hashes(hashes[begin:end], 5) for begin, end in zip(words.bounds[:-1], words.bounds[1:]))
+    return [int(run.min() >> np.uint64(8)) if len(run) else 0 for run in runs]
+
+
+@dataclass
+class Rows:
+    """A matrix of few rates by (row, column, value), and dense columns after them, the constant last."""
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    words: int
+    dense: np.ndarray
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        words = np.bincount(self.row, weights=self.value * weights[self.column], minlength=len(self.dense))
+        return words + self.dense @ weights[self.words :]
+
+    def back(self, errors: np.ndarray) -> np.ndarray:
+        words = np.bincount(self.column, weights=self.value * errors[self.row], minlength=self.words)
+        return np.concatenate([words[: self.words], self.dense.T @ errors])
+
+    def only(self, keep: np.ndarray) -> Rows:
+        own = keep[self.row]
+        number = np.cumsum(keep) - 1
+        return Rows(number[self.row[own]], self.column[own], self.value[own], self.words, self.dense[keep])
 
 
-def _fit_linear(rows: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """Weights of a ridge-penalised logistic regression; the last column is the constant and not penalised."""
-    weights, ahead = np.zeros(rows.shape[1]), np.zeros(rows.shape[1])
+def _fit_linear(rows: Rows, want: np.ndarray) -> np.ndarray:
+    """Weights of a ridge-penalised logistic regression; the constant is not penalised."""
+    count = len(want)
     base = np.clip(want.mean(), 1e-4, 1 - 1e-4)
-    weights[-1] = ahead[-1] = np.log(base / (1 - base))
-    penalty = np.full(rows.shape[1], PENALTY)
+    weights = np.zeros(rows.words + rows.dense.shape[1])
+    weights[-1] = np.log(base / (1 - base))
+    ahead = before = weights
+    penalty = np.full(len(weights), PENALTY)
     penalty[-1] = 0
-    vector = np.ones(rows.shape[1])
+    vector = np.ones(len(weights))
     for _ in range(12):  # the largest eigenvalue bounds the step
-        vector = rows.T @ (rows @ vector)
+        vector = rows.back(rows.times(vector))
         largest = np.linalg.norm(vector)
         vector /= max(largest, 1e-12)
-    step = 1 / (0.27 * largest / len(rows) + PENALTY)
-    before = weights
+    step = 1 / (0.27 * largest / count + PENALTY)
     for turn in range(STEPS):
-        slope = rows.T @ (_logistic(rows @ ahead) - want) / len(rows) + penalty * ahead
+        slope = rows.back(_logistic(rows.times(ahead)) - want) / count + penalty * ahead
         weights = ahead - step * slope
         ahead = weights + turn / (turn + 3) * (weights - before)
         before = weights
@@ -156,25 +181,24 @@ def fit_rows(owner: np.ndarray, bucket: np.ndarray, rate: np.ndarray, wants: np.
     buckets = _telling(owner, bucket, rate, wants, folds)
     lookup = np.full(BUCKETS, -1, dtype=np.int64)
     lookup[buckets] = np.arange(len(buckets))
-    words = np.zeros((len(wants), len(buckets)), dtype=np.float32)
     keep = lookup[bucket] >= 0
-    words[owner[keep], lookup[bucket[keep]]] = rate[keep]
-    count = wants.shape[1]
+    words = (owner[keep].astype(np.int64), lookup[bucket[keep]], rate[keep].astype(np.float64), len(buckets))
+    number, count = wants.shape
     weights, thresholds = np.zeros((count, len(buckets) + count)), np.zeros(count)
-    earlier = np.zeros((len(wants), 0), dtype=np.float32)
+    earlier = np.zeros((number, 0))
     for place in range(count):
-        rows = np.concatenate([words, earlier, np.ones((len(words), 1), dtype=np.float32)], axis=1)
+        rows = Rows(*words, np.concatenate([earlier, np.ones((number, 1))], axis=1))
         want = wants[:, place].astype(np.float64)
         fitted = _fit_linear(rows, want)
         weights[place, : len(buckets) + place] = fitted[:-1]
         weights[place, -1] = fitted[-1]
-        chance = np.zeros(len(rows))
+        chance = np.full(number, want.mean())
         for fold in range(FOLDS):
             own = folds == fold
-            if own.any():
-                chance[own] = _logistic(rows[own] @ _fit_linear(rows[~own], want[~own])) if (~own).any() else want.mean()
-        thresholds[place] = _threshold(chance, want) if 0 < want.sum() < len(want) else 1.1 - 0.6 * want.mean()
-        earlier = np.concatenate([earlier, chance[:, None].astype(np.float32)], axis=1)
+            if own.any() and not own.all():
+                chance[own] = _logistic(rows.only(own).times(_fit_linear(rows.only(~own), want[~own])))
+        thresholds[place] = _threshold(chance, want) if 0 < want.sum() < number else 1.1 - 0.6 * want.mean()
+        earlier = np.concatenate([earlier, chance[:, None]], axis=1)
     return buckets, weights, thresholds
 
 
@@ -200,13 +224,13 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int
             for begin, end in runs_of([len(text) for text in texts]):
                 owner, bucket, rate = held_rates(texts[begin:end])
                 cuts = np.searchsorted(owner, np.arange(end - begin + 1))
-                family = [_family(text) for text in texts[begin:end]]
+                family = families(texts[begin:end])
                 part = batch.slice(begin, end - begin)
                 cuts = pa.array(cuts, pa.int32())
                 buckets = pa.ListArray.from_arrays(cuts, pa.array(bucket, pa.int32()))
                 rates = pa.ListArray.from_arrays(cuts, pa.array(rate, pa.float32()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *[part.column(name) for name in values], pa.array(family), buckets, rates],
+                    [part.column("doc_id"), *[part.column(name) for name in values], pa.array(family, pa.int64()), buckets, rates],
                     names=["doc_id", *values, "family", "buckets", "rates"],
                 )
 
