@@ -7,8 +7,8 @@ are a point. What two sets have in common is at most the sum of the smaller of t
 2. Groups are ordered by how many shingles of the corpus they hold, the rarest first. Two sets that are similar
    enough must share one of the first (1 - t) n + 1 shingles in that order: without one the minima of the rest cannot
    add up. These shingles are the entries by which points come together, at any size of the corpus.
-3. Of the classes that meet at an entry, each is compared with the first and with the one before it. Classes that this
-   links are connected, and so need no further comparison with each other.
+3. Of the classes that meet at an entry, each is compared with the one that shares most entries with others, and with
+   the one before it in that order. Classes that this links are connected and need no further comparison.
 4. What meets at an entry and is still not connected is indexed by an R-tree on its points; pairs of boxes whose
    summed coordinate minima are too small are cut off, and so are pairs of points.
 5. Surviving pairs are verified on the whole sets.
@@ -33,7 +33,7 @@ from tidemark.llm.graph import components
 
 GROUPS = 1 << 18  # of shingles, to find rare ones
 PIECES = 16  # of the counts of groups, and of the filter
-AXES = 64  # of a point
+AXES = 256  # of a point
 FAN = 16
 RUN = 4_096
 FILTER_BITS = 1 << 23
@@ -55,8 +55,28 @@ def _groups(shingles: np.ndarray) -> np.ndarray:
     return (shingles % np.uint64(GROUPS)).astype(np.int64)
 
 
-def _point(shingles: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((shingles >> np.uint64(40)).astype(np.int64) % AXES, minlength=AXES), 65_535).astype(np.uint16)
+def _point(shingles: np.ndarray) -> bytes:
+    """Counts of a set in `AXES` groups, a byte each where that holds them, else four."""
+    counts = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % AXES, minlength=AXES)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def _points(values: list[bytes]) -> np.ndarray:
+    if all(len(value) == AXES for value in values):
+        return np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(values), AXES)
+    parts = [np.frombuffer(value, dtype=np.uint8 if len(value) == AXES else np.uint32) for value in values]
+    return np.stack([part.astype(np.uint32) for part in parts])
+
+
+def needed(one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles that two sets of these sizes must have in common."""
+    return -(-percent * (one + other) // (100 + percent))
+
+
+def _late_enough(sizes, places, one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether an entry may be the first that a similar pair shares: behind it there must be enough left of both."""
+    left = np.minimum(sizes[one] - places[one], sizes[other] - places[other])
+    return left >= needed(sizes[one], sizes[other], percent)
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -119,7 +139,7 @@ def _joined_pieces(rows: DataFrame, combine, kind, size: int) -> np.ndarray:
 
 
 def _entries(width: int, percent: int, shared):
-    """Rows (token, set, n) of the first shingles of each set in the order of groups, and rows (set, n, point).
+    """Rows (token, set, n, place) of the first shingles of each set in the order of groups, and rows (set, n, point).
 
     A set is passed on once by a task, however many copies of it the task reads.
     """
@@ -136,9 +156,10 @@ def _entries(width: int, percent: int, shared):
                     pa.array(np.concatenate([*tokens, np.zeros(number, dtype=np.int64)]), pa.int64()),
                     pa.array(np.concatenate([np.repeat(owners, lengths), owners]).astype(np.int64)),
                     pa.array(np.concatenate([np.repeat(sizes, lengths), sizes]).astype(np.int32)),
-                    pa.array([None] * sum(lengths) + [point.tobytes() for point in points], pa.binary()),
+                    pa.array(np.concatenate([*[np.arange(x) for x in lengths], np.zeros(number)]).astype(np.int32)),
+                    pa.array([None] * sum(lengths) + points, pa.binary()),
                 ],
-                names=["token", "set", "n", "point"],
+                names=["token", "set", "n", "place", "point"],
             )
 
         for _, shingles in _sets_of(batches, width):
@@ -162,55 +183,61 @@ def _entries(width: int, percent: int, shared):
     return rows
 
 
-def _meetings(percent: int):
-    """From rows (token, set, n) in order: pairs with the first and the one before, and the rows of longer runs."""
+def _by_token(judge, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What `judge` makes of rows in the order of their first column, the token; the rows of a token come together.
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((3, 0), dtype=np.int64)  # rows of the last token, which may go on in the next batch
-        for batch in batches:
-            part = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)])
-            held = np.concatenate([held, part], axis=1)
-            if held.shape[1] == 0:
-                continue
-            cut = int(np.searchsorted(held[0], held[0, -1]))  # tokens ascend within a partition
-            if cut:
-                yield _pairs_of_runs(held[:, :cut], percent)
-                held = held[:, cut:]
-            elif held.shape[1] >= 1 << 20:  # a very long run: what follows meets its first row and its last
-                yield _pairs_of_runs(held, percent)
-                held = held[:, [0, -1]]
-        if held.shape[1]:
-            yield _pairs_of_runs(held, percent)
+    Of a run of a million rows its first and last row stay to be met by those that follow.
+    """
+    held: np.ndarray | None = None
+    for batch in batches:
+        part = np.stack([column.to_numpy().astype(np.int64) for column in batch.columns])
+        held = part if held is None else np.concatenate([held, part], axis=1)
+        if held.shape[1] == 0:
+            continue
+        cut = int(np.searchsorted(held[0], held[0, -1]))  # tokens ascend within a partition
+        if cut:
+            yield judge(held[:, :cut])
+            held = held[:, cut:]
+        elif held.shape[1] >= 1 << 20:
+            yield judge(held)
+            held = held[:, [0, -1]]
+    if held is not None and held.shape[1]:
+        yield judge(held)
+
+
+def _run_starts(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the first row of its run, and the length of the run."""
+    starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    lengths = np.diff(np.append(starts, len(tokens)))
+    return np.repeat(starts, lengths), np.repeat(lengths, lengths)
 
-    return rows
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (token, set, n, place) of tokens that several sets have among their entries."""
 
-def _pairs_of_runs(ready: np.ndarray, percent: int) -> pa.RecordBatch:
-    tokens, sets, sizes = ready
-    starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-    lengths = np.diff(np.append(starts, len(tokens)))
-    first = np.repeat(starts, lengths)
-    place = np.arange(len(tokens))
-    pairs = []
-    for other in (first, np.maximum(place - 1, first)):
-        keep = (sets[other] != sets[place]) & _near(sizes[other], sizes[place], percent)
-        pairs.append(np.stack([np.minimum(sets[other], sets[place]), np.maximum(sets[other], sets[place])])[:, keep])
-    pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
-    rest = np.repeat(lengths, lengths) > 2
-    none = np.zeros(pairs.shape[1], dtype=np.int64)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate([none, tokens[rest]])),
-            pa.array(np.concatenate([pairs[0], sets[rest]])),
-            pa.array(np.concatenate([pairs[1], sizes[rest]])),
-            pa.array(np.concatenate([np.ones(pairs.shape[1], dtype=bool), np.zeros(int(rest.sum()), dtype=bool)])),
-        ],
-        names=["token", "a", "b", "pair"],
-    )
+    def judge(rows: np.ndarray) -> pa.RecordBatch:
+        kept = rows[:, _run_starts(rows[0])[1] > 1]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, pa.int64()).cast(kind) for column, kind in zip(kept, kinds)], names=["token", "set", "n", "place"]
+        )
+
+    yield from _by_token(judge, batches)
 
 
-def _near(one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
-    return 100 * np.minimum(one, other) >= percent * np.maximum(one, other)
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (token, order, set) in that order: pairs of each set with the first of its token and the one before."""
+
+    def judge(rows: np.ndarray) -> pa.RecordBatch:
+        first, _ = _run_starts(rows[0])
+        sets, place, pairs = rows[2], np.arange(rows.shape[1]), []
+        for other in (first, np.maximum(place - 1, first)):
+            keep = sets[other] != sets
+            pairs.append(np.stack([np.minimum(sets[other], sets), np.maximum(sets[other], sets)])[:, keep])
+        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+
+    yield from _by_token(judge, batches)
 
 
 def tree_join(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +270,7 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent:
             i, j = left[begin : begin + (1 << 14)], right[begin : begin + (1 << 14)]
             may = (100 * large[i] >= percent * small[j]) & (100 * large[j] >= percent * small[i])
             may &= ~((low[i] == high[i]) & (low[j] == high[j]) & (low[i] == low[j]))
-            need = -(-percent * (small[i] + small[j]) // (100 + percent))
+            need = needed(small[i], small[j], percent)
             may[may] = np.minimum(upper[i[may]], upper[j[may]]).sum(axis=1) >= need[may]
             keep[begin : begin + (1 << 14)] = may
         left, right = left[keep], right[keep]
@@ -263,13 +290,14 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent:
 
 
 def _tree_pairs(percent: int):
-    """From rows (token, low, high, set, n, root, point, own) grouped: pairs that the tree leaves."""
+    """From rows (token, low, high, set, n, place, root, point, own) grouped: pairs that the tree leaves."""
 
     def pairs(table: pa.Table) -> pa.Table:
         sets, sizes = table.column("set").to_numpy(), table.column("n").to_numpy().astype(np.int64)
         roots, own = table.column("root").to_numpy(), table.column("own").to_numpy()
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), dtype=np.uint16).reshape(len(sets), AXES)
-        i, j = tree_join(points, sizes, roots, percent)
+        i, j = tree_join(_points(table.column("point").to_pylist()), sizes, roots, percent)
+        late = _late_enough(sizes, table.column("place").to_numpy().astype(np.int64), i, j, percent)
+        i, j = i[late], j[late]
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         # Of two blocks, pairs within one are found where the block is paired with itself.
         keep = np.ones(len(i), dtype=bool) if low == high else own[i] != own[j]
@@ -322,6 +350,20 @@ def _wanted_sets(width: int, shared):
     return rows
 
 
+def _bounded(percent: int):
+    """From rows (a, b, sizes, points): pairs whose summed coordinate minima allow the similarity."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+            if len(one):
+                minima = np.minimum(_points(batch.column(4).to_pylist()), _points(batch.column(5).to_pylist()))
+                keep = minima.sum(axis=1, dtype=np.int64) >= needed(one, other, percent)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+    return rows
+
+
 def _verified(percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,10 +380,10 @@ def _verified(percent: int):
 def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs of set numbers that are similar enough, by their whole sets."""
     spark = docs.sparkSession
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    bits = spark.sparkContext.broadcast(filter_bits(needed))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    bits = spark.sparkContext.broadcast(filter_bits(wanted))
     path = fresh_path(spark, "sets")
-    docs.mapInArrow(_wanted_sets(width, bits), "set bigint, shingles binary").join(needed, "set", "left_semi").dropDuplicates(["set"]).write.parquet(path)
+    docs.mapInArrow(_wanted_sets(width, bits), "set bigint, shingles binary").join(wanted, "set", "left_semi").dropDuplicates(["set"]).write.parquet(path)
     sets = spark.read.schema("set bigint, shingles binary").parquet(path)
     both = (
         pairs.join(sets.select(F.col("set").alias("a"), F.col("shingles").alias("one")), "a")
@@ -365,29 +407,37 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int
     held = table.where("piece IS NOT NULL").select("piece", "counts")
     shared = spark.sparkContext.broadcast(_joined_pieces(held, np.add, np.uint32, GROUPS))
 
-    rows = docs.mapInArrow(_entries(width, percent, shared), "token bigint, set bigint, n int, point binary")
-    met = rows.where("point IS NULL").select("token", "set", "n").repartition("token").sortWithinPartitions("token", "n", "set")
-    table = written(met.mapInArrow(_meetings(percent), "token bigint, a bigint, b bigint, pair boolean"), "meetings")
-    tested = written(table.where("pair").select("a", "b").distinct(), "pairs")
-    links = _links(docs, tested, width, percent)
+    entries = docs.mapInArrow(_entries(width, percent, shared), "token bigint, set bigint, n int, place int, point binary")
+    points = written(entries.where("point IS NOT NULL").select("set", "n", "point").dropDuplicates(["set"]), "points")
+    met = entries.where("point IS NULL").select("token", "set", "n", "place").repartition("token")
+    shared_rows = met.sortWithinPartitions("token").mapInArrow(_shared, "token bigint, set bigint, n int, place int")
+    runs = written(shared_rows.distinct(), "runs")
+    # The text that others were copied from has most entries in common with others: it goes first wherever it meets them.
+    central = runs.groupBy("set").agg((-F.count("*")).alias("order"))
+    placed = runs.join(central, "set").select("token", "order", "set").repartition("token")
+    pairs = placed.sortWithinPartitions("token", "order", "set").mapInArrow(_seeds, "a bigint, b bigint")
+    tested = written(pairs.distinct(), "pairs")
+    both = (
+        tested.join(points.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
+        .join(points.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
+        .select("a", "b", "na", "nb", "pa", "pb")
+    )
+    close = written(both.mapInArrow(_bounded(percent), "a bigint, b bigint"), "close")
+    links = _links(docs, close, width, percent)
     roots = written(components(links), "roots")
 
-    runs = table.where("NOT pair").select("token", F.col("a").alias("set"), F.col("b").cast("int").alias("n")).distinct()
     placed = runs.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    placed = written(placed, "runs")
+    placed = written(placed, "placed")
     left = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows")).where("x <> y")
     blocks = F.ceil(F.col("rows") / F.lit(run)).cast("int")
     left = left.select("token", blocks.alias("blocks"))
-    points = rows.where("point IS NOT NULL").select("set", "point")
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     wide = placed.join(left, "token").withColumn("own", own)
-    needed = written(wide.select("set").distinct(), "tree-sets")
-    points = points.join(needed, "set", "left_semi").dropDuplicates(["set"])
     # A block meets itself and every other block of its token; most tokens have one block.
     spread = (
-        wide.join(points, "set")
+        wide.join(points.select("set", "point"), "set")
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("token", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "set", "n", "root", "point", "own")
+        .select("token", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "set", "n", "place", "root", "point", "own")
     )
     more = spread.groupBy("token", "low", "high").applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
     more = written(more.join(tested, ["a", "b"], "left_anti"), "pairs")
