@@ -143,7 +143,9 @@ def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     # One shuffle of the texts by doc_id serves them as documents and as next documents; of the latter only what
     # is asked for, a quarter of the text before, goes on to that one.
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # An alias of doc_id would stand in one use only after planning, and they would differ.
+    rows = docs.select(doc_id, F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows if doc_id == "doc_id" else rows.toDF("doc_id", "text")
     quarter = F.floor(F.length("text") / 4).cast("int")
     sizes = rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(quarter).alias("quarter"))
     # The filter stands in both uses of the texts; otherwise it would only be in one, and the shuffles would differ.
