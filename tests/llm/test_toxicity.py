@@ -51,7 +51,7 @@ def test_later_categories_see_earlier_probabilities():
 def test_odd_documents_and_labels(spark, odd):
     docs, labels = made(spark, 200)
     rows = docs.select((F.col("doc_id") + 1000).alias("doc_id"), "text").unionByName(odd, allowMissingColumns=True)
-    own = labels.select(F.col("doc_id") + 1000, "quality", "toxic")
+    own = labels.select((F.col("doc_id") + 1000).alias("doc_id"), "quality", "toxic")
     extra = spark.createDataFrame([(None, 1, 1), (1000, None, None), (1002, 0, 1), (1002, 1, 0)], "doc_id bigint, quality int, toxic int")
     got = toxicity.judge(rows, own.union(extra))
     assert got.columns == [*rows.columns, "p_low_quality", "low_quality", "p_toxic_", "toxic"]
