@@ -146,7 +146,7 @@ def brute_as_of(facts, versions):
     found = []
     for key, at in facts:
         for k, f, t, a in versions:
-            if k == key and f <= at < (t or datetime(9999, 12, 31)):
+            if k is not None and k == key and f <= at < (t or datetime(9999, 12, 31)):
                 found.append((key, at, a))
     return sorted(found, key=repr)
 
