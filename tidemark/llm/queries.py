@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, language, mixing, neighbours, ngram_join, passages, surrogates, toxicity, whitening
+from tidemark.llm import alignment, bpe, fingerprints, language, mixing, neighbours, ngram_join, passages, surrogates, toxicity, whitening
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -192,3 +192,11 @@ def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read_documents(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "text")
+    return alignment.link_figures(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
