@@ -269,13 +269,13 @@ def fit(vectors: DataFrame, embedding: str = "embedding", count: int = COMPONENT
     schema = "length bigint, place bigint, n bigint, high bigint, low bigint"
     wide = [F.sum(F.col(name).cast("decimal(38,0)")).alias(name) for name in ("high", "low")]
     sums = rows.mapInArrow(_sum_columns, schema).groupBy("length", "place").agg(F.sum("n").alias("n"), *wide)
-    # The sums of the length that most rows have; ordering by length keeps its places together.
-    best = sums.where("place = 0").orderBy(F.desc("n"), F.desc("length")).first()
+    # One row a length, with one pair of sums for each of its places.
+    places = F.array_sort(F.collect_list(F.struct("place", "high", "low"))).alias("sums")
+    best = sums.groupBy("length").agg(F.max("n").alias("n"), places).orderBy(F.desc("n"), F.desc("length")).first()
     if best is None:
         return None
     size, n = best.length, best.n
-    found = sums.where(F.col("length") == size).orderBy("place").collect()
-    totals = tuple(int(row.high) * _HALF + int(row.low) for row in found)
+    totals = tuple(int(row.high) * _HALF + int(row.low) for row in best.sums)
     exact = [Fraction(total, n) for total in totals]
     mean = np.array([float(value) for value in exact])
     rows = rows.where(F.size("v") == size)
