@@ -14,6 +14,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,7 @@ from tidemark.llm.common import runs_of, scratch_name, text_sizes, written
 
 BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 8_192
-CACHE_CHARS = 16 << 20  # of segments that a worker remembers
-CACHED = 64  # longest segment that it remembers
+CACHED_SEGMENTS = 200_000  # segments that a worker remembers from batch to batch
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -59,32 +60,57 @@ class Tokenizers:
             piece = self.b.id_to_piece(number)
             byte = self.b.is_byte(number)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode())
-        self.a_sizes = np.array([len(value) for value in self.a_bytes], dtype=np.int64)
-        self.b_sizes = np.array([len(value) for value in self.b_bytes], dtype=np.int64)
-        self._known: dict[str, tuple[np.ndarray, np.ndarray] | None] = {}
-        self._held = 0
-
-    def segments(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both sides for space + each part; None where their bytes are not those of the part."""
-        new = [part for part in dict.fromkeys(parts) if part not in self._known]
-        found = {}
+        self.sizes = [np.array([len(value) for value in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes)]
+        self.number: dict[str, int] = {}
+        self.good = np.zeros(0, dtype=bool)
+        self.uses = np.zeros(0, dtype=np.int64)
+        # Of each side, the ids of all known segments one after the other, and how many each segment has.
+        self.ids = [np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)]
+        self.counts = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)]
+
+    def _forget(self) -> None:
+        """Keep the segments that were met most often, a quarter of CACHED_SEGMENTS at most."""
+        keep = np.zeros(len(self.uses), dtype=bool)
+        keep[np.argsort(self.uses, kind="stable")[-(CACHED_SEGMENTS // 4) :]] = True
+        keep &= self.uses > 1
+        self.number = {part: place for place, part in enumerate(part for part, kept in zip(self.number, keep) if kept)}
+        self.ids = [ids[np.repeat(keep, held)] for ids, held in zip(self.ids, self.counts)]
+        self.counts = [held[keep] for held in self.counts]
+        self.good, self.uses = self.good[keep], np.zeros(int(keep.sum()), dtype=np.int64)
+
+    def numbers(self, parts: list[str]) -> np.ndarray:
+        """Places of segments among the known ones, to which new ones are added. Places hold until the next call."""
+        if len(self.number) > CACHED_SEGMENTS:
+            self._forget()
+        new = [part for part in dict.fromkeys(parts) if part not in self.number]
         for begin, end in runs_of([len(part) for part in new], 1 << 20):
-            some = new[begin:end]
-            ours = self.a.encode_batch_fast([" " + part for part in some], add_special_tokens=False)
-            theirs = self.b.encode(some, num_threads=1)
-            for part, one, b in zip(some, ours, theirs):
-                a, whole = one.ids, b" " + part.encode()
-                same = b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b])
-                found[part] = (np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)) if same else None
-        known = self._known
-        result = [found[part] if part in found else known[part] for part in parts]
-        for part, ids in found.items():
-            if len(part) <= CACHED:
-                self._known[part] = ids
-                self._held += len(part) + 200
-        if self._held > CACHE_CHARS * 4:
-            self._known, self._held = {}, 0
-        return result
+            self._learn(new[begin:end])
+        numbers = np.fromiter(map(self.number.__getitem__, parts), dtype=np.int64, count=len(parts))
+        self.uses = np.bincount(numbers, minlength=len(self.good)) + np.pad(self.uses, (0, len(new)))
+        return numbers
+
+    def _learn(self, parts: list[str]) -> None:
+        self.number.update(zip(parts, range(len(self.good), len(self.good) + len(parts))))
+        ours = [one.ids for one in self.a.encode_batch_fast([" " + part for part in parts], add_special_tokens=False)]
+        sides = [ours, self.b.encode(parts, num_threads=1)]
+        wholes = [b" " + part.encode() for part in parts]
+        lengths = np.fromiter(map(len, wholes), dtype=np.int64, count=len(wholes))
+        good = np.ones(len(parts), dtype=bool)
+        for side, (lists, entries) in enumerate(zip(sides, (self.a_bytes, self.b_bytes))):
+            counts = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(counts.sum()))
+            sums = np.concatenate([[0], np.cumsum(self.sizes[side][ids])])
+            ends = np.cumsum(counts)
+            good &= sums[ends] - sums[ends - counts] == lengths
+            # With equal lengths all segments are right if their bytes are, one after the other.
+            chosen = np.flatnonzero(good).tolist()
+            joined = b"".join([entries[i] for place in chosen for i in lists[place]])
+            if joined != b"".join([wholes[place] for place in chosen]):
+                for place in chosen:
+                    good[place] = b"".join([entries[i] for i in lists[place]]) == wholes[place]
+            self.ids[side] = np.concatenate([self.ids[side], ids])
+            self.counts[side] = np.concatenate([self.counts[side], counts])
+        self.good = np.concatenate([self.good, good])
 
 
 _loaded: dict[bytes, Tokenizers] = {}
@@ -111,29 +137,25 @@ class Tokens:
 
 def tokenize(texts: list[str | None], use: Tokenizers) -> tuple[Tokens, Tokens]:
     """Tokens of both sides; texts that are null, empty or not what their tokens say have none."""
-    parts, doc = [], []
+    parts, counts = [], np.zeros(len(texts), dtype=np.int64)
     for place, text in enumerate(texts):
         if text:
             cut = _CUT.split(text)
             parts += cut
-            doc.append(np.full(len(cut), place, dtype=np.int64))
-    doc = np.concatenate(doc) if doc else np.zeros(0, dtype=np.int64)
-    codes, distinct = pd.factorize(np.array(parts, dtype=object)) if parts else (np.zeros(0, dtype=np.int64), [])
-    found = use.segments(list(distinct))
-    odd = np.array([ids is None for ids in found], dtype=bool)
+            counts[place] = len(cut)
+    doc = np.repeat(np.arange(len(texts)), counts)
+    numbers = use.numbers(parts)
+    odd = ~use.good[numbers]
     if odd.any():
         bad = np.zeros(len(texts), dtype=bool)
-        bad[doc[odd[codes]]] = True
-        codes, doc = codes[~bad[doc]], doc[~bad[doc]]
+        bad[doc[odd]] = True
+        numbers, doc = numbers[~bad[doc]], doc[~bad[doc]]
     sides = []
-    for side, sizes in ((0, use.a_sizes), (1, use.b_sizes)):
-        lists = [np.zeros(0, dtype=np.int32) if ids is None else ids[side] for ids in found]
-        flat = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int32)
-        lengths = np.array([len(ids) for ids in lists], dtype=np.int64)
-        first = np.cumsum(lengths) - lengths
-        counts = lengths[codes]
+    for ids, held, sizes in zip(use.ids, use.counts, use.sizes):
+        first = np.cumsum(held) - held
+        counts = held[numbers]
         begins = np.cumsum(counts) - counts
-        ids = flat[np.repeat(first[codes] - begins, counts) + np.arange(int(counts.sum()))]
+        ids = ids[np.repeat(first[numbers] - begins, counts) + np.arange(int(counts.sum()))]
         size = sizes[ids]
         ends = np.cumsum(size)
         sides.append(Tokens(np.repeat(doc, counts), ids, ends - size, ends))
@@ -177,33 +199,32 @@ def group_texts(a: Tokens, b: Tokens, a_last: np.ndarray, b_last: np.ndarray, nu
     b_group, b_count = _groups(b, b_last)
     begin = np.cumsum(a_count + b_count) - a_count - b_count
     total = len(a.ids) + len(b.ids)
-    ids, mark = np.zeros(total, dtype=np.int64), np.full(total, ord(","), dtype=np.uint8)
+    ids, mark = np.zeros(total, dtype=np.int64), np.full(total, ord(","), dtype=np.uint64)
     a_at = begin[a_group] + np.arange(len(a.ids)) - (np.cumsum(a_count) - a_count)[a_group]
     b_at = (begin + a_count)[b_group] + np.arange(len(b.ids)) - (np.cumsum(b_count) - b_count)[b_group]
     ids[a_at], ids[b_at] = a.ids, b.ids
     mark[a_at[a_last]], mark[b_at[b_last]] = ord("|"), ord(";")
-    digits = np.ones(total, dtype=np.int64)
-    power = 10
-    while (more := ids >= power).any():
-        digits += more
-        power *= 10
-    ends = np.cumsum(digits + 1)
-    text = np.zeros(int(ends[-1]) if total else 0, dtype=np.uint8)
-    text[ends - 1] = mark
-    rest, place = ids, ends - 2
-    left = np.arange(total)
-    while len(left):
-        text[place] = 48 + rest % 10
-        rest = rest // 10
-        more = rest > 0
-        left, rest, place = left[more], rest[more], place[more] - 1
+    words, digits = _digit_words(int(ids.max(initial=0)))
+    # Eight bytes a token, of which those not needed are zero: its digits, then its mark.
+    text = ((words[ids] | mark << np.uint64(56)).astype("<u8")).view(np.uint8)
+    whole = text[text != 0].tobytes()
     # A document's text ends before its last mark.
     per_doc = np.bincount(a.doc, minlength=number) + np.bincount(b.doc, minlength=number)
-    edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_doc)])]
-    whole = text.tobytes()
+    edges = np.concatenate([[0], np.cumsum(digits[ids] + 1)])[np.concatenate([[0], np.cumsum(per_doc)])]
     return [whole[one : other - 1] if other > one else b"" for one, other in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
+@lru_cache(maxsize=2)
+def _all_digit_words(count: int) -> tuple[np.ndarray, np.ndarray]:
+    words = np.frombuffer(b"".join(str(value).encode().ljust(8, b"\0") for value in range(count)), dtype="<u8")
+    return words, np.array([len(str(value)) for value in range(count)], dtype=np.int64)
+
+
+def _digit_words(highest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of all numbers up to one of at most seven digits, as the bytes of a word each, and how many."""
+    return _all_digit_words(1 << max(16, highest.bit_length()))
+
+
 def _split(values: np.ndarray, doc: np.ndarray, number: int) -> list[np.ndarray]:
     """Values by document, which they are in order of."""
     return np.split(values, np.searchsorted(doc, np.arange(1, number)))
