@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, bpe, fingerprints, language, mixing, neighbours, ngram_join, passages, surrogates, toxicity, whitening
+from tidemark.llm import alignment, bpe, fingerprints, language, mixing, neighbours, ngram_join, passages, sharding, surrogates, toxicity, whitening
 from tidemark.llm.common import read_documents
 from tidemark.llm.line_dedup import drop_repeated_lines
 from tidemark.llm.registry import ORACLES, QUERIES, query
@@ -200,3 +200,8 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.link_figures(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@query("op12_sharding")
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(read_documents(spark, folder).select("doc_id", "text"))
