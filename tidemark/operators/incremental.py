@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.watermarks import batch_date, batch_key, bound_literal, convert_bound
 from tidemark.operators.coerce import coerce, map_columns, rename_by_convention
+from tidemark.operators.delta import changed_rows, merge_delta
 from tidemark.operators.keys import without_match
 from tidemark.operators.load import LOAD_ID, LOAD_SOURCE, Dataset, stamp
+from tidemark.operators.state import LoadState, States, figures, holding, later, repaired, written_loads
+from tidemark.session import materialize
 from tidemark.sources.scan import scan
 from tidemark.spec import Incremental, TableSpec
 
@@ -115,11 +118,11 @@ def run_load(
 ) -> Any:
     """One load of one table: scan, bound, coerce, stamp, write; returns the new watermark.
 
-    The watermark is read back from the destination, so data and state cannot part; where several
-    sources append to one table each has its own. Rows read again at an inclusive bound, or within
-    `lookback`, are dropped if they are loaded already (append) or replaced (merge). `replace` loads
-    the whole source: a watermark has no say in it. An append under a load id used before takes up
-    that load of the same source again from where it began and replaces what it had written.
+    The load begins where the state of the last one says (see `state`), for each source that appends to
+    a table on its own; what a load has written is read back from its own files. Rows read again at an
+    inclusive bound, or within `lookback`, are dropped if they are loaded already (append) or replaced
+    (merge). `replace` loads the whole source: a watermark has no say in it. A load under the id of the
+    last one takes up that load from where it began and replaces what it had written.
     """
     source = scan(dataset.spark, spec, **frames)
     names = _new_names(spec, source)
@@ -127,25 +130,94 @@ def run_load(
     order = [names[column.lower()] for column in spec.order_by]
     watermark = names[spec.incremental.column.lower()] if spec.incremental else None
     appending, replacing = spec.disposition == "append", spec.disposition == "replace"
-    last = loaded = None
-    if watermark and not replacing and dataset.exists(spec.target):
-        loaded = loaded_before(dataset, spec.target, load_id, spec.source) if appending else dataset.read(spec.target)
-        last = last_loaded(loaded, watermark)
-        if appending:
-            _require_latest(_rows_of(dataset, spec), watermark, load_id, last)
-    if spec.incremental and not replacing:
-        source = since(source, spec.incremental, last, lookback)
-    rows = prepare(source, spec)
+    if not watermark or replacing:
+        rows = stamp(prepare(source if replacing else _since(source, spec, None, lookback), spec), load_id, loaded_at)
+        _write(dataset, spec, rows, load_id, keys, order)
+        return last_loaded(_rows_of(dataset, spec), watermark) if watermark else None
+
+    states = States(dataset, spec.target, spec.source)
+    loads = _earlier_loads(dataset, spec, states, load_id, watermark) if dataset.exists(spec.target) else []
+    last = loads[-1].bound if loads else None
+    rows = prepare(_since(source, spec, last, lookback), spec)
     if appending and last is not None and (spec.incremental.strategy == "timestamp" or lookback):
+        loaded = _loaded_from(dataset, spec, loads, load_id, watermark, last, lookback)
         rows = drop_loaded_boundary(rows, loaded, watermark, last, keys, lookback)
     rows = stamp(rows, load_id, loaded_at)
-    if replacing:
+    if not appending and not spec.merge_on_read:
+        rows = materialize(rows, "batch")  # the merge needs it twice
+    _write(dataset, spec, rows, load_id, keys, order or [watermark])
+    if appending:
+        written = _load_rows(dataset, spec, load_id)
+    else:
+        written = changed_rows(dataset, spec.target, load_id) if spec.merge_on_read else rows
+    highest, count = figures(written, watermark)
+    number = loads[-1].number + 1 if loads else 1
+    states.put([*loads, LoadState(number, load_id, last, later(last, highest), highest, count, "")])
+    return later(last, highest)
+
+
+def _since(source: DataFrame, spec: TableSpec, last: Any, lookback: str | None) -> DataFrame:
+    return since(source, spec.incremental, last, lookback) if spec.incremental else source
+
+
+def _write(
+    dataset: Dataset, spec: TableSpec, rows: DataFrame, load_id: str, keys: Sequence[str], order: Sequence[str]
+) -> None:
+    if spec.disposition == "replace":
         dataset.replace(spec.target, rows)
-    elif appending:
+    elif spec.disposition == "append":
         dataset.append(spec.target, rows, load_id, source=spec.source)
+    elif spec.merge_on_read:
+        merge_delta(dataset, spec.target, rows, keys, order, load_id)
     else:
-        dataset.merge(spec.target, rows, keys, order or ([watermark] if watermark else []))
-    return last_loaded(_rows_of(dataset, spec), watermark) if watermark else None
+        dataset.merge(spec.target, rows, keys, order)
+
+
+def _earlier_loads(
+    dataset: Dataset, spec: TableSpec, states: States, load_id: str, watermark: str
+) -> list[LoadState]:
+    """The loads before this one, whether noted or not.
+
+    A table without states is read once. A load that was written but not noted is read back from its own
+    files; the given one is taken up again, if it is the last.
+    """
+    loads = states.all()
+    if not loads:
+        loaded = loaded_before(dataset, spec.target, load_id, spec.source) if spec.disposition == "append" else dataset.read(spec.target)
+        last = last_loaded(loaded, watermark)
+        if spec.disposition == "append":
+            _require_latest(_rows_of(dataset, spec), watermark, load_id, last)
+        if last is None:
+            return []
+        # Ids used before, of which no more is known, and all their rows as one.
+        before = sorted((written_loads(dataset, spec.target, spec.source) or set()) - {load_id})
+        return [*(LoadState(0, one, None, last, None, None, "") for one in before), LoadState(0, None, None, last, last, None, "")]
+    if spec.disposition == "append":
+        noted = {load.load_id for load in loads}
+        found = written_loads(dataset, spec.target, spec.source) or set()
+        loads = repaired(loads, list(found - noted - {load_id}), lambda one: _load_rows(dataset, spec, one), watermark)
+    if loads[-1].load_id == load_id:
+        return loads[:-1]
+    if any(load.load_id == load_id and load.rows != 0 for load in loads) and spec.disposition == "append":
+        raise ValueError(f"load id {load_id!r} was used by an earlier load")
+    return [load for load in loads if load.load_id != load_id]
+
+
+def _loaded_from(
+    dataset: Dataset, spec: TableSpec, loads: Sequence[LoadState], load_id: str, watermark: str, last: Any, lookback: str | None
+) -> DataFrame:
+    """The rows of earlier loads, of those only that reach the bound."""
+    loaded = loaded_before(dataset, spec.target, load_id, spec.source)
+    kind = loaded.schema[watermark].dataType.simpleString()
+    limit = _earlier(bound_literal(last, kind), lookback)
+    ids = holding(loads, limit, kind, dataset) if LOAD_ID in loaded.columns else None
+    return loaded if ids is None else loaded.where(F.col(LOAD_ID).isin(ids))
+
+
+def _load_rows(dataset: Dataset, spec: TableSpec, load_id: str) -> DataFrame:
+    """What one load has written."""
+    rows = _rows_of(dataset, spec)
+    return rows.where(F.col(LOAD_ID) == load_id) if LOAD_ID in rows.columns else rows
 
 
 def _rows_of(dataset: Dataset, spec: TableSpec) -> DataFrame:

@@ -88,8 +88,11 @@ class Dataset:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.table(name))
 
-    def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Make the table hold exactly these rows. They may come from the table itself."""
+    def replace(
+        self, name: str, df: DataFrame, partition_by: Sequence[str] = (), properties: Mapping[str, str] | None = None
+    ) -> None:
+        """Make the table hold exactly these rows. They may come from the table itself. Properties
+        are kept with the view, so that they change in the same moment as the rows."""
         old = self._versions(name)
         version = f"{name}__v{(old[-1] if old else 0) + 1}"
         writer = _by_partition(df, partition_by).write.format("parquet").mode("overwrite")
@@ -97,14 +100,24 @@ class Dataset:
             # Kept with the table, so that later overwrites touch their own partitions only.
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         writer.saveAsTable(self.table(version))
-        self._show(name, version)
+        self._show(name, version, properties)
         # The version before stays for readers that have planned on it.
         for number in old[:-1]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__v{number}')}")
+            for kind in ("v", "c"):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__{kind}{number}')}")
+
+    def version(self, name: str) -> str:
+        """Name of the table that holds the newest version of the rows."""
+        return f"{name}__v{self._versions(name)[-1]}"
 
     def stored(self, name: str) -> DataFrame:
         """The rows with the source that loaded them, where that is kept."""
-        return self.spark.table(self.table(f"{name}__v{self._versions(name)[-1]}"))
+        return self.spark.table(self.table(self.version(name)))
+
+    def properties(self, name: str) -> dict[str, str]:
+        """Properties of the view of a table."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(name)}").collect()
+        return {row.key: row.value for row in rows}
 
     def append(
         self, name: str, df: DataFrame, load_id: str | None = None, evolve: bool = False,
@@ -127,7 +140,7 @@ class Dataset:
         if not self.exists(name):
             self.replace(name, df, partition)
             return
-        version = f"{name}__v{self._versions(name)[-1]}"
+        version = self.version(name)
         if LOAD_SOURCE not in self.spark.table(self.table(version)).columns:
             df = df.drop(LOAD_SOURCE)
         batch = self._fitted(version, df, evolve)
@@ -152,7 +165,7 @@ class Dataset:
         if not self.exists(name):
             self.replace(name, latest, partition_by)
             return
-        version = f"{name}__v{self._versions(name)[-1]}"
+        version = self.version(name)
         df = self._fitted(version, df)
         if not partition_by:
             self.replace(name, merge_rows(self.read(name), df, keys, order))
@@ -180,12 +193,17 @@ class Dataset:
             self._show(name, version)
         return batch.select(*self.spark.table(self.table(version)).columns)
 
-    def _show(self, name: str, version: str) -> None:
+    def _show(self, name: str, version: str, properties: Mapping[str, str] | None = None) -> None:
         hidden = LOAD_SOURCE in self.spark.table(self.table(version)).columns
-        self.view(name, f"SELECT *{f' EXCEPT ({LOAD_SOURCE})' if hidden else ''} FROM {self.table(version)}")
+        self.view(name, f"SELECT *{f' EXCEPT ({LOAD_SOURCE})' if hidden else ''} FROM {self.table(version)}", properties)
+
+    def view(self, name: str, text: str, properties: Mapping[str, str] | None = None) -> None:
+        def quoted(text: str) -> str:
+            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def view(self, name: str, text: str) -> None:
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {text}")
+        pairs = ", ".join(f"{quoted(key)} = {quoted(value)}" for key, value in (properties or {}).items())
+        kept = f" TBLPROPERTIES ({pairs})" if pairs else ""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)}{kept} AS {text}")
 
     def _partitions(self, version: str) -> list[str]:
         columns = self.spark.catalog.listColumns(f"{self.name}.{version}")

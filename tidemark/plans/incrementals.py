@@ -9,6 +9,7 @@ from tidemark.functions.watermarks import batch_key, parse_integer, parse_number
 from tidemark.operators import incremental as op
 from tidemark.operators.coerce import coerce
 from tidemark.operators.load import Dataset
+from tidemark.operators.state import load_states
 from tidemark.plans.registry import Tables, query
 from tidemark.spec import Incremental, TableSpec
 
@@ -325,3 +326,36 @@ def load_two_sources(tables: Tables) -> DataFrame:
             rows = known.where("o_orderstatus = 'F'" if spec.source == "finished" else "o_orderstatus <> 'F'")
             op.run_load(dataset, spec, run, "2024-02-01", **{spec.source: rows})
     return dataset.read("orders").select("o_orderkey", "o_orderstatus", "_load_id")
+
+
+@query(
+    "watermark_state",
+    """
+    WITH runs(run, upto) AS (VALUES ('run-1', 20240110), ('run-2', 20240120), ('run-3', 20240120), ('run-4', 99999999)),
+    days AS (SELECT user_id, ts, CAST(strftime(ts, '%Y%m%d') AS INT) AS batch_key FROM events),
+    bounds AS (SELECT run, upto, (SELECT MAX(batch_key) FROM days WHERE batch_key <= upto) AS bound FROM runs),
+    steps AS (SELECT *, lag(bound) OVER (ORDER BY run) AS began FROM bounds)
+    SELECT 'visits' AS destination, run AS load_id, CAST(began AS VARCHAR) AS began, CAST(bound AS VARCHAR) AS bound,
+           (SELECT COUNT(*) FROM days WHERE batch_key > coalesce(began, 0) AND batch_key <= bound) AS rows
+    FROM steps
+    UNION ALL
+    SELECT 'last_visit', run, CAST(began AS VARCHAR), CAST(bound AS VARCHAR),
+           (SELECT COUNT(DISTINCT user_id) FROM days WHERE batch_key > coalesce(began, 0) AND batch_key <= bound)
+    FROM steps
+    """,
+)
+def watermark_state(tables: Tables) -> DataFrame:
+    """What is kept of four runs, the third without new rows, that append to one table and merge into another."""
+    dataset, days = Dataset(tables.spark), event_days(tables)
+    mark = Incremental("batch_key", 0, "sequence")
+    specs = (
+        TableSpec("events", "visits", "append", incremental=mark, columns=("user_id", "ts", "batch_key")),
+        TableSpec(
+            "events", "last_visit", "merge", ("user_id",), ("ts",), incremental=mark, columns=("user_id", "ts", "batch_key"),
+            merge_on_read=True,
+        ),
+    )
+    for number, upto in enumerate((20240110, 20240120, 20240120, 99999999), 1):
+        for spec in specs:
+            op.run_load(dataset, spec, f"run-{number}", "2024-02-01", events=days.where(F.col("batch_key") <= upto))
+    return load_states(dataset).select("destination", "load_id", "began", "bound", "rows")

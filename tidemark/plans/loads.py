@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.watermarks import batch_key
 from tidemark.operators.coerce import coerce
+from tidemark.operators.delta import compact, merge_delta
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.load import Dataset, load_selected, stamp
 from tidemark.plans.registry import Tables, query
@@ -119,6 +120,40 @@ def load_merge_partitioned(tables: Tables) -> DataFrame:
     return dataset.read("events")
 
 
+LOAD_MERGE_DELTA_SQL = f"""
+    WITH u AS ({CUSTOMER_UPDATES_SQL}),
+    once AS (SELECT * FROM u UNION ALL SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM u))
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment
+    FROM once
+"""
+
+
+def merged_customers(tables: Tables, compacted: bool = False) -> DataFrame:
+    """Customers, then updates, then debtors, each merge writing its own rows; the second one is run twice."""
+    dataset = Dataset(tables.spark)
+    merge_delta(dataset, "customer", tables["customer"], ["c_custkey"], load_id="all")
+    for _ in range(2):
+        merge_delta(dataset, "customer", customer_updates(tables), ["c_custkey"], load_id="updates")
+    if compacted:
+        compact(dataset, "customer")
+    debtors = dataset.read("customer").where("c_acctbal < 0").withColumn("c_mktsegment", F.lit("DEBT"))
+    merge_delta(dataset, "customer", debtors, ["c_custkey"], load_id="debtors")
+    if compacted:
+        compact(dataset, "customer")
+    return dataset.read("customer")
+
+
+@query("load_merge_delta", LOAD_MERGE_DELTA_SQL)
+def load_merge_delta(tables: Tables) -> DataFrame:
+    return merged_customers(tables)
+
+
+@query("load_compact", LOAD_MERGE_DELTA_SQL)
+def load_compact(tables: Tables) -> DataFrame:
+    """The same with the changes folded into the base in between and at the end."""
+    return merged_customers(tables, compacted=True)
+
+
 @query(
     "merge_dedup_batch",
     """

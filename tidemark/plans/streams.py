@@ -8,7 +8,7 @@ from tidemark.operators.coerce import coerce
 from tidemark.operators.load import Dataset
 from tidemark.plans.registry import Tables, query
 from tidemark.session import fresh_path
-from tidemark.streaming.incremental import file_stream, stream_append, stream_merge
+from tidemark.streaming.incremental import file_stream, stream_append, stream_merge, stream_merge_delta
 
 
 def _stream(tables: Tables, name: str) -> DataFrame:
@@ -50,6 +50,23 @@ def stream_incremental_merge(tables: Tables) -> DataFrame:
     return dataset.read("last_event")
 
 
+@query(
+    "stream_merge_delta",
+    """
+    SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    """,
+)
+def stream_merge_delta_days(tables: Tables) -> DataFrame:
+    """Last event of every user from files by day, four of them a micro-batch, in no order of time."""
+    spark, folder = tables.spark, fresh_path(tables.spark, "days")
+    days = tables["events"].withColumn("day", batch_key(F.col("ts")))
+    days.repartition("day").write.partitionBy("day").parquet(folder)
+    dataset, checkpoint = Dataset(spark), fresh_path(spark, "stream")
+    stream = file_stream(spark, folder, tables["events"].schema, files_per_batch=4).drop("day")
+    stream_merge_delta(stream, dataset, "last_event", ["user_id"], ["ts", "event_id"], checkpoint, compact_every=5)
+    return dataset.read("last_event")
+
+
 @query(
     "stream_append_two_sources",
     "SELECT o_orderkey AS order_key FROM orders UNION ALL SELECT l_orderkey FROM lineitem",

@@ -35,7 +35,8 @@ class TableSpec:
 
     `source` is a catalog table, a path, or the label of a query; `query` replaces the
     table by the result of a SQL text and `where` filters it. `source_types` holds declared
-    source types by column, `hints` the target types that win over derived ones.
+    source types by column, `hints` the target types that win over derived ones. With
+    `merge_on_read` a merge writes its own rows only, which are resolved when read.
     """
 
     source: str
@@ -55,6 +56,7 @@ class TableSpec:
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     enabled: bool = True
+    merge_on_read: bool = False
 
     def __post_init__(self) -> None:
         if not self.source:
@@ -63,6 +65,8 @@ class TableSpec:
             raise ValueError(f"unknown disposition {self.disposition!r}")
         if self.disposition == "merge" and not self.primary_key:
             raise ValueError("a merge needs a primary key")
+        if self.merge_on_read and self.disposition != "merge":
+            raise ValueError("merge_on_read is for merges")
         if self.chunk_rows <= 0:
             raise ValueError("chunk_rows must be positive")
 

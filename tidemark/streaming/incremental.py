@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.delta import compact, merge_delta
 from tidemark.operators.load import Dataset
 
 
@@ -69,6 +70,31 @@ def stream_merge(
     _run(rows, checkpoint, write)
 
 
+def stream_merge_delta(
+    rows: DataFrame,
+    dataset: Dataset,
+    table: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    checkpoint: str,
+    compact_every: int | None = None,
+) -> None:
+    """The same upsert, for which a micro-batch writes its own rows only and reads none of the table.
+
+    The greatest row of a key is found when the table is read. After every `compact_every` micro-batches
+    the changes are folded into the base.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        into = Dataset(batch.sparkSession, dataset.name)
+        merge_delta(into, table, batch, keys, order, f"{stream}-{number:08d}", by_order=True)
+        if compact_every and (number + 1) % compact_every == 0:
+            compact(into, table)
+
+    _run(rows, checkpoint, write)
+
+
 def _run(rows: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
     stream = (
         rows.writeStream.foreachBatch(write)
