@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -14,13 +15,16 @@ from tidemark.functions.watermarks import batch_key, moment
 from tidemark.operators.keys import latest_per_key, without_match
 from tidemark.operators.ordered import (
     ROWS_PER_GROUP,
+    is_scan,
     join_on_keys,
     slice_hot_keys,
     with_last_known,
     with_next,
     with_previous,
 )
+from tidemark.session import materialize
 
+LOOKUP_VERSIONS = 2_000_000  # versions that are broadcast
 # Fixed values.
 OPEN_END = "9999-12-31"
 CLOSE_OFFSET_SECONDS = 1
@@ -107,7 +111,7 @@ def build_versions(
     ended before the next begins."""
     order = [changed_at, *tie_breakers]
     rows = history.select(*dict.fromkeys([*keys, *attributes, *order]))
-    rows = slice_hot_keys(rows, keys, changed_at, rows_per_group)
+    rows = slice_hot_keys(rows, keys, order, rows_per_group)
     state = F.struct(*attributes)
     rows = with_previous(rows, keys, order, {"_before": state})
     rows = rows.where(~F.col("_before").eqNullSafe(state))
@@ -354,7 +358,7 @@ def trend(
 ) -> DataFrame:
     """Each version with the attributes of the version before it, among those selected."""
     rows = dimension if where is None else dimension.where(where)
-    rows = slice_hot_keys(rows.select(*keys, cols.start, *attributes), keys, cols.start, rows_per_group)
+    rows = slice_hot_keys(rows.select(*keys, cols.start, *attributes), keys, [cols.start], rows_per_group)
     previous = {f"previous_{name}": F.col(name) for name in attributes}
     found = with_previous(rows, keys, [cols.start], previous)
     return found.select(*keys, cols.start, *attributes, *previous)
@@ -415,7 +419,7 @@ def join_as_of(
         F.lit(None).cast(opened.schema["_version"].dataType).alias("_version"),
         F.struct(*facts.columns).alias("_fact"),
     )
-    line = slice_hot_keys(opened.unionByName(happened), keys, "_time", rows_per_group)
+    line = slice_hot_keys(opened.unionByName(happened), keys, ["_time", "_kind"], rows_per_group)
     known = with_last_known(line, keys, ["_time", "_kind"], "_valid", F.col("_version"))
     at_fact = known.where(F.col("_kind") == 1)
     end = F.coalesce(F.col("_valid._end"), F.lit(OPEN_END).cast("timestamp_ntz"))
@@ -425,5 +429,54 @@ def join_as_of(
     return at_fact.select("_fact.*", *[F.when(valid, F.col(f"_valid.{name}")).alias(name) for name in attributes])
 
 
+def join_as_of_lookup(
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    fact_time: str,
+    attributes: Sequence[str],
+    how: str = "inner",
+    most_versions: int = LOOKUP_VERSIONS,
+    cols: VersionColumns = COLUMNS,
+) -> DataFrame:
+    """The same as `join_as_of` for a dimension of few versions: facts stay where they are.
+
+    The versions of a key become one sorted array, which is broadcast and searched by halving. The
+    versions are counted first; with more than `most_versions` the time line of `join_as_of` is used.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown join type {how!r}")
+    known = dimension.dropna(subset=[*keys]).select(*keys, cols.start, cols.end, *attributes)
+    if not is_scan(known):
+        known = materialize(known, "versions")
+    if known.count() > most_versions:
+        return join_as_of(facts, known, keys, fact_time, attributes, how, cols=cols)
+    version = F.struct(
+        F.col(cols.start).alias("start"), F.coalesce(cols.end, F.lit(OPEN_END).cast("timestamp_ntz")).alias("end"),
+        F.struct(*attributes).alias("values"),
+    )
+    lines = known.groupBy(*[F.col(key).alias(f"_key_{key}") for key in keys]).agg(
+        F.array_sort(F.collect_list(version)).alias("_line")
+    )
+    matches = [facts[key] == lines[f"_key_{key}"] for key in keys]
+    found = facts.join(F.broadcast(lines), reduce(lambda one, other: one & other, matches), how)
+    at, line = F.col(fact_time).cast("timestamp_ntz"), F.col("_line")
+    powers = F.array(*[F.lit(1 << place) for place in range(31)])
+    steps = F.reverse(F.slice(powers, 1, F.length(F.bin(F.size(line)))))
+
+    def go(place: Column, step: Column) -> Column:
+        begun = (place + step <= F.size(line)) & (F.get(line, place + step - 1)["start"] <= at)
+        return F.when(begun, place + step).otherwise(place)
+
+    last = F.get(line, F.aggregate(steps, F.lit(0), go) - 1)
+    found = found.withColumn("_last", F.when(line.isNotNull(), last))
+    valid = F.col("_last").isNotNull() & (at < F.col("_last.end"))
+    if how == "inner":
+        found = found.where(valid)
+    return found.select(
+        *[facts[name] for name in facts.columns], *[F.when(valid, F.col(f"_last.values.{name}")).alias(name) for name in attributes]
+    )
+
+
 def _struct_type(df: DataFrame):
     return df.select(F.struct(*df.columns).alias("_row")).schema["_row"].dataType

@@ -24,6 +24,9 @@ from tidemark.operators.scd2 import (
     UPDATED,
     VersionColumns,
 )
+from tidemark.session import materialize
+
+PARTNER_BLOCK = 1_024  # partners that are joined as one
 
 
 def several_current(dimension: DataFrame, keys: Sequence[str], cols: VersionColumns = COLUMNS) -> DataFrame:
@@ -47,11 +50,9 @@ def _sweep(
     its start and begin before its end.
 
     Starts and ends of a key lie on one time line, ends first, and running counts along it
-    answer both: linear in versions however many overlap. Open ends follow all starts in any
-    order; they get times of their own, so that a hot key full of them can be sliced.
+    answer both: linear in versions however many overlap. Open ends follow all starts.
     """
-    spread = F.timestamp_add("SECOND", F.pmod(F.xxhash64(version), F.lit(10_000_000)).cast("int"), moment(OPEN_END))
-    end = F.coalesce(F.col(cols.end), spread)
+    end = F.coalesce(F.col(cols.end), moment(OPEN_END))
     formed = dimension.select(*keys, version, F.col(cols.start).alias("_from"), end.alias("_to")).where(
         (F.col("_from") < F.col("_to")) & (F.col("_from") < moment(OPEN_END))
     )
@@ -67,11 +68,12 @@ def _sweep(
             )
         ).alias("_point"),
     ).select(*keys, version, "_from", "_to", "_point.*")
-    points = slice_hot_keys(points, keys, "_time", rows_per_group)
+    order = ["_time", "_starts", version]
+    points = slice_hot_keys(points, keys, order, rows_per_group)
     counted = with_running_counts(
         points,
         keys,
-        ["_time", "_starts", version],
+        order,
         {"_begun": F.col("_starts") == 1, "_ended": F.col("_starts") == 0},
     )
     at_start = F.col("_starts") == 1
@@ -98,23 +100,38 @@ def overlapping_versions(
 
 def overlap_pairs(
     dimension: DataFrame, keys: Sequence[str], version: str, rows_per_group: int = ROWS_PER_GROUP,
-    cols: VersionColumns = COLUMNS,
+    cols: VersionColumns = COLUMNS, block: int = PARTNER_BLOCK,
 ) -> DataFrame:
     """Pairs of overlapping versions of a key, each in both orders.
 
     Ranked by start, the later partners of a version are the ranks that follow its own, so
-    the join is on (key, rank): nothing is paired that does not overlap, and the ranks of a
-    hot key spread over all tasks.
+    join is on (key, rank): nothing is paired that does not overlap, and the ranks of a
+    hot key spread over all tasks. Whole blocks of ranks are joined as such, so that a version
+    lists its partners' blocks and the ranks at both edges, not all partners.
     """
     swept = _sweep(dimension, keys, version, rows_per_group, cols)
-    ranked = swept.select(*keys, version, "_rank", "_begun_before")
-    earlier = ranked.where("_begun_before > _rank").select(
+    ranked = materialize(swept.select(*keys, version, "_rank", "_begun_before"), "ranked")
+    first, last = F.col("_rank") + 1, F.col("_begun_before")
+    span = ranked.where("_begun_before > _rank").select(
         *keys,
         F.col(version).alias("_one"),
-        F.explode(F.sequence(F.col("_rank") + 1, F.col("_begun_before"))).alias("_rank"),
+        first.alias("_first"),
+        last.alias("_last"),
+        F.ceil(first / block).alias("_from"),
+        (F.floor((last + 1) / block) - 1).alias("_to"),
     )
-    later = ranked.select(*keys, "_rank", F.col(version).alias("_other"))
-    pairs = join_on_keys(earlier, later, [*keys, "_rank"], "inner")
+    has_blocks = F.col("_to") >= F.col("_from")
+    none = F.array().cast("array<bigint>")
+    head = F.when(F.col("_first") < F.col("_from") * block, F.sequence("_first", F.col("_from") * block - 1)).otherwise(none)
+    after = (F.col("_to") + 1) * block
+    tail = F.when(after <= F.col("_last"), F.sequence(after, F.col("_last"))).otherwise(none)
+    edges = F.when(has_blocks, F.concat(head, tail)).otherwise(F.sequence("_first", "_last"))
+    by_rank = span.select(*keys, "_one", F.explode(edges).alias("_rank"))
+    by_block = span.where(has_blocks).select(*keys, "_one", F.explode(F.sequence("_from", "_to")).alias("_block"))
+    later = ranked.select(*keys, "_rank", F.floor(F.col("_rank") / block).alias("_block"), F.col(version).alias("_other"))
+    pairs = join_on_keys(by_rank, later.drop("_block"), [*keys, "_rank"], "inner").drop("_rank")
+    blocks = join_on_keys(by_block, later.drop("_rank"), [*keys, "_block"], "inner").drop("_block")
+    pairs = pairs.unionByName(blocks)
     both = F.array(
         F.struct(F.col("_one").alias("version_1"), F.col("_other").alias("version_2")),
         F.struct(F.col("_other").alias("version_1"), F.col("_one").alias("version_2")),
@@ -141,7 +158,7 @@ def gaps(
     rows_per_group: int = ROWS_PER_GROUP, cols: VersionColumns = COLUMNS,
 ) -> DataFrame:
     """Versions followed by a gap longer than the closing offset."""
-    rows = slice_hot_keys(dimension.select(*keys, cols.start, cols.end), keys, cols.start, rows_per_group)
+    rows = slice_hot_keys(dimension.select(*keys, cols.start, cols.end), keys, [cols.start], rows_per_group)
     rows = with_next(rows, keys, [cols.start], {"next_from": F.col(cols.start)})
     allowed = F.col(cols.end) + F.expr(f"INTERVAL {int(close_offset)} SECONDS")
     return rows.where(F.col("next_from") > allowed).select(*keys, cols.start, cols.end, "next_from")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import scd2 as op
 from tidemark.operators import scd2_checks as check
 from tidemark.operators.load import Dataset
-from tidemark.operators.scd2_load import current_table, load_batch, start_dimension
+from tidemark.operators.scd2_late import repeated_changes
+from tidemark.operators.scd2_load import apply_late_changes, current_table, keep_late, load_batch, start_dimension
 from tidemark.plans.registry import Tables, query
 
 KEYS, ATTRIBUTES = ["user_id"], ["status"]
@@ -57,6 +58,16 @@ def scd2_build_sliced(tables: Tables) -> DataFrame:
     return dimension(tables, rows_per_group=FEW_ROWS)
 
 
+TIED_SQL = "(SELECT user_id, event_type, TIMESTAMP '2024-01-01' AS ts, event_id FROM events)"
+
+
+@query("scd2_build_tied", f"WITH dim AS ({versions_sql(TIED_SQL)}) SELECT * FROM dim")
+def scd2_build_tied(tables: Tables) -> DataFrame:
+    """All changes at one time, told apart by their ids alone, with keys cut into slices between them."""
+    history = status_history(tables).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    return op.build_versions(history, KEYS, ATTRIBUTES, "ts", ["event_id"], rows_per_group=FEW_ROWS)
+
+
 @query(
     "scd2_initial",
     """
@@ -180,6 +191,21 @@ def scd2_late_changes(tables: Tables) -> DataFrame:
     return dataset.read("dim_late").select("user_id", "status")
 
 
+@query("scd2_apply_late", f"WITH {DIM} SELECT {', '.join(CORE)}, change_reason, modified_by FROM dim")
+def scd2_apply_late(tables: Tables) -> DataFrame:
+    """A dimension built without the errors, then all errors, which come late, the later half of them first."""
+    dataset, history = Dataset(tables.spark), status_history(tables)
+    in_time = history.where("status <> 'error'")
+    names = (KEYS, ATTRIBUTES, "ts", ["event_id"])
+    start_dimension(dataset, "dim", op.build_versions(in_time, *names), repeats=repeated_changes(in_time, *names))
+    errors = history.where("status = 'error'")
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    for load_id, late in (("second half", errors.where(F.col("ts") >= middle)), ("first half", errors.where(F.col("ts") < middle))):
+        keep_late(dataset, "dim", load_id, late, KEYS, ATTRIBUTES, "ts")
+        apply_late_changes(dataset, "dim", load_id, KEYS, ATTRIBUTES)
+    return dataset.read("dim").select(*CORE, "change_reason", "modified_by")
+
+
 @query(
     "scd2_change_detect",
     f"""
@@ -256,6 +282,14 @@ def fact_join_as_of(tables: Tables) -> DataFrame:
     return _join_as_of(tables)
 
 
+@query("fact_join_as_of_lookup", AS_OF_SQL)
+def fact_join_as_of_lookup(tables: Tables) -> DataFrame:
+    """Versions as sorted arrays, looked up where the facts lie."""
+    happened = (F.col("ts") + F.expr("INTERVAL 90 MINUTES")).alias("happened_at")
+    facts = tables["events"].select("event_id", "user_id", "value", happened)
+    return op.join_as_of_lookup(facts, dimension(tables), KEYS, "happened_at", ATTRIBUTES)
+
+
 @query("fact_join_as_of_sliced", AS_OF_SQL)
 def fact_join_as_of_sliced(tables: Tables) -> DataFrame:
     return _join_as_of(tables, rows_per_group=FEW_ROWS)
