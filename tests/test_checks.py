@@ -1,5 +1,7 @@
 """Verification, coercion audits, profiles, generators and streams."""
 
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -189,3 +191,60 @@ def test_merge_stream_keeps_the_latest_whatever_comes_late(spark, rows):
     arrive((1, "2024-01-02", "new"), (2, "2024-01-01", "a"))
     arrive((1, "2024-01-01", "late"), (2, "2024-01-03", "b"), (3, "2024-01-01", "c"))
     assert rows(dataset.read("t").select("k", "v")) == [(1, "new"), (2, "b"), (3, "c")]
+
+
+def sides(spark, seed, text_key):
+    draw = random.Random(seed)
+    left = [(n if draw.random() < 0.98 else None, draw.choice([None, "a", "b"]), draw.choice([None, 1.5])) for n in range(400)]
+    right = [row for row in left if draw.random() < 0.98] + [(900, "x", None), (3, "again", 1.0)]
+    right = [(k, None, 1.5) if v == "a" and draw.random() < 0.05 else (k, v, w) for k, v, w in right]
+    kind = "string" if text_key else "bigint"
+    frames = [spark.createDataFrame([(k if k is None or not text_key else f"k{k}", v, w) for k, v, w in side], f"k {kind}, v string, w double") for side in (left, right)]
+    return [frame.repartition(3) for frame in frames]
+
+
+@pytest.mark.parametrize("text_key", [False, True])
+@pytest.mark.parametrize("ranges", [1, 7, 1024])
+def test_checksums_find_what_values_find(spark, rows, text_key, ranges):
+    source, destination = sides(spark, ranges, text_key)
+    found = verify.compare_by_checksum(source, destination, ["k"], ranges, ranges)
+    held = [Counter((row.k, row.v, row.w) for row in side.collect()) for side in (source, destination)]
+    wrong = {row[0] for row in (held[0] - held[1]) + (held[1] - held[0])}
+    expected = verify.compare_values(source, destination, ["k"]).collect()
+    assert rows(found) == sorted([tuple(row) for row in expected if row.k in wrong], key=repr)
+    assert verify.compare_by_checksum(source, source.repartition(2), ["k"], ranges).isEmpty()
+    assert verify.compare_by_checksum(source.limit(0), destination.limit(0), ["k"]).isEmpty()
+    assert verify.compare_by_checksum(source, destination.limit(0), ["k"]).count() == source.select("k").distinct().count()
+
+
+def test_checksums_tell_nulls_and_swapped_values_apart(spark):
+    one = spark.sql("SELECT * FROM VALUES (1, CAST(NULL AS STRING), 'a'), (2, 'a', 'b') t(k, v, w)")
+    other = spark.sql("SELECT * FROM VALUES (1, 'a', CAST(NULL AS STRING)), (2, 'b', 'a') t(k, v, w)")
+    assert verify.compare_by_checksum(one, other, ["k"]).count() == 2
+
+
+def test_equal_tables_shuffle_only_checksums(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    found = verify.compare_by_checksum(orders, orders, ["o_orderkey"])
+    sums = verify._differing(orders, orders, {"part": F.col("o_orderkey") % 5})
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert found.isEmpty() and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_profile_counts_exactly_without_copies_of_rows(spark):
+    frame = spark.sql(
+        "SELECT id, id % 3 AS few, IF(id % 4 = 0, NULL, CAST(id AS STRING)) AS text, CAST(NULL AS INT) AS nothing, "
+        "IF(id % 2 = 0, 0.0D, -0.0D) AS zero, IF(id < 5, CAST('NaN' AS DOUBLE), id) AS real, "
+        "DATE'2024-01-01' + CAST(id % 7 AS INT) AS day, CAST(id AS DECIMAL(20,2)) AS money FROM range(100)"
+    )
+    made = profile.column_profile(frame, "t")
+    found = {row.column_name: (row.row_count, row.null_count, row.distinct_count) for row in made.collect()}
+    expected = frame.agg(*[F.count_distinct(name).alias(name) for name in frame.columns]).first()
+    nulls = {"text": 25, "nothing": 100}
+    assert found == {name: (100, nulls.get(name, 0), expected[name]) for name in frame.columns}
+    assert "Expand" not in made._jdf.queryExecution().executedPlan().toString()
+    near = {row.column_name: (row.row_count, row.null_count) for row in profile.column_profile(frame, "t", approximate=True).collect()}
+    assert near == {name: values[:2] for name, values in found.items()}
+    empty = profile.column_profile(frame.limit(0), "t").collect()
+    assert [(row.row_count, row.null_count, row.distinct_count) for row in empty] == [(0, 0, 0)] * len(frame.columns)
+    assert [row.position for row in sorted(empty, key=lambda row: row.position)] == list(range(1, 9))

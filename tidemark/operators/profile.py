@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,22 +18,18 @@ def column_profile(
     """One row per column: declared type, length, precision, scale, nullability and position,
     with rows, NULLs and distinct values of the data.
 
-    One aggregate over the table. Exact distinct counts expand each row once per column; on
-    wide tables set `approximate` to stay with a single pass.
+    One pass over the table. Exact distinct counts group by column and value: a row gives one narrow
+    row for each column, and equal values combine before the shuffle. `approximate` keeps to one
+    aggregate without a shuffle of values.
     """
     declared = declared_types(df) | dict(source_types or {})
-    measures, described = [], []
+    described = []
     for place, field in enumerate(df.schema.fields):
-        distinct = F.approx_count_distinct(field.name) if approximate else F.count_distinct(field.name)
-        measures += [
-            F.count(F.lit(1)).alias(f"row_count_{place}"),
-            F.count_if(F.col(field.name).isNull()).alias(f"null_count_{place}"),
-            distinct.alias(f"distinct_count_{place}"),
-        ]
         parsed = SourceType.parse(declared[field.name])
         decimal = parsed.scale is not None
         described.append(
             F.struct(
+                F.lit(place).alias("_place"),
                 F.lit(field.name).alias("column_name"),
                 F.lit(place + 1).alias("position"),
                 F.lit(parsed.name).alias("data_type"),
@@ -41,10 +38,56 @@ def column_profile(
                 F.lit(parsed.scale).cast("int").alias("numeric_scale"),
                 F.lit(field.nullable).alias("nullable"),
                 F.lit(parsed.problematic).alias("problematic"),
-                *[F.col(f"{m}_{place}").alias(m) for m in ("row_count", "null_count", "distinct_count")],
             )
         )
-    return df.agg(*measures).select(F.lit(table).alias("table_name"), F.inline(F.array(*described)))
+    figures = ["row_count", "null_count", "distinct_count"]
+    found = _approximate_figures(df) if approximate else _exact_figures(df)
+    columns = df.sparkSession.range(1).select(F.inline(F.array(*described)))
+    counted = [F.coalesce(F.col(name), F.lit(0)).alias(name) for name in figures]
+    return columns.join(found, "_place", "left").select(
+        F.lit(table).alias("table_name"), *columns.drop("_place").columns, *counted
+    )
+
+
+def _exact_figures(df: DataFrame) -> DataFrame:
+    """Rows, NULLs and distinct values by the place of a column.
+
+    Every type of the table has a value column of its own, so that nothing is cast.
+    """
+    fields = df.schema.fields
+    kinds = list(dict.fromkeys(field.dataType for field in fields))
+    cells = [
+        F.struct(
+            F.lit(place).alias("_place"),
+            *[
+                (F.col(f"`{field.name}`") if field.dataType == kind else F.lit(None).cast(kind)).alias(f"_value_{number}")
+                for number, kind in enumerate(kinds)
+            ],
+        )
+        for place, field in enumerate(fields)
+    ]
+    values = [f"_value_{number}" for number in range(len(kinds))]
+    by_value = df.select(F.inline(F.array(*cells))).groupBy("_place", *values).agg(F.count(F.lit(1)).alias("_rows"))
+    empty = reduce(lambda one, other: one & other, [F.col(name).isNull() for name in values])
+    return by_value.groupBy("_place").agg(
+        F.sum("_rows").alias("row_count"),
+        F.sum(F.when(empty, F.col("_rows")).otherwise(0)).alias("null_count"),
+        F.count_if(~empty).alias("distinct_count"),
+    )
+
+
+def _approximate_figures(df: DataFrame) -> DataFrame:
+    measures, rows = [], []
+    for place, field in enumerate(df.schema.fields):
+        column = F.col(f"`{field.name}`")
+        measures += [F.count_if(column.isNull()).alias(f"_null_{place}"), F.approx_count_distinct(column).alias(f"_distinct_{place}")]
+        rows.append(
+            F.struct(
+                F.lit(place).alias("_place"), F.col("_rows").alias("row_count"), F.col(f"_null_{place}").alias("null_count"),
+                F.col(f"_distinct_{place}").alias("distinct_count"),
+            )
+        )
+    return df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*rows)))
 
 
 def estimate_rows(df: DataFrame, table: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.draws import draw, id_text
 from tidemark.operators.coerce import unpivot_columns
+from tidemark.operators.ordered import semi_on_keys
 
 RESULT_TYPES = {
     "table_name": "string",
@@ -224,6 +225,83 @@ def compare_values(source: DataFrame, destination: DataFrame, keys: Sequence[str
     return both.select(*keys, status.alias("status"), *counts)
 
 
+CHECKSUM_RANGES = 1_024
+CHECKSUM_LEAVES = 1_024  # of each range that differs
+MOST_LEAVES = 10_000  # beyond so many, whole ranges are compared
+
+
+def _fitted(destination: DataFrame, source: DataFrame) -> DataFrame:
+    """The source's columns of a destination, in the source's types."""
+    return destination.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in source.schema.fields])
+
+
+def _differing(source: DataFrame, destination: DataFrame, by: Mapping[str, Column]) -> DataFrame:
+    """Groups in which the two sides do not hold the same rows equally often, by what is left of the sums of one side
+    when those of the other are taken off: rows, folded hashes, added hashes.
+
+    Which columns are NULL is hashed too, as a NULL alone leaves a hash unchanged.
+    """
+    names = [F.col(name) for name in source.columns]
+    row = F.xxhash64(*names, F.struct(*[name.isNull() for name in names])).alias("_row")
+    groups = [column.alias(name) for name, column in by.items()]
+    sides = [frame.select(*groups, row, F.lit(sign).alias("_sign")) for frame, sign in ((source, 1), (destination, -1))]
+    left = sides[0].unionByName(sides[1]).groupBy(*by).agg(
+        F.sum("_sign").alias("_rows"),
+        F.bit_xor("_row").alias("_folded"),
+        F.sum(F.col("_sign") * F.col("_row").bitwiseAND(0xFFFFFFFF)).alias("_added"),
+    )
+    return left.where("_rows <> 0 OR _folded <> 0 OR _added <> 0").select(*by)
+
+
+def compare_by_checksum(
+    source: DataFrame, destination: DataFrame, keys: Sequence[str], ranges: int = CHECKSUM_RANGES, leaves: int = CHECKSUM_LEAVES
+) -> DataFrame:
+    """The keys whose rows differ between the sides, with the status of `compare_values`, found from checksums.
+
+    Both sides are summed by ranges of the first key (by hash where it is no whole number). Ranges that
+    differ are read again in finer ones, and only rows of those that still differ are compared. Equal
+    tables shuffle a line for each range and task and nothing else. A key that both sides hold several
+    times with the same rows does not differ.
+    """
+    destination = _fitted(destination, source)
+    empty = compare_values(source.limit(0), destination.limit(0), keys)
+    whole = isinstance(source.schema[keys[0]].dataType, T.IntegralType)
+    number = F.col(keys[0]).cast("decimal(20,0)") if whole else F.xxhash64(*keys).cast("decimal(20,0)")
+    if whole:
+        bounds = [frame.agg(F.min(keys[0]), F.max(keys[0])).first() for frame in (source, destination)]
+        known = [value for pair in bounds for value in pair if value is not None]
+        low, high = (min(known), max(known)) if known else (0, 0)
+    else:
+        low, high = -(1 << 63), (1 << 63) - 1
+    width = -(-(high - low + 1) // ranges)
+
+    def part_of(size: int) -> Column:
+        exact = [F.lit(str(value)).cast("decimal(20,0)") for value in (low, size)]
+        # A NULL key has a part of its own.
+        return F.coalesce(F.call_function("div", number - exact[0], exact[1]), F.lit(-1).cast("bigint"))
+
+    place = part_of(width)
+    differing = [row.part for row in _differing(source, destination, {"part": place}).collect()]
+    if not differing:
+        return empty
+
+    def within(df: DataFrame, part: Column, numbers: Sequence[int]) -> DataFrame:
+        chosen = df.where(part.isin(list(numbers)))
+        if whole and min(differing) >= 0:  # bounds that the scan can prune by
+            first, last = low + min(differing) * width, low + (max(differing) + 1) * width - 1
+            chosen = chosen.where(F.col(keys[0]).between(F.lit(first), F.lit(last)))
+        return chosen
+
+    left, right = within(source, place, differing), within(destination, place, differing)
+    leaf = part_of(-(-width // leaves))
+    found = [row.part for row in _differing(left, right, {"part": leaf}).limit(MOST_LEAVES + 1).collect()]
+    if len(found) <= MOST_LEAVES:
+        left, right = within(left, leaf, found), within(right, leaf, found)
+    wrong = _differing(left, right, {key: F.col(key) for key in keys})
+    left, right = semi_on_keys(left, wrong, keys), semi_on_keys(right, wrong, keys)
+    return compare_values(left, right, keys).where("status <> 'same'")
+
+
 def compare_rows(source: DataFrame, destination: DataFrame) -> DataFrame:
     """Without a key: rows held by the two sides a different number of times, with the counts."""
     types = {field.name: field.dataType for field in source.schema.fields}

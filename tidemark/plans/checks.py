@@ -278,6 +278,25 @@ def compare_values(tables: Tables) -> DataFrame:
     return op.compare_values(tables["orders"], faulty_copy(tables), ["o_orderkey"])
 
 
+@query(
+    "compare_by_checksum",
+    f"""
+    WITH {COPY_SQL}
+    SELECT coalesce(s.o_orderkey, d.o_orderkey) AS o_orderkey,
+           CASE WHEN d.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS status,
+           CASE WHEN s.o_orderkey IS NULL THEN 0::BIGINT ELSE 1::BIGINT END AS source_rows,
+           CASE WHEN d.o_orderkey IS NULL THEN 0::BIGINT ELSE 1::BIGINT END AS dest_rows
+    FROM orders s FULL JOIN copy d ON s.o_orderkey = d.o_orderkey
+    WHERE s.o_orderkey IS NULL OR d.o_orderkey IS NULL
+       OR s.o_custkey IS DISTINCT FROM d.o_custkey OR s.o_orderstatus IS DISTINCT FROM d.o_orderstatus
+       OR s.o_totalprice IS DISTINCT FROM d.o_totalprice OR s.o_orderdate IS DISTINCT FROM d.o_orderdate
+       OR s.o_orderpriority IS DISTINCT FROM d.o_orderpriority
+    """,
+)
+def compare_by_checksum(tables: Tables) -> DataFrame:
+    return op.compare_by_checksum(tables["orders"], faulty_copy(tables), ["o_orderkey"])
+
+
 @query(
     "compare_rows",
     """
