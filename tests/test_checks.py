@@ -2,11 +2,12 @@
 
 import random
 from collections import Counter
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import coerce, generate, profile, verify
 from tidemark.operators.load import Dataset
@@ -248,3 +249,27 @@ def test_profile_counts_exactly_without_copies_of_rows(spark):
     empty = profile.column_profile(frame.limit(0), "t").collect()
     assert [(row.row_count, row.null_count, row.distinct_count) for row in empty] == [(0, 0, 0)] * len(frame.columns)
     assert [row.position for row in sorted(empty, key=lambda row: row.position)] == list(range(1, 9))
+
+
+@pytest.mark.parametrize("target", ["decimal(10,2)", "double", "int"])
+def test_changed_digits_of_texts(spark, target):
+    texts = ["1", "+1", "-0", "0.00", " 12.50 ", "12.505", "007", ".5", "5.", "-.50", "1e2", "1.5e1", "99.999", "x", "", None, "-12.5", "0.1"]
+    found = {
+        text: coerce.audit_casts(spark.createDataFrame([(text,)], "v string"), {"v": target}).first().changed_count
+        for text in texts
+    }
+    whole, fraction = {"decimal(10,2)": (False, 2), "double": (False, 99), "int": (True, 0)}[target]
+
+    def changed(text):
+        try:
+            number = Decimal(text.strip())
+        except (InvalidOperation, AttributeError):
+            return 0
+        lost = number != number.quantize(Decimal(1).scaleb(-min(fraction, 9)))
+        return int(lost)
+
+    fitted = {
+        text: spark.createDataFrame([(text,)], "v string").select(coerce.try_fit(F.col("v"), T.StringType(), target).alias("f")).first().f
+        for text in texts
+    }
+    assert found == {text: changed(text) if fitted[text] is not None else 0 for text in texts}

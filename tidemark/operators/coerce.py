@@ -56,6 +56,9 @@ def unpivot_columns(
     return measures.select(F.inline(rows))
 
 
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+
+
 def audit_casts(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     """Per column: rows, NULLs, values the cast would lose, and numbers it would change.
 
@@ -79,7 +82,8 @@ def audit_casts(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
 def _changed(value: Column, fitted: Column, source: T.DataType, target: str) -> Column:
     """Whether a cast has changed a number: casting back does not give it again.
 
-    Text is compared as the widest decimals that hold its whole or its fractional digits.
+    Plain numbers in texts are compared by their digits, others as the widest decimals that hold their
+    whole or their fractional digits.
     """
     if isinstance(source, T.NumericType):
         return fitted.isNotNull() & ~fitted.try_cast(source).eqNullSafe(value)
@@ -88,10 +92,18 @@ def _changed(value: Column, fitted: Column, source: T.DataType, target: str) ->
         for wide in ("decimal(38,0)", "decimal(38,9)", "decimal(38,18)", "decimal(38,36)"):
             one, other = value.try_cast(wide), fitted.try_cast(wide)
             kept = kept | (one.isNotNull() & other.isNotNull() & (one != other))
-        return kept
+        made = fitted.cast("string")
+        plain = value.rlike(PLAIN_NUMBER) & made.rlike(PLAIN_NUMBER)
+        return F.when(made.isNull(), False).when(plain, _digits_of(value) != _digits_of(made)).otherwise(kept)
     return F.lit(False)
 
 
+def _digits_of(text: Column) -> Column:
+    """A plain number without plus, outer blanks and zeros that say nothing: `-12.5`, `12.` or `.`."""
+    short = F.regexp_replace(text, r"^\s*(?:\+|(-))?0*(\d*?)(?:\.(\d*?)0*)?\s*$", "$1$2.$3")
+    return F.when(short == "-.", ".").otherwise(short)
+
+
 def audit_precision(df: DataFrame, columns: Sequence[str], expected: tuple[int, int] = (19, 4)) -> DataFrame:
     """Per decimal column: declared digits, digits in use, and values beyond the expected type."""
     measures: list[Column] = []
