@@ -36,6 +36,7 @@ PIECES = 16  # of the counts of groups, and of the filter
 AXES = 256  # of a point
 FAN = 16
 RUN = 4_096
+TREE_ROWS = 16_384  # of a tree, and the rest of a token that is met last
 FILTER_BITS = 1 << 23
 
 
@@ -87,21 +88,25 @@ def _sets_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[in
 
 
 def _members(width: int):
-    """Rows (doc_id, n, set) of documents, and rows (piece, counts) with the counts of groups of a task."""
+    """Rows (doc_id, n, set, point) of documents, and rows (piece, counts) with the counts of groups of a task.
+
+    The point of a set comes with the first document of the task that has it.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held, waiting, size = np.zeros(GROUPS, dtype=np.uint32), [], [], 0
+        counts, held, waiting, size, seen = np.zeros(GROUPS, dtype=np.uint32), [], [], 0, set()
 
-        def batch(ids: list, sizes: list, sets: list, pieces: list, bytes_of: list) -> pa.RecordBatch:
+        def batch(ids: list, sizes: list, sets: list, points: list, pieces: list, bytes_of: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sets, pa.int64()),
+                    pa.array(points, pa.binary()),
                     pa.array(pieces, pa.int32()),
                     pa.array(bytes_of, pa.binary()),
                 ],
-                names=["doc_id", "n", "set", "piece", "counts"],
+                names=["doc_id", "n", "set", "point", "piece", "counts"],
             )
 
         for doc_id, shingles in _sets_of(batches, width):
@@ -110,7 +115,9 @@ def _members(width: int):
             if size > 1 << 20:
                 counts += np.bincount(np.concatenate(waiting), minlength=GROUPS).astype(np.uint32)
                 waiting, size = [], 0
-            held.append((doc_id, len(shingles), set_number(shingles)))
+            number = set_number(shingles)
+            held.append((doc_id, len(shingles), number, None if number in seen or not len(shingles) else _point(shingles)))
+            seen.add(number)
             if len(held) >= 50_000:
                 yield batch(*map(list, zip(*held)), [None] * len(held), [None] * len(held))
                 held = []
@@ -119,7 +126,7 @@ def _members(width: int):
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=GROUPS).astype(np.uint32)
         none = [None] * PIECES
-        yield batch(none, none, none, list(range(PIECES)), [part.tobytes() for part in np.split(counts, PIECES)])
+        yield batch(none, none, none, none, list(range(PIECES)), [part.tobytes() for part in np.split(counts, PIECES)])
 
     return rows
 
@@ -139,27 +146,25 @@ def _joined_pieces(rows: DataFrame, combine, kind, size: int) -> np.ndarray:
 
 
 def _entries(width: int, percent: int, shared):
-    """Rows (token, set, n, place) of the first shingles of each set in the order of groups, and rows (set, n, point).
+    """Rows (token, set, n, place) of the first shingles of each set in the order of groups.
 
     A set is passed on once by a task, however many copies of it the task reads.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
-        tokens, owners, sizes, points = [], [], [], []
+        tokens, owners, sizes = [], [], []
 
         def batch() -> pa.RecordBatch:
             lengths = [len(part) for part in tokens]
-            number = len(tokens)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([*tokens, np.zeros(number, dtype=np.int64)]), pa.int64()),
-                    pa.array(np.concatenate([np.repeat(owners, lengths), owners]).astype(np.int64)),
-                    pa.array(np.concatenate([np.repeat(sizes, lengths), sizes]).astype(np.int32)),
-                    pa.array(np.concatenate([*[np.arange(x) for x in lengths], np.zeros(number)]).astype(np.int32)),
-                    pa.array([None] * sum(lengths) + points, pa.binary()),
+                    pa.array(np.concatenate(tokens), pa.int64()),
+                    pa.array(np.repeat(np.array(owners, dtype=np.int64), lengths)),
+                    pa.array(np.repeat(np.array(sizes, dtype=np.int32), lengths)),
+                    pa.array(np.concatenate([np.arange(x, dtype=np.int32) for x in lengths])),
                 ],
-                names=["token", "set", "n", "place", "point"],
+                names=["token", "set", "n", "place"],
             )
 
         for _, shingles in _sets_of(batches, width):
@@ -173,10 +178,9 @@ def _entries(width: int, percent: int, shared):
             tokens.append(shingles[order].view(np.int64))
             owners.append(number)
             sizes.append(n)
-            points.append(_point(shingles))
             if len(tokens) >= 5_000:
                 yield batch()
-                tokens, owners, sizes, points = [], [], [], []
+                tokens, owners, sizes = [], [], []
         if tokens:
             yield batch()
 
@@ -240,17 +244,20 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _by_token(judge, batches)
 
 
-def tree_join(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points of different roots whose summed coordinate minima allow the similarity, by an R-tree.
+def tree_join(
+    points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent: int, tokens: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of points of one token and different roots whose summed coordinate minima allow the similarity, by an R-tree.
 
-    Points are packed by size into boxes of `FAN`, boxes into boxes of `FAN`. Only the upper corner and the range of
-    sizes of a box count for the bound.
+    Points are packed by token and size into boxes of `FAN`, boxes into boxes of `FAN`. Only the upper corner and the
+    ranges of sizes and tokens of a box count for the bound.
     """
-    order = np.lexsort((*points.T[:4], sizes))
-    points, sizes, roots = points[order].astype(np.int32), sizes[order], roots[order]
-    levels = [(points, sizes, sizes, roots, roots)]
+    tokens = np.zeros(len(points), dtype=np.int64) if tokens is None else tokens
+    order = np.lexsort((*points.T[:4], sizes, tokens))
+    points, sizes, roots, tokens = points[order], sizes[order], roots[order], tokens[order]
+    levels = [(points, sizes, sizes, roots, roots, tokens, tokens)]
     while len(levels[-1][0]) > FAN:
-        upper, small, large, low, high = levels[-1]
+        upper, small, large, low, high, first, last = levels[-1]
         starts = np.arange(0, len(upper), FAN)
         levels.append(
             (
@@ -259,19 +266,21 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent:
                 np.maximum.reduceat(large, starts),
                 np.minimum.reduceat(low, starts),
                 np.maximum.reduceat(high, starts),
+                np.minimum.reduceat(first, starts),
+                np.maximum.reduceat(last, starts),
             )
         )
     top = len(levels[-1][0])
     left, right = np.triu_indices(top)
     for depth in range(len(levels) - 1, -1, -1):
-        upper, small, large, low, high = levels[depth]
+        upper, small, large, low, high, first, last = levels[depth]
         keep = np.ones(len(left), dtype=bool)
         for begin in range(0, len(left), 1 << 14):
             i, j = left[begin : begin + (1 << 14)], right[begin : begin + (1 << 14)]
-            may = (100 * large[i] >= percent * small[j]) & (100 * large[j] >= percent * small[i])
+            may = (first[i] <= last[j]) & (first[j] <= last[i]) & (100 * large[i] >= percent * small[j]) & (100 * large[j] >= percent * small[i])
             may &= ~((low[i] == high[i]) & (low[j] == high[j]) & (low[i] == low[j]))
             need = needed(small[i], small[j], percent)
-            may[may] = np.minimum(upper[i[may]], upper[j[may]]).sum(axis=1) >= need[may]
+            may[may] = np.minimum(upper[i[may]], upper[j[may]]).sum(axis=1, dtype=np.int64) >= need[may]
             keep[begin : begin + (1 << 14)] = may
         left, right = left[keep], right[keep]
         if depth == 0:
@@ -290,19 +299,43 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, percent:
 
 
 def _tree_pairs(percent: int):
-    """From rows (token, low, high, set, n, place, root, point, own) grouped: pairs that the tree leaves."""
+    """From rows (token, low, high, set, n, place, root, point, own) in the order of the first three: pairs that the
+    tree leaves. One tree holds many tokens, each of which is whole in it."""
 
-    def pairs(table: pa.Table) -> pa.Table:
+    def judge(table: pa.Table, tokens: np.ndarray) -> pa.RecordBatch:
         sets, sizes = table.column("set").to_numpy(), table.column("n").to_numpy().astype(np.int64)
         roots, own = table.column("root").to_numpy(), table.column("own").to_numpy()
-        i, j = tree_join(_points(table.column("point").to_pylist()), sizes, roots, percent)
+        i, j = tree_join(_points(table.column("point").to_pylist()), sizes, roots, percent, tokens)
         late = _late_enough(sizes, table.column("place").to_numpy().astype(np.int64), i, j, percent)
-        i, j = i[late], j[late]
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         # Of two blocks, pairs within one are found where the block is paired with itself.
-        keep = np.ones(len(i), dtype=bool) if low == high else own[i] != own[j]
+        one_block = table.column("low").to_numpy() == table.column("high").to_numpy()
+        keep = late & (one_block[i] | (own[i] != own[j]))
         a, b = sets[i[keep]], sets[j[keep]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], names=["a", "b"])
+
+    def runs(table: pa.Table) -> np.ndarray:
+        names = [table.column(name).to_numpy() for name in ("token", "low", "high")]
+        new = np.zeros(table.num_rows, dtype=np.int64)
+        for values in names:
+            new[1:] |= values[1:] != values[:-1]
+        return np.cumsum(new)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(part.num_rows for part in held) < TREE_ROWS:
+                continue
+            table = pa.Table.from_batches(held)
+            tokens = runs(table)
+            cut = int(np.searchsorted(tokens, tokens[-1]))  # the last run may go on
+            if cut:
+                yield judge(table.slice(0, cut), tokens[:cut])
+            held = table.slice(cut).to_batches()
+        if sum(part.num_rows for part in held):
+            table = pa.Table.from_batches(held)
+            yield judge(table, runs(table))
 
     return pairs
 
@@ -384,6 +417,7 @@ def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
     bits = spark.sparkContext.broadcast(filter_bits(wanted))
     path = fresh_path(spark, "sets")
     docs.mapInArrow(_wanted_sets(width, bits), "set bigint, shingles binary").join(wanted, "set", "left_semi").dropDuplicates(["set"]).write.parquet(path)
+    bits.destroy()
     sets = spark.read.schema("set bigint, shingles binary").parquet(path)
     both = (
         pairs.join(sets.select(F.col("set").alias("a"), F.col("shingles").alias("one")), "a")
@@ -401,17 +435,18 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int
     if not 0 < percent <= 100:
         raise ValueError("percent must be over 0 and at most 100")
     spark = docs.sparkSession
-    schema = "doc_id bigint, n int, set bigint, piece int, counts binary"
+    schema = "doc_id bigint, n int, set bigint, point binary, piece int, counts binary"
     table = written(docs.mapInArrow(_members(width), schema), "members")
     members = table.where("piece IS NULL").select("doc_id", "n", "set")
     held = table.where("piece IS NOT NULL").select("piece", "counts")
     shared = spark.sparkContext.broadcast(_joined_pieces(held, np.add, np.uint32, GROUPS))
 
-    entries = docs.mapInArrow(_entries(width, percent, shared), "token bigint, set bigint, n int, place int, point binary")
-    points = written(entries.where("point IS NOT NULL").select("set", "n", "point").dropDuplicates(["set"]), "points")
-    met = entries.where("point IS NULL").select("token", "set", "n", "place").repartition("token")
+    points = written(table.where("point IS NOT NULL").select("set", "n", "point").dropDuplicates(["set"]), "points")
+    entries = docs.mapInArrow(_entries(width, percent, shared), "token bigint, set bigint, n int, place int")
+    met = entries.repartition("token")
     shared_rows = met.sortWithinPartitions("token").mapInArrow(_shared, "token bigint, set bigint, n int, place int")
     runs = written(shared_rows.distinct(), "runs")
+    shared.destroy()
     # The text that others were copied from has most entries in common with others: it goes first wherever it meets them.
     central = runs.groupBy("set").agg((-F.count("*")).alias("order"))
     placed = runs.join(central, "set").select("token", "order", "set").repartition("token")
@@ -439,7 +474,9 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, run: int
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("token", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "set", "n", "place", "root", "point", "own")
     )
-    more = spread.groupBy("token", "low", "high").applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
+    group = ["token", "low", "high"]
+    sorted_rows = spread.repartition(*group).sortWithinPartitions(*group)
+    more = sorted_rows.mapInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
     more = written(more.join(tested, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         links = links.union(_links(docs, more, width, percent))
