@@ -13,7 +13,6 @@ import base64
 import hashlib
 import heapq
 import itertools
-import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -125,16 +124,30 @@ def merge_pairs(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     return pairs
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
+@lru_cache(maxsize=2)
+def merge_arrays(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the pairs that merge, and the ids they become; worked out once a process."""
+    merges = merge_pairs(load_ranks(path))
+    pairs = np.fromiter((left * WIDE + right for left, right in merges), dtype=np.uint64, count=len(merges))
+    return pairs, np.fromiter(merges.values(), dtype=np.int64, count=len(merges))
+
+
+@lru_cache(maxsize=2)
+def _rank_text(path: str) -> str:
+    pairs, made = merge_arrays(path)
+    places = ((pairs // np.uint64(WIDE)).astype(np.int64) * SPREAD + (pairs % np.uint64(WIDE)).astype(np.int64)) % BUCKETS
+    order = np.argsort(places, kind="stable")
+    cuts = np.searchsorted(places[order], np.arange(BUCKETS + 1)).tolist()
+    entries = [f'"{pair}":{rank}' for pair, rank in zip(pairs[order].tolist(), made[order].tolist())]
+    return "[" + ",".join("{" + ",".join(entries[i:j]) + "}" for i, j in zip(cuts[:-1], cuts[1:])) + "]"
+
+
+def rank_map(path: str) -> Column:
     """Merges as one literal: an array of small maps from a pair of ids to the id it becomes, placed by the pair.
 
     Spark searches a map entry by entry, so that one map of all merges would be searched through for every pair.
     """
-    buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
-    for (left, right), rank in merge_pairs(ranks).items():
-        buckets[(left * SPREAD + right) % BUCKETS][left * WIDE + right] = rank
-    text = json.dumps(buckets, separators=(",", ":"))
-    return F.from_json(F.lit(text), "array<map<string,int>>").cast("array<map<bigint,bigint>>")
+    return F.from_json(F.lit(_rank_text(path)), "array<map<string,int>>").cast("array<map<bigint,bigint>>")
 
 
 def _let(value: Column, body) -> Column:
@@ -374,7 +387,7 @@ def fold_words(words: DataFrame, path: str) -> DataFrame:
         F.sequence(F.lit(1), F.length(digits), F.lit(2)),
         lambda i: F.get(byte_ids, F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int")),
     )
-    return words.select("word", fold_merges(F.array(parts), rank_map(ranks))[0].alias("ids"))
+    return words.select("word", fold_merges(F.array(parts), rank_map(path))[0].alias("ids"))
 
 
 Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -384,22 +397,16 @@ def _encoding(docs: DataFrame, path: str, pattern: str, column: str, head_words:
     """What adds the ids to batches of `docs`, and the schema it makes."""
     head = fold_words(frequent_words(docs, path, pattern, column, head_words), path).toArrow()  # head_words rows
     lists = head["ids"].combine_chunks()
-    merges = merge_pairs(load_ranks(path))
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (
-            head["word"].to_pylist(),
-            lists.flatten().to_numpy().astype(np.int32),
-            np.diff(lists.offsets.to_numpy()).astype(np.int64),
-            np.array([left * WIDE + right for left, right in merges], dtype=np.uint64),
-            np.array(list(merges.values()), dtype=np.int64),
-        )
-    )
+    ids, sizes = lists.flatten().to_numpy().astype(np.int32), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    # The words stay Arrow buffers here; tasks make strings of them.
+    shared = docs.sparkSession.sparkContext.broadcast((head["word"], ids, sizes, *merge_arrays(path)))
     place = [name.lower() for name in docs.columns].index(column.lower())
     out = T.StructType([*_numbered(docs).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     schema = to_arrow_schema(out)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(path, pattern, shared.value)
+        words, *rest = shared.value
+        encoder = _Encoder(path, pattern, (words.to_pylist(), *rest))
         for block in _blocks(batches, place):
             found, bounds = encoder.block(block.column(place).to_pylist())
             ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found, pa.int32()))
