@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import delta, incremental, state
+from tidemark.operators import delta, incremental, profile, state
 from tidemark.operators.delta import change_share, changed_rows, compact, merge_delta
 from tidemark.operators.incremental import run_load
 from tidemark.operators.load import Dataset
@@ -196,3 +196,66 @@ def test_stream_of_upserts(spark, rows, tmp_path):
         stream_merge_delta(stream, dataset, "t", ["k"], ["w"], str(tmp_path / "checkpoint"), compact_every=4)
     best = spark.read.parquet(source).groupBy("k").agg(F.max(F.struct("w", "v")).alias("b")).select("k", "b.w", "b.v")
     assert rows(dataset.read("t")) == rows(best)
+
+
+def evolving(spark, dataset, spec, frames):
+    for number, frame in enumerate(frames):
+        run_load(dataset, spec, f"run-{number}", "2024-01-01", t=frame)
+    return dataset.read("t")
+
+
+@pytest.mark.parametrize("options", [{"disposition": "append"}, {"disposition": "merge"}, {"disposition": "merge", "merge_on_read": True}])
+def test_wider_types_and_new_columns_are_taken_over(spark, rows, options):
+    spec = TableSpec("t", primary_key=("id",), incremental=Incremental("id", -1, "sequence"), evolve=True, **options)
+    frames = [
+        spark.sql("SELECT CAST(id AS INT) AS id, CAST(1.5 AS FLOAT) AS f, CAST(2.25 AS DECIMAL(5,2)) AS d FROM range(3)"),
+        spark.sql("SELECT id, CAST(0.1 AS DOUBLE) AS f, CAST(3.3333 AS DECIMAL(19,4)) AS d, 'x' AS note FROM range(3, 5)"),
+        spark.sql("SELECT CAST(id AS SMALLINT) AS id, CAST(4.5 AS FLOAT) AS f, 'y' AS note FROM range(5, 6)"),
+    ]
+    dataset = Dataset(spark)
+    found = evolving(spark, dataset, spec, frames).select("id", "f", F.col("d").cast("string"), "note")
+    assert [kind for _, kind in found.dtypes] == ["bigint", "double", "string", "string"]
+    expected = [(0, 1.5, "2.2500", None), (1, 1.5, "2.2500", None), (2, 1.5, "2.2500", None), (3, 0.1, "3.3333", "x"), (4, 0.1, "3.3333", "x"), (5, 4.5, None, "y")]
+    assert rows(found) == expected
+    # The last load run again replaces its own rows, whichever version wrote them.
+    run_load(dataset, spec, "run-2", "2024-01-01", t=frames[2])
+    assert rows(dataset.read("t").select("id")) == [(n,) for n in range(6)]
+    for _ in range(3):
+        dataset.replace("t", dataset.read("t"))
+    assert dataset.read("t").count() == 6 and len(dataset._versions("t")) == 2
+
+
+def test_narrowing_and_evolution_without_leave_are_refused(spark):
+    wide = spark.sql("SELECT id, 'x' AS v FROM range(3)")
+    for frame in (spark.sql("SELECT id, 1 AS v FROM range(9)"), spark.sql("SELECT CAST(id AS STRING) AS id, 'y' AS v FROM range(9)")):
+        dataset = Dataset(spark)
+        dataset.append("t", wide, load_id="a")
+        if frame.schema["id"].dataType.simpleString() == "string":
+            with pytest.raises(ValueError, match="does not fit"):
+                dataset.append("t", frame, load_id="b", evolve=True)
+    dataset = Dataset(spark)
+    dataset.append("t", spark.sql("SELECT CAST(id AS INT) AS id FROM range(3)"), load_id="a")
+    with pytest.raises(ValueError, match="does not fit"):
+        dataset.append("t", spark.range(5), load_id="b")
+    dataset.append("t", spark.range(5), load_id="b", evolve=True)
+    assert dataset.read("t").count() == 8 and dataset.read("t").dtypes[0] == ("id", "bigint")
+    dataset.append("t", spark.range(7), load_id="b")
+    assert dataset.read("t").count() == 10
+
+
+def test_sketches_of_loads_merge(spark):
+    dataset = Dataset(spark)
+    frame = spark.sql(
+        "SELECT id, CAST(id % 50 AS STRING) AS s, IF(id % 5 = 0, NULL, id * 1.5D) AS x, DATE'2024-01-01' + CAST(id % 9 AS INT) AS day, "
+        "CAST(NULL AS STRING) AS nothing FROM range(3000)"
+    )
+    for number in (0, 1, 2, 2):
+        profile.keep_sketches(dataset, "t", frame.where(f"id % 3 = {number}"), f"load-{number}")
+    found = {row.column_name: row for row in profile.kept_profile(dataset, "t").collect()}
+    exact = {row.column_name: row for row in profile.column_profile(frame, "t").collect()}
+    for name, row in exact.items():
+        assert (found[name].row_count, found[name].null_count) == (row.row_count, row.null_count)
+        assert abs(found[name].distinct_estimate - row.distinct_count) <= row.distinct_count * profile.SKETCH_ERROR
+    assert (found["id"].lowest, found["id"].highest) == ("0", "2999") and found["x"].highest == "4498.5"
+    assert (found["s"].lowest, found["s"].highest) == ("0", "9") and found["day"].highest == "2024-01-09"
+    assert found["nothing"].lowest is None and found["nothing"].distinct_estimate == 0

@@ -132,6 +132,14 @@ def widens(old: T.DataType, new: T.DataType) -> bool:
     return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType)
 
 
+def read_as_wider(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files of the one type can be read as the other, wider one."""
+    numbers = (T.IntegralType, T.FloatType, T.DoubleType, T.DecimalType)
+    if old == new or not (isinstance(old, numbers) and isinstance(new, numbers) and widens(old, new)):
+        return False
+    return not (isinstance(old, T.IntegralType) and isinstance(new, T.DecimalType))
+
+
 # A text that can be a number: sign, digits with a point, exponent, blanks around.
 NUMBER_TEXT = r"^[\x00-\x20]*[+-]?[0-9.]+([eE][+-]?[0-9]+)?[\x00-\x20]*[dDfFlL]?[\x00-\x20]*$"
 INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}

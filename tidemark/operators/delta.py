@@ -15,7 +15,9 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.types import read_as_wider
 from tidemark.operators.keys import latest_per_key, require_keys
 from tidemark.operators.load import Dataset
 from tidemark.operators.state import carry_over
@@ -28,12 +30,13 @@ BROADCAST_ROWS = 1_000_000
 
 def merge_delta(
     dataset: Dataset, name: str, df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
-    load_id: str | None = None, by_order: bool = False, partition_by: Sequence[str] = (),
+    load_id: str | None = None, by_order: bool = False, partition_by: Sequence[str] = (), evolve: bool = False,
 ) -> None:
     """Upsert into a table by writing the batch alone, its latest row of every key.
 
     Of several merges the last one counts for a key, or with `by_order` the row that is greatest by `order` and then by all
     other columns, whenever it came. A merge under a load id used before replaces what that wrote and keeps its place.
+    With `evolve` the table takes over new columns and wider types; its changes are folded in before.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns of a merge must be key columns")
@@ -41,6 +44,11 @@ def merge_delta(
     if not dataset.exists(name):
         dataset.replace(name, latest, partition_by)
         return
+    if evolve and _is_new(dataset.stored(name).schema, latest.schema):
+        compact(dataset, name)
+        old = dataset.version(name)
+        dataset.evolve(name, latest)
+        carry_over(dataset, name, old, dataset.version(name))
     version = dataset.version(name)
     fitted = dataset._fitted(version, latest)
     changes = _changes(version)
@@ -57,6 +65,14 @@ def merge_delta(
         _show(dataset, name, version, changes, keys, ranked, not few)
 
 
+def _is_new(held: T.StructType, schema: T.StructType) -> bool:
+    """Whether a batch has columns or wider types that a table lacks."""
+    known = {field.name.lower(): field.dataType for field in held.fields}
+    return any(
+        field.name.lower() not in known or read_as_wider(known[field.name.lower()], field.dataType) for field in schema.fields
+    )
+
+
 def changed_rows(dataset: Dataset, name: str, load_id: str) -> DataFrame:
     """What a merge has written: its own files only. The first merge of a table wrote the base."""
     changes = dataset.properties(name).get(SHOWN)

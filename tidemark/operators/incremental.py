@@ -166,11 +166,11 @@ def _write(
     if spec.disposition == "replace":
         dataset.replace(spec.target, rows)
     elif spec.disposition == "append":
-        dataset.append(spec.target, rows, load_id, source=spec.source)
+        dataset.append(spec.target, rows, load_id, evolve=spec.evolve, source=spec.source)
     elif spec.merge_on_read:
-        merge_delta(dataset, spec.target, rows, keys, order, load_id)
+        merge_delta(dataset, spec.target, rows, keys, order, load_id, evolve=spec.evolve)
     else:
-        dataset.merge(spec.target, rows, keys, order)
+        dataset.merge(spec.target, rows, keys, order, evolve=spec.evolve)
 
 
 def _earlier_loads(

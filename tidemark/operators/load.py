@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import read_as_wider
 from tidemark.operators.coerce import align_schema
 from tidemark.operators.keys import latest_per_key, require_keys, without_match
 from tidemark.session import fresh_path
@@ -30,6 +31,7 @@ LOAD_ID = "_load_id"
 LOADED_AT = "_loaded_at"
 # Kept with the rows but not shown: what a load id belongs to when several sources fill one table.
 LOAD_SOURCE = "_load_source"
+FILES_OF = "tidemark.files_of"  # the version whose files another one reads
 
 
 def stamp(df: DataFrame, load_id: str, loaded_at: datetime | str, **extra) -> DataFrame:
@@ -101,10 +103,12 @@ class Dataset:
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         writer.saveAsTable(self.table(version))
         self._show(name, version, properties)
-        # The version before stays for readers that have planned on it.
+        # The version before stays for readers that have planned on it, with the one whose files it reads.
+        needed = {f"{name}__v{old[-1]}", self._files_of(f"{name}__v{old[-1]}")} if len(old) > 1 else set()
         for number in old[:-1]:
-            for kind in ("v", "c"):
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__{kind}{number}')}")
+            if f"{name}__v{number}" not in needed:
+                for kind in ("v", "c"):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__{kind}{number}')}")
 
     def version(self, name: str) -> str:
         """Name of the table that holds the newest version of the rows."""
@@ -114,6 +118,41 @@ class Dataset:
         """The rows with the source that loaded them, where that is kept."""
         return self.spark.table(self.table(self.version(name)))
 
+    def widen(self, name: str, schema: T.StructType) -> str:
+        """Let the table's columns have the types of a schema where those are wider; returns the version.
+
+        The new version is a table of its own over the same files, which are read as the wider types:
+        nothing is rewritten, and later loads write the wider types into new files.
+        """
+        version = self.version(name)
+        wanted = {field.name.lower(): field.dataType for field in schema.fields}
+        fields = self.stored(name).schema.fields
+        wider = {
+            field.name: wanted[field.name.lower()]
+            for field in fields
+            if read_as_wider(field.dataType, wanted.get(field.name.lower(), field.dataType))
+        }
+        if not wider:
+            return version
+        new = f"{name}__v{self._versions(name)[-1] + 1}"
+        columns = ", ".join(f"`{field.name}` {wider.get(field.name, field.dataType).simpleString()}" for field in fields)
+        partition = self._partitions(version)
+        kept = f"PARTITIONED BY ({', '.join(f'`{column}`' for column in partition)})" if partition else ""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table(version)}").where("col_name = 'Location'")
+        self.spark.sql(
+            f"CREATE TABLE {self.table(new)} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') {kept} "
+            f"LOCATION '{described.first().data_type}' TBLPROPERTIES ('{FILES_OF}' = '{self._files_of(version)}')"
+        )
+        if partition:
+            self.spark.sql(f"ALTER TABLE {self.table(new)} RECOVER PARTITIONS")
+        self._show(name, new)
+        return new
+
+    def _files_of(self, version: str) -> str:
+        """The version that owns the files of a version."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(version)}").where(F.col("key") == FILES_OF).collect()
+        return rows[0].value if rows else version
+
     def properties(self, name: str) -> dict[str, str]:
         """Properties of the view of a table."""
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(name)}").collect()
@@ -127,8 +166,8 @@ class Dataset:
         given values of the columns `by` form a partition, which a retry of that load overwrites
         instead of doubling; other sources and values under the same load id are left alone.
 
-        Rows are fitted to the table's schema; columns it lacks are an error unless `evolve`
-        is set, when they are added to it.
+        Rows are fitted to the table's schema; columns it lacks, and wider types, are an error unless
+        `evolve` is set, when the table takes them over.
         """
         partition = [*by]
         if load_id is not None:
@@ -143,6 +182,8 @@ class Dataset:
         version = self.version(name)
         if LOAD_SOURCE not in self.spark.table(self.table(version)).columns:
             df = df.drop(LOAD_SOURCE)
+        if evolve:
+            version = self.widen(name, df.schema)
         batch = self._fitted(version, df, evolve)
         if evolve:
             batch = self._add_columns(name, version, batch)
@@ -151,9 +192,9 @@ class Dataset:
 
     def merge(
         self, name: str, df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
-        partition_by: Sequence[str] = (),
+        partition_by: Sequence[str] = (), evolve: bool = False,
     ) -> None:
-        """Upsert into the table.
+        """Upsert into the table. With `evolve` it takes over new columns and wider types.
 
         Plain files cannot change in place, so the table is written anew, unless it is
         partitioned by key columns: then only the partitions that the batch touches are read
@@ -165,6 +206,8 @@ class Dataset:
         if not self.exists(name):
             self.replace(name, latest, partition_by)
             return
+        if evolve:
+            self.evolve(name, df)
         version = self.version(name)
         df = self._fitted(version, df)
         if not partition_by:
@@ -178,6 +221,11 @@ class Dataset:
         batch = _by_partition(merged.select(*target.columns), partition_by)
         batch.write.insertInto(self.table(version), overwrite=True)
 
+    def evolve(self, name: str, df: DataFrame) -> None:
+        """Give the table the new columns and wider types of a frame, without any of its rows."""
+        version = self.widen(name, df.schema)
+        self._add_columns(name, version, self._fitted(version, df, True))
+
     def _fitted(self, version: str, df: DataFrame, evolve: bool = False) -> DataFrame:
         fitted, extra = align_schema(df, self.spark.table(self.table(version)).schema, evolve)
         if extra and not evolve:

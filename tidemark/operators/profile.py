@@ -7,9 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.types import SourceType, declared_types
-from tidemark.operators.coerce import unpivot_columns
+from tidemark.operators.load import Dataset
 
 
 def column_profile(
@@ -90,6 +91,72 @@ def _approximate_figures(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*rows)))
 
 
+SKETCH_BITS = 14
+SKETCH_ERROR = 0.025  # three standard errors of a distinct count from sketches of so many bits
+
+
+def column_sketches(df: DataFrame) -> DataFrame:
+    """One row per column that can be merged with those of other batches: type, rows, NULLs, least and greatest value as
+    text, and a sketch of the distinct values. One aggregate over the batch."""
+    measures, rows = [], []
+    for place, field in enumerate(df.schema.fields):
+        column = F.col(f"`{field.name}`")
+        whole = isinstance(field.dataType, (T.IntegerType, T.LongType, T.StringType, T.BinaryType))
+        measures += [
+            F.count_if(column.isNull()).alias(f"_null_{place}"),
+            F.min(column).cast("string").alias(f"_low_{place}"),
+            F.max(column).cast("string").alias(f"_high_{place}"),
+            F.hll_sketch_agg(column if whole else column.cast("string"), F.lit(SKETCH_BITS)).alias(f"_sketch_{place}"),
+        ]
+        rows.append(
+            F.struct(
+                F.lit(field.name).alias("column_name"),
+                F.lit(field.dataType.simpleString()).alias("data_type"),
+                F.col("_rows").alias("row_count"),
+                *[F.col(f"_{kind}_{place}").alias(name) for kind, name in _SKETCHED.items()],
+            )
+        )
+    return df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*rows)))
+
+
+_SKETCHED = {"null": "null_count", "low": "lowest", "high": "highest", "sketch": "sketch"}
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """The profile of all batches together; only their sketches are read.
+
+    Rows, NULLs and extremes are exact, distinct counts have an error of SKETCH_ERROR at most, nearly always.
+    """
+    kinds = [row.data_type for row in sketches.select("data_type").distinct().collect()]  # types of columns
+    # Text does not order as its values do, so extremes are compared in their types.
+    extremes = []
+    for place, kind in enumerate(kinds):
+        for name, best in (("lowest", F.min), ("highest", F.max)):
+            value = F.when(F.col("data_type") == kind, F.col(name).cast(kind))
+            extremes.append(best(value).cast("string").alias(f"_{name}_{place}"))
+    merged = sketches.groupBy("column_name", "data_type").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate"),
+        *extremes,
+    )
+    found = [
+        F.coalesce(*[F.col(f"_{name}_{place}") for place in range(len(kinds))], F.lit(None).cast("string")).alias(name)
+        for name in ("lowest", "highest")
+    ]
+    return merged.select("column_name", "data_type", "row_count", "null_count", "distinct_estimate", *found)
+
+
+def keep_sketches(dataset: Dataset, table: str, batch: DataFrame, load_id: str) -> None:
+    """Keep the sketches of one load beside its table; a load run again replaces its own."""
+    dataset.append(f"{table}_sketches", column_sketches(batch), load_id=load_id)
+
+
+def kept_profile(dataset: Dataset, table: str) -> DataFrame:
+    """The profile of a table from the sketches of its loads."""
+    return merged_sketches(dataset.read(f"{table}_sketches"))
+
+
 def estimate_rows(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(table).alias("table_name"), "row_count")
 

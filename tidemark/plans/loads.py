@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.watermarks import batch_key
 from tidemark.operators.coerce import coerce
 from tidemark.operators.delta import compact, merge_delta
+from tidemark.operators.incremental import run_load
 from tidemark.operators.keys import latest_per_key
 from tidemark.operators.load import Dataset, load_selected, stamp
 from tidemark.plans.registry import Tables, query
 from tidemark.sources.scan import scan
-from tidemark.spec import TableSpec
+from tidemark.spec import Incremental, TableSpec
 
 
 @query(
@@ -154,6 +155,47 @@ def load_compact(tables: Tables) -> DataFrame:
     return merged_customers(tables, compacted=True)
 
 
+EVOLVED_SQL = """
+    SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
+           CAST(o_totalprice AS DECIMAL(19,4)) AS o_totalprice,
+           CASE WHEN o_orderkey > {cut} THEN o_orderpriority END AS o_orderpriority
+    FROM orders
+"""
+
+
+def _evolving(tables: Tables, disposition: str, **options) -> DataFrame:
+    """A first load with narrow types and without a column, then one of the rest as it is in the source."""
+    dataset, orders = Dataset(tables.spark), tables["orders"]
+    cut = orders.agg((F.max("o_orderkey") / 2).cast("int")).scalar()
+    narrow = orders.where(F.col("o_orderkey") <= cut).select(
+        F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"), F.col("o_totalprice").cast("decimal(12,2)")
+    )
+    wide = orders.where(F.col("o_orderkey") > cut).select(
+        "o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(19,4)"), "o_orderpriority"
+    )
+    spec = TableSpec(
+        "orders", disposition=disposition, primary_key=("o_orderkey",), incremental=Incremental("o_orderkey", -1, "sequence"),
+        evolve=True, **options,
+    )
+    for number, rows in enumerate((narrow, wide, wide)):
+        run_load(dataset, spec, f"run-{min(number, 1)}", "2024-02-01", orders=rows)
+    return dataset.read("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+_HALF = "(SELECT CAST(floor(MAX(o_orderkey) / 2) AS INT) FROM orders)"
+
+
+@query("load_evolved", EVOLVED_SQL.format(cut=_HALF))
+def load_evolved(tables: Tables) -> DataFrame:
+    """The older partitions are read as the wider types; nothing is rewritten."""
+    return _evolving(tables, "append")
+
+
+@query("load_evolved_merge", EVOLVED_SQL.format(cut=_HALF))
+def load_evolved_merge(tables: Tables) -> DataFrame:
+    return _evolving(tables, "merge", merge_on_read=True)
+
+
 @query(
     "merge_dedup_batch",
     """

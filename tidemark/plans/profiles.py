@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import profile as op
+from tidemark.operators.load import Dataset
 from tidemark.plans.incrementals import EVENT_DAYS_SQL, event_days
 from tidemark.plans.registry import Tables, query
 from tidemark.plans.scans import ORDER_PROFILE_SQL, ORDER_TYPES, profile_sql
@@ -25,6 +26,37 @@ def profiles(tables: Tables) -> DataFrame:
     return orders.unionByName(op.column_profile(tables["customer"], "customer", CUSTOMER_TYPES))
 
 
+_SKETCHED = ("event_id", "user_id", "event_type")
+
+
+@query(
+    "profile_incremental",
+    " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS column_name, COUNT(*) AS row_count, CAST(COUNT(*) - COUNT({name}) AS BIGINT) AS null_count,
+               CAST(MIN({name}) AS VARCHAR) AS lowest, CAST(MAX({name}) AS VARCHAR) AS highest,
+               TRUE AS distinct_within_error
+        FROM (SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN event_type END AS event_type FROM events)
+        """
+        for name in _SKETCHED
+    ),
+)
+def profile_incremental(tables: Tables) -> DataFrame:
+    """Sketches of three loads, the last one run twice, merged and compared with the exact distinct counts."""
+    dataset, days = Dataset(tables.spark), event_days(tables)
+    known = F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type")
+    rows = days.select("event_id", "user_id", known, "batch_key")
+    parts = ("batch_key <= 20240110", "batch_key > 20240110 AND batch_key <= 20240120", "batch_key > 20240120")
+    for number, part in enumerate((*parts, parts[-1])):
+        op.keep_sketches(dataset, "events", rows.where(part).drop("batch_key"), f"load-{min(number, 2)}")
+    exact = op.column_profile(rows.drop("batch_key"), "events").select("column_name", "distinct_count")
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+    return op.kept_profile(dataset, "events").join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", "lowest", "highest",
+        (off <= F.col("distinct_count") * op.SKETCH_ERROR).alias("distinct_within_error"),
+    )
+
+
 @query(
     "estimate_rows",
     """

@@ -36,7 +36,9 @@ class TableSpec:
     `source` is a catalog table, a path, or the label of a query; `query` replaces the
     table by the result of a SQL text and `where` filters it. `source_types` holds declared
     source types by column, `hints` the target types that win over derived ones. With
-    `merge_on_read` a merge writes its own rows only, which are resolved when read.
+    `merge_on_read` a merge writes its own rows only, which are resolved when read. With `evolve`
+    the destination takes over new columns and wider types of the source; a narrower type is an
+    error in any case.
     """
 
     source: str
@@ -57,6 +59,7 @@ class TableSpec:
     options: Mapping[str, str] = field(default_factory=dict)
     enabled: bool = True
     merge_on_read: bool = False
+    evolve: bool = False
 
     def __post_init__(self) -> None:
         if not self.source:
