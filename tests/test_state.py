@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import delta, incremental, profile, state
+from tidemark.operators import delta, incremental, layout, profile, state
 from tidemark.operators.delta import change_share, changed_rows, compact, merge_delta
 from tidemark.operators.incremental import run_load
 from tidemark.operators.load import Dataset
@@ -259,3 +259,68 @@ def test_sketches_of_loads_merge(spark):
     assert (found["id"].lowest, found["id"].highest) == ("0", "2999") and found["x"].highest == "4498.5"
     assert (found["s"].lowest, found["s"].highest) == ("0", "9") and found["day"].highest == "2024-01-09"
     assert found["nothing"].lowest is None and found["nothing"].distinct_estimate == 0
+
+
+def loaded_days(spark, dataset, pack_at=(), source="v"):
+    """Six loads of two days each; returns all rows."""
+    rows_ = spark.range(60).selectExpr("id", "CAST(id DIV 5 AS INT) AS day")
+    spec = TableSpec(source, "t", "append", incremental=Incremental("day", -1, "sequence"))
+    for number in range(6):
+        run_load(dataset, spec, f"it's {number}", "2024-01-01", **{source: rows_.where(f"day < {2 * number + 2}")})
+        if number in pack_at:
+            layout.pack_loads(dataset, "t", ["day"])
+    return rows_
+
+
+def test_packed_loads_stay_as_they_are(spark, rows):
+    dataset, plain = Dataset(spark), Dataset(spark)
+    loaded_days(spark, plain)
+    source = loaded_days(spark, dataset, pack_at=(2, 5))
+    assert rows(dataset.read("t")) == rows(plain.read("t"))
+    assert dataset.recent("t").select("_load_id").distinct().collect() == [("it's 5",)]
+    # A filter on the batch key reads packed partitions of that key only.
+    found = dataset.read("t").where("day = 3").inputFiles()
+    assert {path for path in found if "__a" in path and "day=3" not in path} == set()
+    spec = TableSpec("v", "t", "append", incremental=Incremental("day", -1, "sequence"))
+    run_load(dataset, spec, "it's 5", "2024-01-01", v=source)
+    assert rows(dataset.read("t").select("id", "day")) == rows(source)
+    with pytest.raises(ValueError, match="earlier load"):
+        run_load(dataset, spec, "it's 1", "2024-01-01", v=source)
+    assert layout.pack_loads(dataset, "t", ["day"]) == []
+    dataset.append("t", spark.sql("SELECT 99L AS id, 50L AS day, 'n' AS note"), load_id="late", evolve=True, source="v")
+    assert dataset.read("t").dtypes[1] == ("day", "bigint") and dataset.read("t").where("note IS NULL").count() == 60
+    with pytest.raises(ValueError, match="other columns"):
+        layout.pack_loads(dataset, "t", ["day"], ["late"])
+    dataset.replace("t", dataset.read("t").where("id < 30"))
+    assert dataset.read("t").count() == 30
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+def test_packing_survives_a_crash(spark, rows, monkeypatch, after):
+    dataset = Dataset(spark)
+    source = loaded_days(spark, dataset, pack_at=(1,))
+    calls, plain = [], Dataset._show
+
+    def show(self, *args, **options):
+        calls.append(1)
+        if len(calls) > after:
+            raise RuntimeError("crash")
+        return plain(self, *args, **options)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Dataset, "_show", show)
+        try:
+            layout.pack_loads(dataset, "t", ["day"])
+        except RuntimeError:
+            pass
+    assert rows(dataset.read("t").select("id", "day")) == rows(source)
+    layout.pack_loads(dataset, "t", ["day"])
+    assert rows(dataset.read("t").select("id", "day")) == rows(source)
+    assert dataset.recent("t").select("_load_id").distinct().count() == 1
+
+
+def test_only_tables_of_loads_are_packed(spark):
+    dataset = Dataset(spark)
+    dataset.replace("t", spark.range(3))
+    with pytest.raises(ValueError, match="partitioned by load"):
+        layout.pack_loads(dataset, "t")

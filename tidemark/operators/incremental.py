@@ -215,8 +215,9 @@ def _loaded_from(
 
 
 def _load_rows(dataset: Dataset, spec: TableSpec, load_id: str) -> DataFrame:
-    """What one load has written."""
-    rows = _rows_of(dataset, spec)
+    """What one load has written; it is not packed yet."""
+    rows = dataset.recent(spec.target)
+    rows = rows.where(F.col(LOAD_SOURCE) == spec.source) if LOAD_SOURCE in rows.columns else rows
     return rows.where(F.col(LOAD_ID) == load_id) if LOAD_ID in rows.columns else rows
 
 

@@ -7,6 +7,7 @@ overwritten while it is read and a failed job leaves the old version in place.
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
@@ -32,6 +33,13 @@ LOADED_AT = "_loaded_at"
 # Kept with the rows but not shown: what a load id belongs to when several sources fill one table.
 LOAD_SOURCE = "_load_source"
 FILES_OF = "tidemark.files_of"  # the version whose files another one reads
+# Loads packed together: number of the packing as a column and as a property, and ids being packed.
+PACK, PACKED, PENDING = "_pack", "tidemark.packed", "tidemark.pending"
+
+
+def quoted(text: str) -> str:
+    """A text literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def stamp(df: DataFrame, load_id: str, loaded_at: datetime | str, **extra) -> DataFrame:
@@ -107,7 +115,7 @@ class Dataset:
         needed = {f"{name}__v{old[-1]}", self._files_of(f"{name}__v{old[-1]}")} if len(old) > 1 else set()
         for number in old[:-1]:
             if f"{name}__v{number}" not in needed:
-                for kind in ("v", "c"):
+                for kind in ("v", "c", "a"):
                     self.spark.sql(f"DROP TABLE IF EXISTS {self.table(f'{name}__{kind}{number}')}")
 
     def version(self, name: str) -> str:
@@ -116,8 +124,40 @@ class Dataset:
 
     def stored(self, name: str) -> DataFrame:
         """The rows with the source that loaded them, where that is kept."""
+        version = self.version(name)
+        packed = self._packed(name, version)
+        return self.spark.sql(packed) if packed else self.spark.table(self.table(version))
+
+    def recent(self, name: str) -> DataFrame:
+        """The rows that are not packed yet, those of each source's last load among them."""
         return self.spark.table(self.table(self.version(name)))
 
+    def packed_table(self, version: str) -> str:
+        """Where the packed loads of a version lie (see `layout`)."""
+        return "__a".join(self._files_of(version).rsplit("__v", 1))
+
+    def _packed(self, name: str, version: str, properties: Mapping[str, str] | None = None) -> str | None:
+        """SELECT of recent and packed rows together, if loads of this version have been packed."""
+        packed = self.packed_table(version)
+        if not self.exists(packed):
+            return None
+        known = self.properties(name) if properties is None else properties
+        if PACKED not in known:
+            return None
+        held = {field.name: field.dataType for field in self.spark.table(self.table(packed)).schema.fields}
+        fields = self.spark.table(self.table(version)).schema.fields
+        columns = ", ".join(f"`{field.name}`" for field in fields)
+        fitted = ", ".join(
+            f"CAST({f'`{field.name}`' if field.name in held else 'NULL'} AS {field.dataType.simpleString()}) AS `{field.name}`"
+            for field in fields
+        )
+        pending = json.loads(known.get(PENDING, "[]"))
+        without = f" WHERE {LOAD_ID} NOT IN ({', '.join(map(quoted, pending))})" if pending else ""
+        return (
+            f"SELECT {columns} FROM {self.table(version)}{without} UNION ALL "
+            f"SELECT {fitted} FROM {self.table(packed)} WHERE {PACK} <= {known[PACKED]}"
+        )
+
     def widen(self, name: str, schema: T.StructType) -> str:
         """Let the table's columns have the types of a schema where those are wider; returns the version.
 
@@ -242,13 +282,14 @@ class Dataset:
         return batch.select(*self.spark.table(self.table(version)).columns)
 
     def _show(self, name: str, version: str, properties: Mapping[str, str] | None = None) -> None:
+        if properties is None and self.exists(name) and self.exists(self.packed_table(version)):
+            properties = {key: value for key, value in self.properties(name).items() if key in (PACKED, PENDING)}
+        packed = self._packed(name, version, properties or {})
         hidden = LOAD_SOURCE in self.spark.table(self.table(version)).columns
-        self.view(name, f"SELECT *{f' EXCEPT ({LOAD_SOURCE})' if hidden else ''} FROM {self.table(version)}", properties)
+        rows = f"({packed})" if packed else self.table(version)
+        self.view(name, f"SELECT *{f' EXCEPT ({LOAD_SOURCE})' if hidden else ''} FROM {rows}", properties)
 
     def view(self, name: str, text: str, properties: Mapping[str, str] | None = None) -> None:
-        def quoted(text: str) -> str:
-            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
         pairs = ", ".join(f"{quoted(key)} = {quoted(value)}" for key, value in (properties or {}).items())
         kept = f" TBLPROPERTIES ({pairs})" if pairs else ""
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)}{kept} AS {text}")

@@ -17,7 +17,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.load import LOAD_ID, Dataset, merge_rows
+from tidemark.operators.load import LOAD_ID, Dataset, merge_rows, quoted
 from tidemark.operators.ordered import semi_on_keys
 from tidemark.operators.scd2 import CLOSE_OFFSET_SECONDS, Batch, VersionColumns, closed_rows, current_rows
 from tidemark.operators.scd2_late import GONE, with_late_changes
@@ -50,18 +50,14 @@ def _publish(dataset: Dataset, name: str, cols: VersionColumns, keys: Sequence[s
         same = " AND ".join(f"c.`{column}` <=> d.`{column}`" for column in [*keys, cols.start])
         closed += f" LEFT ANTI JOIN {dataset.table(name + DROPPED)} d ON {same} AND c.{LOAD_ID} = d.{_LOADED_BY}"
         if pending is not None:
-            closed += f" AND d.{LOAD_ID} <> {_text(pending)}"
+            closed += f" AND d.{LOAD_ID} <> {quoted(pending)}"
     if pending is not None:
-        without = f" WHERE c.{LOAD_ID} <> {_text(pending)}"
+        without = f" WHERE c.{LOAD_ID} <> {quoted(pending)}"
     dataset.view(
         name, f"SELECT {columns} FROM {dataset.table(name + CURRENT)} UNION ALL SELECT {columns} FROM {closed}{without}"
     )
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def load_batch(dataset: Dataset, name: str, load_id: str, batch: Batch, repeats: bool = True) -> None:
     """Apply one batch, whose dimension is the current table (`current_table`).
 

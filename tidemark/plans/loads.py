@@ -8,6 +8,7 @@ from tidemark.operators.coerce import coerce
 from tidemark.operators.delta import compact, merge_delta
 from tidemark.operators.incremental import run_load
 from tidemark.operators.keys import latest_per_key
+from tidemark.operators.layout import pack_loads
 from tidemark.operators.load import Dataset, load_selected, stamp
 from tidemark.plans.registry import Tables, query
 from tidemark.sources.scan import scan
@@ -196,6 +197,29 @@ def load_evolved_merge(tables: Tables) -> DataFrame:
     return _evolving(tables, "merge", merge_on_read=True)
 
 
+@query(
+    "load_compact_append",
+    """
+    WITH d AS (SELECT event_id, user_id, CAST(strftime(ts, '%Y%m%d') AS INT) AS batch_key FROM events)
+    SELECT event_id, user_id, batch_key, 'to-' || CAST(CASE WHEN batch_key <= 20240105 THEN 20240105 WHEN batch_key <= 20240110
+           THEN 20240110 WHEN batch_key <= 20240115 THEN 20240115 WHEN batch_key <= 20240120 THEN 20240120 ELSE 20249999 END
+           AS VARCHAR) AS _load_id FROM d
+    """,
+)
+def load_compact_append(tables: Tables) -> DataFrame:
+    """Five loads, packed by day after the third and after the last, which is run again between and afterwards."""
+    dataset = Dataset(tables.spark)
+    days = tables["events"].select("event_id", "user_id", batch_key(F.col("ts")).alias("batch_key"))
+    spec = TableSpec("events", disposition="append", incremental=Incremental("batch_key", 0, "sequence"))
+    for upto in (20240105, 20240110, 20240115, 20240120, 20249999):
+        for _ in range(2 if upto == 20249999 else 1):
+            run_load(dataset, spec, f"to-{upto}", "2024-02-01", events=days.where(F.col("batch_key") <= upto))
+        if upto in (20240115, 20249999):
+            pack_loads(dataset, "events", ["batch_key"])
+    run_load(dataset, spec, "to-20249999", "2024-02-01", events=days)
+    return dataset.read("events").drop("_loaded_at")
+
+
 @query(
     "merge_dedup_batch",
     """
