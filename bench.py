@@ -23,6 +23,8 @@ HEADLINE = {
     "load_append": "orders",
     "load_merge_orders": "orders",
     "load_merge_partitioned": "events",
+    "load_merge_delta": "customer",
+    "load_reporting_wide": "orders",
     "load_selected_tables": "lineitem",
     "merge_dedup_batch": "orders",
     "incr_append_run": "events",
@@ -34,8 +36,10 @@ HEADLINE = {
     "scd2_check_overlap": "events",
     "scd2_overlap_pairs": "events",
     "fact_join_as_of": "events",
+    "fact_join_as_of_lookup": "events",
     "fact_join_current": "events",
     "compare_values": "orders",
+    "compare_by_checksum": "orders",
     "compare_sample": "orders",
     "verify_primary_key": "lineitem",
     "verify_summary": "orders",

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.watermarks import batch_date, batch_key, bound_literal, convert_bound
+from tidemark.functions.watermarks import bound_literal, convert_bound
 from tidemark.operators.coerce import coerce, map_columns, rename_by_convention
 from tidemark.operators.delta import changed_rows, merge_delta
 from tidemark.operators.keys import without_match
@@ -93,13 +93,15 @@ def new_batches(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 def next_batch(source: DataFrame, target: DataFrame, key: str, first_batches: int = 3) -> DataFrame:
     """Source rows to load next: the first batches into an empty target, else the calendar
-    day after its latest. `key` is a yyyymmdd number."""
-    latest = target.agg(F.max(key)).scalar()
-    following = batch_key(F.date_add(batch_date(latest), 1))
-    initial = source.select(key).distinct().orderBy(key).limit(first_batches)
-    upto = F.when(latest.isNull(), initial.agg(F.max(key)).scalar()).otherwise(following)
-    after = F.coalesce(latest, F.lit(0))
-    return source.where((F.col(key) > after) & (F.col(key) <= upto))
+    day after its latest. `key` is a yyyymmdd number. Both bounds are literals and reach the scan."""
+    latest = target.agg(F.max(key)).first()[0]
+    if latest is None:
+        initial = source.select(key).where(F.col(key) > 0).distinct().orderBy(key).limit(first_batches)
+        upto = initial.agg(F.max(key)).first()[0]
+    else:
+        following = datetime.strptime(str(latest), "%Y%m%d") + timedelta(days=1)
+        upto = int(following.strftime("%Y%m%d"))
+    return source.where((F.col(key) > F.lit(latest or 0)) & (F.col(key) <= F.lit(upto)))
 
 
 def prepare(df: DataFrame, spec: TableSpec) -> DataFrame:

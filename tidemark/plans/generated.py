@@ -5,8 +5,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.draws import draw_sql, id_text
 from tidemark.operators import generate as op
-from tidemark.operators import scd2
+from tidemark.operators import scd2, verify
+from tidemark.operators.incremental import run_load
+from tidemark.operators.load import Dataset
+from tidemark.operators.run import verify_all
 from tidemark.plans.registry import Tables, query
+from tidemark.spec import Incremental, TableSpec
 
 # The same rules as SQL text for the other engine.
 SQL_TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "int": "INT", "timestamp_ntz": "TIMESTAMP"}
@@ -81,6 +85,44 @@ def generate_batch(tables: Tables) -> DataFrame:
     return op.generate_batch(tables["orders"].select("o_orderkey"), "o_orderkey", 2, AT)
 
 
+def loaded_reporting(tables: Tables) -> tuple[Dataset, TableSpec, DataFrame]:
+    """The wide table, half of it loaded at first and the rest by a second run."""
+    dataset = Dataset(tables.spark)
+    rows = op.generate_batch(tables["orders"].select("o_orderkey"), "o_orderkey", 2, AT)
+    half = tables["orders"].agg((F.max("o_orderkey") / 2).cast("bigint")).scalar()
+    spec = TableSpec(
+        "reporting", disposition="append", primary_key=("RecordID",), incremental=Incremental("RecordID", -1, "sequence")
+    )
+    run_load(dataset, spec, "full", "2024-03-01", reporting=rows.where(F.col("RecordID") <= half))
+    run_load(dataset, spec, "incremental", "2024-03-02", reporting=rows)
+    return dataset, spec, rows
+
+
+@query("load_reporting_wide", batch_sql(op.REPORTING_COLUMNS, 2))
+def load_reporting_wide(tables: Tables) -> DataFrame:
+    """118 columns generated, loaded and loaded on, and read back."""
+    dataset, _, _ = loaded_reporting(tables)
+    return dataset.read("reporting").drop("_load_id", "_loaded_at")
+
+
+@query(
+    "verify_reporting_wide",
+    """
+    SELECT 4 AS total_checks, 4 AS passed_checks, 0 AS failed_checks, CAST(100 AS DOUBLE) AS success_rate,
+           TRUE AS overall_passed, '' AS tables_with_issues, (SELECT COUNT(*) FROM orders) AS row_count, 0 AS differing_rows
+    """,
+)
+def verify_reporting_wide(tables: Tables) -> DataFrame:
+    """What was loaded against its source: counts, keys, a check of the user's, and all values by checksums."""
+    dataset, spec, rows = loaded_reporting(tables)
+    custom = {"batches": 'SELECT COUNT(*) FROM {reporting} WHERE SystemCalendarID <> 20240301 OR BatchProcessID IS NULL'}
+    checks = verify_all(dataset, {"reporting": spec}, custom_checks=custom, reporting=rows)
+    loaded = dataset.read("reporting").drop("_load_id", "_loaded_at")
+    differing = verify.compare_by_checksum(rows, loaded, ["RecordID"]).agg(F.count(F.lit(1)).cast("int").alias("differing_rows"))
+    totals = verify.summary(checks).withColumns({"row_count": loaded.agg(F.count(F.lit(1))).scalar()})
+    return totals.withColumn("differing_rows", differing.scalar())
+
+
 @query("generate_batch_quick", batch_sql(op.QUICK_COLUMNS, 4))
 def generate_batch_quick(tables: Tables) -> DataFrame:
     """A day after the initial load, in the quick form."""
