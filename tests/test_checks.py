@@ -273,3 +273,11 @@ def test_changed_digits_of_texts(spark, target):
         for text in texts
     }
     assert found == {text: changed(text) if fitted[text] is not None else 0 for text in texts}
+
+
+def test_wide_rows_are_made_by_many_tasks_from_few_files(spark):
+    ids = spark.range(0, 1000, 1, 1).withColumn("other", F.lit("x"))
+    made = generate.generate_batch(ids, "id", 1, "2024-01-01").select("RecordID", F.spark_partition_id().alias("task"))
+    sizes = [row["count"] for row in made.groupBy("task").count().collect()]
+    assert len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
+    assert made.agg(F.sum("RecordID")).first()[0] == 999 * 1000 // 2

@@ -485,6 +485,12 @@ def uuid_text(seed: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
 
 
+def spread(ids: DataFrame) -> DataFrame:
+    """The ids dealt evenly to twice as many tasks as there are cores: a small file of ids, read by one task, becomes very
+    many wide rows, whose making takes far longer than this shuffle of single columns."""
+    return ids.repartition(2 * ids.sparkSession.sparkContext.defaultParallelism)
+
+
 def generate_batch(
     ids: DataFrame, id_column: str, day: int, at: datetime | str, rules: Sequence[Rule] = REPORTING_COLUMNS
 ) -> DataFrame:
@@ -493,7 +499,7 @@ def generate_batch(
     made = [value_of(rule, key, 1 + place, day, now).alias(rule.name) for place, rule in enumerate(rules)]
     calendar = batch_key(now)
     batch_id = uuid_text(F.concat_ws("-", calendar, F.expr(key)))
-    return ids.select(
+    return spread(ids.select(id_column)).select(
         F.expr(key).alias("RecordID"), calendar.alias("SystemCalendarID"), batch_id.alias("BatchProcessID"), *made
     )
 
