@@ -76,3 +76,12 @@ def test_digests_and_small_head(spark, odd, library):
 
 def test_empty_table(spark, empty):
     assert bpe.encode(empty, PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_the_merges_do_not_stand_in_the_plan(spark):
+    words = spark.createDataFrame([(word,) for word in ("hello", "hello", "Wörter", "x" * bpe.FOLD_BYTES)], "word string")
+    folded = bpe.fold_words(words, PATH)
+    assert len(folded._jdf.queryExecution().toString()) < 100_000
+    ranks = bpe.load_ranks(PATH)
+    got = sorted((row["word"], list(row["ids"])) for row in folded.collect())
+    assert got == sorted((row["word"], bpe.heap_merge(row["word"].encode(), ranks)) for row in words.collect())

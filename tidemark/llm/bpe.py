@@ -34,6 +34,7 @@ BLOCK_BYTES = 4 << 20
 KEPT_BYTES = 48 << 20
 KEPT_SEGMENTS = 1 << 18
 HEAD_WORDS = 1 << 17
+FOLD_GROUPS = 16  # of the frequent words, for each core
 BUCKETS = 1 << 16
 SPREAD = 48_271
 WIDE = 1 << 20
@@ -142,12 +143,12 @@ def _rank_text(path: str) -> str:
     return "[" + ",".join("{" + ",".join(entries[i:j]) + "}" for i, j in zip(cuts[:-1], cuts[1:])) + "]"
 
 
-def rank_map(path: str) -> Column:
-    """Merges as one literal: an array of small maps from a pair of ids to the id it becomes, placed by the pair.
+def rank_map(text: Column) -> Column:
+    """Merges from their text: an array of small maps from a pair of ids to the id it becomes, placed by the pair.
 
     Spark searches a map entry by entry, so that one map of all merges would be searched through for every pair.
     """
-    return F.from_json(F.lit(_rank_text(path)), "array<map<string,int>>").cast("array<map<bigint,bigint>>")
+    return F.from_json(text, "array<map<string,int>>").cast("array<map<bigint,bigint>>")
 
 
 def _let(value: Column, body) -> Column:
@@ -378,16 +379,26 @@ def frequent_words(docs: DataFrame, path: str, pattern: str, column: str = "text
 
 
 def fold_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids): the merges folded over the bytes of each word by higher-order functions."""
+    """(word, ids): the merges folded over the bytes of each word by higher-order functions.
+
+    The merges are a row that joins each group of words. As a literal they would stand, megabytes long, in every
+    description of the plan that the driver makes and keeps.
+    """
     ranks = load_ranks(path)
-    words = words.repartition(words.sparkSession.sparkContext.defaultParallelism, "word")  # few, but slow
+    spark = words.sparkSession
+    tasks = spark.sparkContext.defaultParallelism
     byte_ids = F.array(*[F.lit(ranks[bytes([value])]).cast("bigint") for value in range(256)])
     digits = F.hex(F.encode("word", "UTF-8"))
     parts = F.transform(
         F.sequence(F.lit(1), F.length(digits), F.lit(2)),
         lambda i: F.get(byte_ids, F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int")),
     )
-    return words.select("word", fold_merges(F.array(parts), rank_map(path))[0].alias("ids"))
+    group = F.pmod(F.xxhash64("word"), F.lit(FOLD_GROUPS * tasks)).alias("group")
+    groups = words.select(group, "word", parts.alias("parts")).groupBy("group").agg(F.collect_list(F.struct("word", "parts")).alias("held"))
+    merges = spark.createDataFrame([(_rank_text(path),)], "ranks string").select(rank_map(F.col("ranks")).alias("merges"))
+    joined = groups.repartition(tasks, "group").crossJoin(F.broadcast(merges))  # few words, but slow; one row of merges
+    folded = joined.select(F.arrays_zip(F.col("held.word").alias("word"), fold_merges(F.col("held.parts"), F.col("merges")).alias("ids")).alias("held"))
+    return folded.select(F.explode("held").alias("one")).select("one.word", "one.ids")
 
 
 Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
